@@ -1,0 +1,36 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+#: A key above this share of the rows is spread over SALTS tasks.
+HOT_SHARE = 0.005
+SALTS = 64
+
+
+def frequent_keys(df: DataFrame, key: str) -> Column:
+    """Array of the keys above HOT_SHARE (at most 1 / HOT_SHARE), as a scalar subquery.
+
+    One narrow pass without a shuffle; every key above the share is in the array,
+    and a key below it that slips in costs time only.
+    """
+    return df.select(key).where(F.col(key).isNotNull()).freqItems([key], HOT_SHARE).scalar()
+
+
+def salted_join(
+    left: DataFrame, right: DataFrame, key: str, how: str, spread: list[str | Column]
+) -> DataFrame:
+    """Join `left` to `right` (one row per key) with hot left keys spread out.
+
+    Hot and null keys of the left side get a salt drawn from `spread` (columns that
+    tell rows apart, so a repeated task draws the same salt); the matching right rows
+    are repeated once per salt, all others once.
+    """
+    hot = F.array_contains(frequent_keys(left, key), F.col(key))
+    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
+    salted = left.withColumn("_salt", F.when(F.col(key).isNull() | hot, salt).otherwise(F.lit(0)))
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn("_salt", F.explode(copies))
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
