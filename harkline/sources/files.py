@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harkline.session import local_path
@@ -60,27 +61,24 @@ def read_lines(spark: SparkSession, patterns: str | Iterable[str], name_filter:
         listed = [reader().text(p).inputFiles() for p in paths]
     for names in listed:
         for file in sorted(names):
-            files.setdefault(file, len(files))
+            # the listing writes file:///a where file metadata writes file:/a
+            files.setdefault(re.sub("^file:/+", "file:/", file), len(files))
     size = sum(len(f) + 16 for f in files)
     ranks = small_table(spark, list(files.items()), "source_file string, _rank bigint", size)
     start = F.col("_metadata.file_block_start")
     row = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    known = F.coalesce("_rank", F.raise_error(F.concat(F.lit("not in the listing: "), "source_file")).cast("bigint"))
     return (
         lines.select(
             "value",
             F.col("_metadata.file_path").alias("source_file"),
             (start + row + F.when(start > 0, 1).otherwise(0)).alias("_line"),
         )
-        .join(ranks, "source_file")
-        .select("value", "source_file", (F.shiftleft("_rank", _FILE_BITS) + F.col("_line")).alias("pos"))
+        .join(ranks, "source_file", "left")
+        .select("value", "source_file", (F.shiftleft(known, _FILE_BITS) + F.col("_line")).alias("pos"))
     )
 
 
-def unescaped(path: Column) -> Column:
-    """`_metadata.file_path` is a URL; give the plain path."""
-    return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
-
-
 def open_file(path: str):
     """A seekable binary file: local paths directly, other schemes through Arrow."""
     path = local_path(path)
