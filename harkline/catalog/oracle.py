@@ -242,7 +242,7 @@ FROM log WHERE NOT {OK} GROUP BY 1""",
   CAST(sum(CASE WHEN {OK} THEN 0 ELSE 1 END) OVER w AS BIGINT) AS fail_so_far,
   CAST(count(CASE WHEN {OK} THEN {DURATION} END) OVER w AS BIGINT) AS with_duration,
   sum(CASE WHEN {OK} THEN {DURATION} END) OVER w AS audio FROM log WINDOW w AS (ORDER BY pos))
-SELECT processed, ok_so_far, fail_so_far, with_duration, round(audio, 6) AS audio_seconds, round(audio / with_duration, 6) AS avg_audio_seconds
+SELECT processed, ok_so_far, fail_so_far, with_duration, round(audio, 6) AS audio_seconds, round(audio / with_duration, 8) AS avg_audio_seconds
 FROM c WHERE processed % 100 = 0""",
     "recent_rate": """WITH h AS (SELECT user_id, date_trunc('hour', ts) AS hour, count(*) AS n, epoch_us(max(ts)) / 1e6 AS mtime FROM events GROUP BY ALL),
 s AS (SELECT user_id, mtime, CAST(sum(n) OVER (PARTITION BY user_id ORDER BY hour) AS BIGINT) AS total_lines FROM h),

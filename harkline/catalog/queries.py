@@ -457,17 +457,13 @@ def error_histogram(spark, sf):
 
 @query
 def running_counts(spark, sf):
-    return progress_columns(throughput.running_counts(_log(spark, sf)))
-
-
-def progress_columns(df):
-    return df.select("pos", "status", "ok_so_far", "fail_so_far")
+    return throughput.running_counts(_log(spark, sf)).select("pos", "status", "ok_so_far", "fail_so_far")
 
 
 @query
 def checkpoint_series(spark, sf):
     out = throughput.checkpoint_series(_log(spark, sf), 100)
-    return out.withColumns({n: _r(n) for n in ("audio_seconds", "avg_audio_seconds")})
+    return out.withColumns({"audio_seconds": _r("audio_seconds"), "avg_audio_seconds": _r("avg_audio_seconds", 8)})
 
 
 @query
@@ -557,7 +553,13 @@ def annotate(spark, sf):
 
 @query
 def annotate_retry(spark, sf):
-    log = ann.annotate_retry(_named(spark, sf), scratch_path(spark, "retry"), "run", _attempt)
+    """Items are names only; a pass fetches the payloads of what is pending."""
+    rows = _named(spark, sf)
+
+    def attempt(todo: DataFrame) -> DataFrame:
+        return _attempt(rows.join(todo.select("utt", "retry_attempt"), "utt"))
+
+    log = ann.annotate_retry(rows.select("utt"), scratch_path(spark, "retry"), "run", attempt)
     return log.select("utt", "status", "caption", "error", "retry_attempt")
 
 

@@ -14,12 +14,15 @@ from pyspark.sql import types as T
 
 from harkline.functions.payload import parse_response
 from harkline.operators.resume import MAX_RETRIES, pending, resume_state
+from harkline.session import written
 from harkline.sources.results import read_results, write_results
 
 #: request JSON in, response JSON out; built once per task
 Client = Callable[[str], str]
 ClientFactory = Callable[[], Client]
 
+_RESUME = ["utt", "idx", "status", "retry_attempt"]
+
 #: Items one annotation task calls the model for: what a lost task repeats.
 TASK_ITEMS = 2000
 
@@ -158,12 +161,16 @@ def annotate_retry(
     spark = items.sparkSession
     began = int(time.time() * 1000)
     for number in range(max_retries + 1):
-        todo = pending(items, resume_state(read_results(spark, log_path), key), key, max_retries)
+        state = resume_state(read_results(spark, log_path, _RESUME), key)
+        # written once: the log is read and joined a single time per pass, and the
+        # pass keeps its items while its own records arrive
+        todo = written(pending(items, state, key, max_retries), "pending")
         left = todo.count()
         if not left:
             break
         records = attempt(spread(todo, left, task_items))
         write_results(records, log_path, f"{began:013d}-{number:02d}-{run_id}", chunk)
+        items = todo.drop("retry_attempt")
     return read_results(spark, log_path)
 
 

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harkline.operators.ordering import position_block
+from harkline.operators.ordering import BLOCK, position_block
 from harkline.operators.skew import salted_join
 
 MAX_RETRIES = 3
 
 
-def resume_state(log: DataFrame, key: str = "utt", pos: str = "pos") -> DataFrame:
+def resume_state(
+    log: DataFrame, key: str = "utt", pos: str = "pos", block: int = BLOCK
+) -> DataFrame:
     """Per key: `done` (ever ok) and `retry` (attempts used since the last ok).
 
     Rows fold in log order: ok sets the counter to 0, a failure with `retry_attempt`
@@ -25,7 +27,7 @@ def resume_state(log: DataFrame, key: str = "utt", pos: str = "pos") -> DataFram
     rows = log.where(F.col("status").isin("ok", "fail")).select(
         F.col(key),
         F.col(pos).alias("_pos"),
-        position_block(log, pos).alias("_block"),
+        position_block(pos, block).alias("_block"),
         ok.alias("_ok"),
         F.when(ok, F.lit(0)).otherwise(attempt).cast("bigint").alias("_set"),
     )

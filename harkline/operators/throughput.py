@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from harkline.functions.text import percent, with_duration
 from harkline.operators.merge import ok_filter
-from harkline.operators.ordering import global_index, running_totals
+from harkline.operators.ordering import BLOCK, global_index, position_block, running_totals
 
 # Bounds below which no statistics or forecasts are given.
 MIN_ELAPSED = 0.1
@@ -181,9 +181,9 @@ def _outcomes() -> dict[str, Column]:
     return {"ok_so_far": ok, "fail_so_far": 1 - ok}
 
 
-def running_counts(log: DataFrame, pos: str = "pos") -> DataFrame:
+def running_counts(log: DataFrame, pos: str = "pos", block: int = BLOCK) -> DataFrame:
     """Ok and failed lines up to and including every line."""
-    return running_totals(log, pos, _outcomes())
+    return running_totals(log, pos, _outcomes(), block)
 
 
 def checkpoint_series(
@@ -198,14 +198,13 @@ def checkpoint_series(
     duration = F.when(F.col("status") == "ok", with_duration(F.col("audio_duration")))
     counters = {**_outcomes(), "with_duration": duration.isNotNull().cast("bigint"), "audio_seconds": duration}
     buckets = (
-        log.groupBy(F.call_function("div", F.col(pos), F.lit(every).cast("bigint")).alias("bucket"))
+        log.groupBy(position_block(pos, every).alias("bucket"))
         .agg(
             F.count("*").alias("lines"),
             *[_sum(c).cast("bigint" if n != "audio_seconds" else "double").alias(f"in_{n}") for n, c in counters.items()],
         )
     )
-    top = F.call_function("div", log.agg(F.max(pos)).scalar(), F.lit(every).cast("bigint"))
-    summed = running_totals(buckets, "bucket", {n: F.col(f"in_{n}") for n in counters}, top=top)
+    summed = running_totals(buckets, "bucket", {n: F.col(f"in_{n}") for n in counters})
     return summed.where(F.col("lines") == every).select(
         ((F.col("bucket") + 1) * every).alias("processed"),
         *counters,

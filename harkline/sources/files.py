@@ -6,6 +6,7 @@ import logging
 import re
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,9 +33,9 @@ def existing(spark: SparkSession, patterns: str | Iterable[str]) -> list[str]:
     return found
 
 
-def small_table(spark: SparkSession, rows: list[tuple], schema: str, size: int) -> DataFrame:
+def small_table(spark: SparkSession, columns: dict[str, list], size: int) -> DataFrame:
     """A driver-made table, marked for broadcast only if its known size is bounded."""
-    df = spark.createDataFrame(rows, schema)
+    df = spark.createDataFrame(pa.table(columns))
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
@@ -64,7 +65,7 @@ def read_lines(spark: SparkSession, patterns: str | Iterable[str], name_filter:
             # the listing writes file:///a where file metadata writes file:/a
             files.setdefault(re.sub("^file:/+", "file:/", file), len(files))
     size = sum(len(f) + 16 for f in files)
-    ranks = small_table(spark, list(files.items()), "source_file string, _rank bigint", size)
+    ranks = small_table(spark, {"source_file": list(files), "_rank": list(files.values())}, size)
     start = F.col("_metadata.file_block_start")
     row = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
     known = F.coalesce("_rank", F.raise_error(F.concat(F.lit("not in the listing: "), "source_file")).cast("bigint"))

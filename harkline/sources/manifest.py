@@ -7,6 +7,7 @@ import stat
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,8 +137,11 @@ def list_media(
     """
     ends = tuple(suffixes or SUFFIXES)
     base = local_path(root).rstrip("/")
-    seeds = [(s, f"{base}/{s}", True, 0, 0.0) for s in (subsets or SUBSETS)]
-    rows = spark.createDataFrame(seeds, _LISTING)
+    names = list(subsets or SUBSETS)
+    seeds = {"subset": names, "path": [f"{base}/{n}" for n in names]}
+    rows = spark.createDataFrame(pa.table(seeds)).selectExpr(
+        "subset", "path", "true AS is_dir", "0L AS length", "0D AS mtime"
+    )
     for _ in range(spread_levels):
         rows = rows.mapInPandas(lambda it: _expand(it, ends, False), _LISTING).repartition(
             spark.sparkContext.defaultParallelism, "path"

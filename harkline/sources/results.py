@@ -29,45 +29,54 @@ RECORD = {
 }
 
 
-def _parsed(lines: DataFrame, value: str) -> DataFrame:
+def _parsed(lines: DataFrame, value: str, columns: Iterable[str]) -> DataFrame:
     """Stripped, not blank lines with `_rec`; null unless the line is one JSON object.
 
     Parsing the line as the only element of an array also rejects text after the
     object. All fields are read as text, so a value of another type spoils nothing;
     of a repeated field the last value counts.
     """
-    shape = "array<struct<" + ", ".join(f"{n}: string" for n in RECORD) + ">>"
-    raw = strip(F.col(value))
-    wrapped = F.from_json(
+    shape = "array<struct<" + ", ".join(f"{n}: string" for n in columns) + ">>"
+    whole = F.startswith(F.col(value), F.lit("{")) & F.endswith(F.col(value), F.lit("}"))
+    records = F.from_json(
         F.concat(F.lit("["), F.col("raw"), F.lit("]")), shape, {"allowSingleQuotes": "false"}
     )
     return (
-        lines.withColumn("raw", raw)
+        lines.withColumn("raw", F.when(whole, F.col(value)).otherwise(strip(F.col(value))))
         .where("raw != ''")
-        .withColumn("_recs", wrapped)
+        # filters on the records must not copy the parse: they stop at a generator
+        .select("*", F.explode(F.array(records)).alias("_recs"))
         .withColumn("_rec", F.when(F.size("_recs") == 1, F.get("_recs", F.lit(0))))
     )
 
 
-def parse_results(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Typed record columns, `raw`, and every other column of `lines`."""
+def parse_results(
+    lines: DataFrame, value: str = "value", columns: Iterable[str] | None = None
+) -> DataFrame:
+    """Typed record columns, `raw`, and every other column of `lines`.
+
+    `columns` limits the fields taken from the JSON to those a report needs.
+    """
     kept = [c for c in lines.columns if c not in (value, "raw")]
-    columns = [
+    wanted = {n: RECORD[n] for n in columns or RECORD}
+    typed = [
         (F.col(f"_rec.{n}") if t == "string" else F.replace(F.col(f"_rec.{n}"), F.lit('"')).try_cast(t)).alias(n)
-        for n, t in RECORD.items()
+        for n, t in wanted.items()
     ]
-    return _parsed(lines, value).where(F.col("_rec").isNotNull()).select(*columns, "raw", *kept)
+    return _parsed(lines, value, wanted).where(F.col("_rec").isNotNull()).select(*typed, "raw", *kept)
 
 
 def bad_records(lines: DataFrame, value: str = "value") -> DataFrame:
     """Lines that are neither blank nor one JSON object."""
     kept = [c for c in lines.columns if c not in (value, "raw")]
-    return _parsed(lines, value).where(F.col("_rec").isNull()).select("raw", *kept)
+    return _parsed(lines, value, ["status"]).where(F.col("_rec").isNull()).select("raw", *kept)
 
 
-def read_results(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+def read_results(
+    spark: SparkSession, paths: str | Iterable[str], columns: Iterable[str] | None = None
+) -> DataFrame:
     """Records of JSON-lines logs (files, patterns or folders, searched to any depth)."""
-    return parse_results(read_lines(spark, paths))
+    return parse_results(read_lines(spark, paths), columns=columns)
 
 
 def latest_run(spark: SparkSession, path: str, prefix: str = "captions-arkive-", suffix: str = ".jsonl") -> DataFrame:

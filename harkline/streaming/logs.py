@@ -11,6 +11,8 @@ from harkline.operators.progress import progress_partials, progress_totals
 from harkline.sources.results import parse_results
 from harkline.streaming.batches import batch_positions, partial_table, stream_lines, write_partial
 
+_PROGRESS = ["utt", "idx", "status", "processing_time", "audio_duration"]
+
 
 def _start(lines: DataFrame, handle, checkpoint: str, interval: str | None) -> StreamingQuery:
     writer = lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
@@ -24,7 +26,7 @@ def stream_progress(
     """Keep per-key progress partials of a growing log; `interval=None` drains it once."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        log = parse_results(batch_positions(batch))
+        log = parse_results(batch_positions(batch), columns=_PROGRESS)
         write_partial(progress_partials(log, key), table, batch_id)
 
     return _start(stream_lines(spark, log_path), handle, checkpoint, interval)
