@@ -43,7 +43,7 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
 def _entries(spark: SparkSession, sf: str) -> DataFrame:
     """Parsed manifest entries with a dense index."""
     entries = manifest.parse_manifest(fx.fixture(spark, sf, fx.MANIFEST_LINES))
-    return ordering.global_index(entries, ["pos"])
+    return ordering.line_index(entries)
 
 
 def _payloads(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,7 +61,7 @@ def _r(column, digits: int = 6):
 def read_manifest(spark, sf):
     path = fx.write_lines(fx.fixture(spark, sf, fx.MANIFEST_LINES), "pos", "manifest")
     entries = manifest.read_manifest(spark, path)
-    return ordering.global_index(entries, ["pos"]).select("idx", "utt", "src", "is_command")
+    return ordering.line_index(entries).select("idx", "utt", "src", "is_command")
 
 
 @query
@@ -91,7 +91,7 @@ def shard_files(spark, sf):
 def read_results(spark, sf):
     path = fx.write_lines(fx.fixture(spark, sf, fx.RESULT_LINES), "pos", "results")
     log = results.read_results(spark, path)
-    return ordering.global_index(log, ["pos"]).select(
+    return ordering.line_index(log.drop("idx")).select(
         "idx", "utt", "status", "caption", "error", "retry_attempt", "usage"
     )
 
@@ -193,7 +193,7 @@ def write_merged(spark, sf):
     path = scratch_path(spark, "merged")
     results.write_merged(merge.merge_results(_log_lines(spark, sf)), path, f"{path}-tsv")
     back = results.read_results(spark, path)
-    return ordering.global_index(back, ["pos"]).select("idx", "raw")
+    return ordering.line_index(back.drop("idx")).select("idx", "raw")
 
 
 @query

@@ -85,7 +85,7 @@ def mime_by_magic(content: Column, strict: bool = True) -> Column:
 
 def base64_plain(content: Column) -> Column:
     """Base64 without line breaks, whatever the session's chunking setting is."""
-    return F.translate(F.base64(content), "\r\n", "")
+    return F.replace(F.base64(content), F.lit("\r\n"))
 
 
 def data_url(content: Column, mime: Column) -> Column:

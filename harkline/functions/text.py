@@ -11,8 +11,9 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same set as a regular expression.
-WHITESPACE_RUN = f"[{WHITESPACE}]+"
+# The same set as the inside of a character class.
+WHITESPACE_CLASS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITESPACE_RUN = f"[{WHITESPACE_CLASS}]+"
 
 
 def strip(col: Column) -> Column:
@@ -25,9 +26,10 @@ def two_fields(col: Column) -> Column:
     return F.split(col, WHITESPACE_RUN, 2)
 
 
-def fields(col: Column) -> Column:
-    """All whitespace-separated fields of a line."""
-    return F.split(strip(col), WHITESPACE_RUN)
+def last_field(col: Column) -> Column:
+    """The last of at least two whitespace-separated fields, else an empty text."""
+    other, space = f"[^{WHITESPACE_CLASS}]", f"[{WHITESPACE_CLASS}]"
+    return F.regexp_extract(col, f"(?s)^.*{other}{space}+({other}+){space}*$", 1)
 
 
 def is_command(src: Column) -> Column:
@@ -45,8 +47,9 @@ def utt_from_path(path: Column) -> Column:
 
 def one_line_caption(caption: Column, clean: bool = False) -> Column:
     """Line feeds become spaces, then strip. `clean` also replaces tab and CR."""
-    text = F.translate(caption, "\n\t\r", "   ") if clean else F.translate(caption, "\n", " ")
-    return strip(text)
+    for char in "\n\t\r" if clean else "\n":
+        caption = F.replace(caption, F.lit(char), F.lit(" "))
+    return strip(caption)
 
 
 def error_type(error: Column) -> Column:

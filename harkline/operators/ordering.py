@@ -95,3 +95,8 @@ def running_totals(
     return joined.select(
         *df.columns, *[(F.col(name) + F.col(f"_{name}")).alias(name) for name in totals]
     )
+
+
+def line_index(df: DataFrame, pos: str = "pos", name: str = "idx", block: int = BLOCK) -> DataFrame:
+    """Dense 0-based number in position order, for rows that carry a unique position."""
+    return running_totals(df, pos, {name: F.lit(1)}, block).withColumn(name, F.col(name) - 1)

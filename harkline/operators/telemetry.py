@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harkline.functions.text import fields, strip
+from harkline.functions.text import last_field, strip
 
 # Metric names looked for in a line, in order, with the column they fill.
 METRICS = {
@@ -42,13 +42,15 @@ def parse_metrics(
         list(METRICS.items())[1:],
         F.when(F.contains(text, F.lit(next(iter(METRICS)))), METRICS[next(iter(METRICS))]),
     )
-    parts = fields(text)
-    has_value = F.size(parts) >= 2
-    rows = lines.select(
-        snapshot,
-        F.col(pos).alias("_pos"),
-        F.when(used & has_value, metric).alias("_metric"),
-        F.when(used & has_value, F.element_at(parts, -1).try_cast("double")).alias("_value"),
+    rows = (
+        lines.select(snapshot, F.col(pos).alias("_pos"), line)
+        .withColumn("_last", F.when(used, last_field(text)))
+        .select(
+            snapshot,
+            "_pos",
+            F.when(F.col("_last") != "", metric).alias("_metric"),
+            F.col("_last").try_cast("double").alias("_value"),
+        )
     )
     by = F.max_by if pick == "last" else F.min_by
     values = []

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from harkline.functions.text import percent, with_duration
 from harkline.operators.merge import ok_filter
-from harkline.operators.ordering import BLOCK, global_index, position_block, running_totals
+from harkline.operators.ordering import BLOCK, line_index, position_block, running_totals
 
 # Bounds below which no statistics or forecasts are given.
 MIN_ELAPSED = 0.1
@@ -194,7 +194,7 @@ def checkpoint_series(
     `dense` says that positions are 0, 1, 2, ...; otherwise lines are numbered first.
     """
     if not dense:
-        log, pos = global_index(log, [pos], "_line"), "_line"
+        log, pos = line_index(log, pos, "_line"), "_line"
     duration = F.when(F.col("status") == "ok", with_duration(F.col("audio_duration")))
     counters = {**_outcomes(), "with_duration": duration.isNotNull().cast("bigint"), "audio_seconds": duration}
     buckets = (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from harkline.functions.payload import build_request, data_url, mime_by_extension, mime_by_magic
 from harkline.operators.annotate import ClientFactory, annotate, annotate_retry, result_record
-from harkline.operators.ordering import global_index
+from harkline.operators.ordering import line_index
 from harkline.operators.planning import assign_chunks, range_slice
 from harkline.operators.resume import MAX_RETRIES
 from harkline.operators.throughput import sample_weighted
@@ -75,7 +75,7 @@ def shard_attempt(
 
 def manifest_plan(spark: SparkSession, paths: str | Iterable[str], chunks: int, base: str = "manifest") -> DataFrame:
     """Manifest entries with dense index and chunk."""
-    return assign_chunks(global_index(read_manifest(spark, paths), ["pos"]), chunks, base)
+    return assign_chunks(line_index(read_manifest(spark, paths)), chunks, base)
 
 
 def run_manifest(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from harkline.functions.text import one_line_caption, strip
 from harkline.operators.merge import ok_filter, sorted_keys
+from harkline.session import written
 from harkline.sources.files import existing, read_lines
 
 #: Typed columns of a result record, ok or failed, manifest or shard.
@@ -126,8 +127,12 @@ def write_captions_tsv(log: DataFrame, path: str, key: str = "utt", clean: bool
 
 
 def write_merged(merged: DataFrame, path: str, tsv_path: str | None = None, key: str = "utt") -> None:
-    """Merged records sorted by key: original lines, and the caption table if asked."""
-    ordered = sorted_keys(merged, key)
-    ordered.select("raw").write.text(path)
+    """Merged records sorted by key: original lines, and the caption table if asked.
+
+    The merge is written once first: sampling the sort bounds and each output would
+    otherwise run it again.
+    """
+    chosen = written(merged.select(key, "status", "caption", "raw"), "merged")
+    sorted_keys(chosen, key).select("raw").write.text(path)
     if tsv_path:
-        write_captions_tsv(ordered, tsv_path, key)
+        write_captions_tsv(sorted_keys(ok_filter(chosen), key), tsv_path, key)
