@@ -150,13 +150,17 @@ def annotate_retry(
     max_retries: int = MAX_RETRIES,
     chunk: str | None = None,
     task_items: int = TASK_ITEMS,
+    unique: bool = False,
+    place: bool = True,
 ) -> DataFrame:
     """Run passes until nothing is pending; return the log.
 
     `attempt` turns pending items into records (load, request, `annotate`,
     `result_record`). Every pass is one write under its own run id, so a lost
     executor repeats its tasks' calls only and a lost driver resumes from the log.
-    Run ids start with the time, so that paths sort as the passes ran.
+    Run ids start with the time, so that paths sort as the passes ran. `unique` says
+    that no key repeats among the items; `place=False` leaves the placing of the
+    items to `attempt`.
     """
     spark = items.sparkSession
     began = int(time.time() * 1000)
@@ -164,17 +168,24 @@ def annotate_retry(
         state = resume_state(read_results(spark, log_path, _RESUME), key)
         # written once: the log is read and joined a single time per pass, and the
         # pass keeps its items while its own records arrive
-        todo = written(pending(items, state, key, max_retries), "pending")
+        todo = written(pending(items, state, key, max_retries, unique), "pending")
         left = todo.count()
         if not left:
             break
-        records = attempt(spread(todo, left, task_items))
+        records = attempt(spread(todo, left, task_items, chunk) if place else todo)
         write_results(records, log_path, f"{began:013d}-{number:02d}-{run_id}", chunk)
         items = todo.drop("retry_attempt")
     return read_results(spark, log_path)
 
 
-def spread(items: DataFrame, count: int, task_items: int = TASK_ITEMS) -> DataFrame:
-    """Even tasks by number of items; rows are small, so their bytes would give too few."""
+def spread(
+    items: DataFrame, count: int, task_items: int = TASK_ITEMS, chunk: str | None = None
+) -> DataFrame:
+    """Even tasks by number of items; rows are small, so their bytes would give too few.
+
+    With `chunk`, a task holds a stretch of few chunks and writes as few files.
+    """
     tasks = max(items.sparkSession.sparkContext.defaultParallelism, -(-count // task_items))
-    return items.repartition(tasks)
+    if chunk is None:
+        return items.repartition(tasks)
+    return items.repartitionByRange(tasks, chunk, *[c for c in items.columns if c != chunk])

@@ -62,19 +62,30 @@ def resume_state(
     )
 
 
-def _with_state(items: DataFrame, state: DataFrame, key: str) -> DataFrame:
-    joined = salted_join(items, state.where(F.col(key).isNotNull()), key, "left", items.columns)
+def _with_state(items: DataFrame, state: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    keyed = state.where(F.col(key).isNotNull())
+    if unique:
+        joined = items.join(keyed, key, "left")
+    else:
+        joined = salted_join(items, keyed, key, "left", items.columns)
     return joined.withColumn("done", F.coalesce("done", F.lit(False))).withColumn(
         "retry", F.coalesce("retry", F.lit(0))
     )
 
 
 def pending(
-    items: DataFrame, state: DataFrame, key: str = "utt", max_retries: int = MAX_RETRIES
+    items: DataFrame,
+    state: DataFrame,
+    key: str = "utt",
+    max_retries: int = MAX_RETRIES,
+    unique: bool = False,
 ) -> DataFrame:
-    """Items neither done nor out of retries, with the number of the next attempt."""
+    """Items neither done nor out of retries, with the number of the next attempt.
+
+    `unique` says that no key repeats among the items, so none can be hot.
+    """
     return (
-        _with_state(items, state, key)
+        _with_state(items, state, key, unique)
         .where(~F.col("done") & (F.col("retry") < max_retries))
         .select(*items.columns, (F.col("retry") + 1).alias("retry_attempt"))
     )

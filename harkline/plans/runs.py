@@ -14,7 +14,7 @@ from harkline.operators.planning import assign_chunks, range_slice
 from harkline.operators.resume import MAX_RETRIES
 from harkline.operators.throughput import sample_weighted
 from harkline.sources.manifest import read_manifest
-from harkline.sources.payloads import audio_probe, content_duration, load_payload
+from harkline.sources.payloads import content_duration, load_payload
 from harkline.sources.shards import read_shard_index, shard_files, slice_shards
 
 Attempt = Callable[[DataFrame], DataFrame]
@@ -26,8 +26,7 @@ def manifest_attempt(
     """Pending manifest rows to result records."""
 
     def attempt(todo: DataFrame) -> DataFrame:
-        items = audio_probe(todo).drop("container", "sample_rate", "channels") if probe else todo
-        loaded = load_payload(items)
+        loaded = load_payload(todo, probe=probe)
         url = data_url(F.col("content"), mime_by_extension(F.col("src")))
         request = F.when(F.col("load_error").isNull(), build_request(url, model, temperature, max_tokens))
         kept = ["utt", "retry_attempt", *[c for c in ("audio_duration", "audio_duration_error", "chunk_id") if c in loaded.columns]]
@@ -109,4 +108,7 @@ def run_shards(
     """Annotate an index range of a shard folder; returns the log."""
     index = range_slice(read_shard_index(spark, path), start, end)
     attempt = shard_attempt(shard_files(spark, path), client, model, **options)
-    return annotate_retry(index, log_path, run_id, attempt, "idx", max_retries)
+    # positions are unique, and slicing places the rows itself
+    return annotate_retry(
+        index, log_path, run_id, attempt, "idx", max_retries, unique=True, place=False
+    )

@@ -39,9 +39,19 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _app_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/harkline/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder name below the scratch root that no other call gets."""
-    return f"{scratch_root(spark)}/harkline/{name}-{uuid.uuid4().hex}"
+    return f"{_app_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the scratch folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_app_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

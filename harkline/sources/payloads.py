@@ -18,35 +18,6 @@ from harkline.sources.files import open_file
 _YIELD_BYTES = 32 << 20
 
 
-def _load(batches: Iterator[pd.DataFrame], src_col: str) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        done, contents, errors, held = 0, [], [], 0
-        for at, src in enumerate(batch[src_col], 1):
-            content = error = None
-            try:
-                if src.endswith("|"):
-                    raise ValueError("command sources are not run")
-                with open_file(src) as file:
-                    content = file.read()
-            except Exception as problem:
-                error = str(problem)
-            contents.append(content)
-            errors.append(error)
-            held += len(content or b"")
-            if held >= _YIELD_BYTES or at == len(batch):
-                yield batch.iloc[done:at].assign(content=contents, load_error=errors)
-                done, contents, errors, held = at, [], [], 0
-
-
-def load_payload(items: DataFrame, src_col: str = "src") -> DataFrame:
-    """Whole file bytes per row: + content, load_error. An unreadable file fails its row."""
-    schema = T.StructType(
-        items.schema.fields
-        + [T.StructField("content", T.BinaryType()), T.StructField("load_error", T.StringType())]
-    )
-    return items.mapInPandas(lambda it: _load(it, src_col), schema)
-
-
 def _riff(file, size: int) -> tuple[int, int, int]:
     """(sample rate, channels, frames) of a RIFF file, chunk by chunk."""
     at, layout = 12, None
@@ -87,70 +58,123 @@ def content_duration(content: Column) -> Column:
     return F.coalesce(from_flac, _riff_seconds(F.when(riff, content)))
 
 
-def _heads(batches: Iterator[pd.DataFrame], src_col: str) -> Iterator[pd.DataFrame]:
-    """First bytes of each file and, for RIFF, the fields found by walking its chunks."""
+_PROBE = {"_head": T.BinaryType(), "_rate": T.LongType(), "_channels": T.LongType(), "_frames": T.LongType(), "_problem": T.StringType()}
+
+
+def _probe(file) -> tuple:
+    """First bytes and, for RIFF, the fields found by walking its chunks."""
+    head = file.read(64)
+    fields, problem = (None, None, None), None
+    if head[:4] == b"RIFF" and head[8:12] == b"WAVE":
+        try:
+            fields = _riff(file, file.seek(0, io.SEEK_END))
+        except (ValueError, struct.error) as failure:
+            problem = _named(failure)
+    return (head, *fields, problem)
+
+
+def _named(failure: Exception) -> str:
+    return f"{type(failure).__name__}: {str(failure)[:50]}"
+
+
+def _opened(src: str):
+    if src.endswith("|"):
+        raise ValueError("command sources are not run")
+    return open_file(src)
+
+
+def _with_columns(batch: pd.DataFrame, names: list[str], rows: list[tuple]) -> pd.DataFrame:
+    more = pd.DataFrame(rows, columns=names, index=batch.index, dtype=object)
+    return pd.concat([batch, more], axis=1)
+
+
+def _schema(items: DataFrame, extra: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType(items.schema.fields + [T.StructField(n, t) for n, t in extra.items()])
+
+
+def _load(batches: Iterator[pd.DataFrame], src_col: str, names: list[str], probe: bool) -> Iterator[pd.DataFrame]:
+    nothing = (None,) * len(_PROBE) if probe else ()
     for batch in batches:
-        found = []
-        for src in batch[src_col]:
-            head, fields, error = b"", (None, None, None), None
+        done, rows, held = 0, [], 0
+        for at, src in enumerate(batch[src_col], 1):
             try:
-                if src.endswith("|"):
-                    raise ValueError("command sources are not run")
-                with open_file(src) as file:
-                    head = file.read(64)
-                    if head[:4] == b"RIFF" and head[8:12] == b"WAVE":
-                        file.seek(0, 2)
-                        fields = _riff(file, file.tell())
-            except Exception as problem:
-                error = f"{type(problem).__name__}: {str(problem)[:50]}"
-            found.append((head, *fields, error))
-        columns = ["_head", "_rate", "_channels", "_frames", "_error"]
-        more = pd.DataFrame(found, columns=columns, index=batch.index)
-        for name in columns[1:4]:
-            more[name] = more[name].astype("Int64")
-        yield pd.concat([batch, more], axis=1)
+                with _opened(src) as file:
+                    content = file.read()
+                rows.append((content, None, *(_probe(io.BytesIO(content)) if probe else ())))
+                held += len(content)
+            except Exception as failure:
+                rows.append((None, str(failure), *nothing))
+            if held >= _YIELD_BYTES or at == len(batch):
+                yield _with_columns(batch.iloc[done:at], names, rows)
+                done, rows, held = at, [], 0
 
 
-def audio_probe(items: DataFrame, src_col: str = "src") -> DataFrame:
-    """Header inventory: + container, sample_rate, channels, audio_duration, audio_duration_error.
+def load_payload(items: DataFrame, src_col: str = "src", probe: bool = False) -> DataFrame:
+    """Whole file bytes per row: + content, load_error. An unreadable file fails its row.
 
-    Tasks read only headers. FLAC fields are column expressions over the first bytes;
-    RIFF chunks are walked in the task. Other containers have no duration.
+    `probe` adds audio_duration and audio_duration_error from the bytes at hand.
     """
-    extra = [("_head", T.BinaryType()), ("_rate", T.LongType()), ("_channels", T.LongType())]
-    extra += [("_frames", T.LongType()), ("_error", T.StringType())]
-    schema = T.StructType(items.schema.fields + [T.StructField(n, t) for n, t in extra])
+    extra = {"content": T.BinaryType(), "load_error": T.StringType(), **(_PROBE if probe else {})}
+    names = list(extra)
+    loaded = items.mapInPandas(lambda it: _load(it, src_col, names, probe), _schema(items, extra))
+    if not probe:
+        return loaded
+    found = _found()
+    return loaded.select(
+        *items.columns,
+        "content",
+        "load_error",
+        found["audio_duration"].alias("audio_duration"),
+        found["audio_duration_error"].alias("audio_duration_error"),
+    )
+
+
+def _found() -> dict[str, Column]:
+    """Header columns over the fields of `_probe`; FLAC fields are column expressions."""
     head = F.col("_head")
     flac = F.substring(head, 1, 4) == F.lit(b"fLaC")
     riff = (F.substring(head, 1, 4) == F.lit(b"RIFF")) & (F.substring(head, 9, 4) == F.lit(b"WAVE"))
-    info = F.col("_info")
+    info = flac_stream_info(head)
 
     def either(flac_field: str, riff_field: str) -> Column:
         return F.when(flac, info[flac_field]).when(riff, F.col(riff_field))
 
     rate = either("sample_rate", "_rate")
     seconds = either("samples", "_frames") / F.nullif(rate, F.lit(0))
-    error = F.when(
-        F.col("audio_duration").isNull(),
-        F.concat(F.lit("error: "), F.coalesce("_error", F.lit("ValueError: no duration in header"))),
-    )
-    return (
-        items.mapInPandas(lambda it: _heads(it, src_col), schema)
-        .withColumn("_info", flac_stream_info(head))
-        .select(
-            *items.columns,
-            F.when(flac, "flac").when(riff, "wav").otherwise("other").alias("container"),
-            rate.alias("sample_rate"),
-            either("channels", "_channels").cast("bigint").alias("channels"),
-            seconds.alias("audio_duration"),
-            "_error",
-        )
-        .withColumn(
-            "audio_duration_error",
-            F.when(is_command(F.col(src_col)), "pipe_command").otherwise(error),
-        )
-        .drop("_error")
+    reason = F.concat(F.lit("error: "), F.coalesce("_problem", F.lit("ValueError: no duration in header")))
+    return {
+        "container": F.when(flac, "flac").when(riff, "wav").otherwise("other"),
+        "sample_rate": rate,
+        "channels": either("channels", "_channels").cast("bigint"),
+        "audio_duration": seconds,
+        "audio_duration_error": F.when(seconds.isNull(), reason),
+    }
+
+
+def _heads(batches: Iterator[pd.DataFrame], src_col: str) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for src in batch[src_col]:
+            try:
+                with _opened(src) as file:
+                    rows.append(_probe(file))
+            except Exception as failure:
+                rows.append((b"", None, None, None, _named(failure)))
+        yield _with_columns(batch, list(_PROBE), rows)
+
+
+def audio_probe(items: DataFrame, src_col: str = "src") -> DataFrame:
+    """Header inventory: + container, sample_rate, channels, audio_duration, audio_duration_error.
+
+    Tasks read only headers. FLAC fields are column expressions over the first bytes;
+    RIFF chunks are walked in the task. Other containers have no duration.
+    """
+    heads = items.mapInPandas(lambda it: _heads(it, src_col), _schema(items, _PROBE))
+    found = _found()
+    found["audio_duration_error"] = F.when(is_command(F.col(src_col)), "pipe_command").otherwise(
+        found["audio_duration_error"]
     )
+    return heads.select(*items.columns, *[c.alias(n) for n, c in found.items()])
 
 
 def probe_summary(probed: DataFrame, *by: str) -> DataFrame:

@@ -98,6 +98,13 @@ def latest_run(spark: SparkSession, path: str, prefix: str = "captions-arkive-",
     )
 
 
+def log_span(spark: SparkSession, path: str) -> DataFrame:
+    """One row `seconds`: from the first to the last change of a log's files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    at = F.unix_micros("modificationTime")
+    return files.agg(((F.max(at) - F.min(at)) / 1e6).alias("seconds"))
+
+
 def record_json(df: DataFrame) -> Column:
     """One result record as JSON text; absent fields are left out, `usage` stays an object."""
     fields = []
