@@ -191,7 +191,8 @@ def _log_lines(spark, sf):
 @query
 def write_merged(spark, sf):
     path = scratch_path(spark, "merged")
-    results.write_merged(merge.merge_results(_log_lines(spark, sf)), path, f"{path}-tsv")
+    chosen = merge.merge_results(_log_lines(spark, sf).select("utt", "status", "caption", "raw", "pos"))
+    results.write_merged(written(chosen, "merged"), path, f"{path}-tsv")
     back = results.read_results(spark, path)
     return ordering.line_index(back.drop("idx")).select("idx", "raw")
 

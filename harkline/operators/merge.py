@@ -20,45 +20,57 @@ def _rank(pos: str, prefer_success: bool) -> Column:
     return F.when(F.col("status") == "ok", F.lit(_TOP) - last).otherwise(last)
 
 
-def merge_results(
+def merge_counted(
     log: DataFrame, key: str = "utt", pos: str = "pos", prefer_success: bool = True
 ) -> DataFrame:
-    """The first ok record of a key, else its last record; rows without key are dropped.
+    """The record to keep per key and `attempts`, the number of its records.
 
     A single `max_by` keeps one record in the aggregation buffer, and the map side
-    already reduces a hot key to one row per task.
+    already reduces a hot key to one row per task. Records without key share a row.
     """
     record = F.struct(*[c for c in log.columns if c != key])
     return (
-        log.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.max_by(record, _rank(pos, prefer_success)).alias("_r"))
-        .select(key, "_r.*")
-        .select(*log.columns)
+        log.groupBy(key)
+        .agg(F.max_by(record, _rank(pos, prefer_success)).alias("_r"), F.count("*").alias("attempts"))
+        .select(key, "_r.*", "attempts")
+        .select(*log.columns, "attempts")
     )
 
 
-def merge_stats(
+def merge_results(
     log: DataFrame, key: str = "utt", pos: str = "pos", prefer_success: bool = True
 ) -> DataFrame:
-    """One row of counters over the merge."""
-    ok = F.coalesce(F.col("status") == "ok", F.lit(False))
-    chosen_ok = F.max(ok) if prefer_success else F.max_by(ok, F.col(pos))
-    per_key = log.groupBy(key).agg(F.count("*").alias("_n"), chosen_ok.alias("_ok"))
-    keyed = F.col(key).isNotNull()
+    """The first ok record of a key, else its last record; rows without key are dropped."""
+    return merge_counted(log.where(F.col(key).isNotNull()), key, pos, prefer_success).drop("attempts")
+
 
-    def total(value: Column, name: str) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias(name)
+def _total(value: Column, name: str) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias(name)
 
-    return per_key.agg(
+
+def counted_stats(counted: DataFrame, key: str = "utt") -> DataFrame:
+    """One row of counters over `merge_counted`."""
+    keyed = F.col(key).isNotNull()
+    ok = F.coalesce(F.col("status") == "ok", F.lit(False))
+    return counted.agg(
         F.count_if(keyed).alias("unique_keys"),
-        F.count_if(keyed & F.col("_ok")).alias("successful"),
-        F.count_if(keyed & ~F.col("_ok")).alias("failed"),
-        total(F.when(keyed, F.col("_n") - 1), "duplicates_resolved"),
-        total(F.when(~keyed, F.col("_n")), "missing_key"),
+        F.count_if(keyed & ok).alias("successful"),
+        F.count_if(keyed & ~ok).alias("failed"),
+        _total(F.when(keyed, F.col("attempts") - 1), "duplicates_resolved"),
+        _total(F.when(~keyed, F.col("attempts")), "missing_key"),
     )
 
 
+def merge_stats(
+    log: DataFrame, key: str = "utt", pos: str = "pos", prefer_success: bool = True
+) -> DataFrame:
+    """One row of counters over the merge, without carrying its records."""
+    ok = F.coalesce(F.col("status") == "ok", F.lit(False))
+    chosen_ok = F.max(ok) if prefer_success else F.max_by(ok, F.col(pos))
+    per_key = log.groupBy(key).agg(F.count("*").alias("attempts"), chosen_ok.alias("_ok"))
+    return counted_stats(per_key.withColumn("status", F.when(F.col("_ok"), "ok")), key)
+
+
 def distinct_keys(log: DataFrame, key: str = "utt") -> DataFrame:
     return log.select(key).where(F.col(key).isNotNull()).distinct()
 

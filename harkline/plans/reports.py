@@ -7,12 +7,13 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harkline.operators.merge import merge_results, merge_stats
+from harkline.operators.merge import counted_stats, merge_counted
 from harkline.operators.progress import progress_report, progress_stats, retry_distribution, top_errors
 from harkline.operators.throughput import forecast_datasets, run_metrics, throughput_rate
+from harkline.session import written
 from harkline.sources.files import read_lines
 from harkline.sources.manifest import manifest_profile
-from harkline.sources.results import read_results, write_merged
+from harkline.sources.results import log_span, read_results, write_merged
 
 
 def merge_logs(
@@ -23,22 +24,31 @@ def merge_logs(
     key: str = "utt",
     prefer_success: bool = True,
 ) -> DataFrame:
-    """Merge logs into one sorted log (and caption table); returns the counters."""
-    log = read_results(spark, paths)
-    write_merged(merge_results(log.select(key, "status", "caption", "raw", "pos"), key, prefer_success=prefer_success), out, tsv_out, key)
-    return merge_stats(log, key, prefer_success=prefer_success)
+    """Merge logs into one sorted log (and caption table); returns the counters.
+
+    The logs are read and grouped once; outputs and counters come from that table.
+    """
+    columns = [key, "status", "caption"]
+    log = read_results(spark, paths, columns).select(*columns, "raw", "pos")
+    counted = written(merge_counted(log, key, prefer_success=prefer_success), "merged")
+    write_merged(counted.where(F.col(key).isNotNull()), out, tsv_out, key)
+    return counted_stats(counted, key)
 
 
 def progress_of(
     spark: SparkSession, log_paths: str | Iterable[str], manifest: str | None = None, total: int | None = None, key: str = "utt"
 ) -> dict[str, DataFrame]:
-    """Report frames of a run: summary, retries, errors."""
-    log = read_results(spark, log_paths)
+    """Report frames of a run: summary, retries, errors.
+
+    The lines are parsed once into a table that all three read.
+    """
+    columns = [key, "status", "error", "processing_time", "audio_duration", "retry_attempt"]
+    log = written(read_results(spark, log_paths, columns).select(*columns, "pos"), "log")
     expected = total
     if expected is None and manifest:
         expected = manifest_profile(read_lines(spark, manifest)).select("progress_total").scalar()
     return {
-        "summary": progress_report(progress_stats(log, key), expected),
+        "summary": progress_report(progress_stats(log, key), expected, log_span(spark, log_paths).scalar()),
         "retries": retry_distribution(log),
         "errors": top_errors(log),
     }
@@ -51,7 +61,9 @@ def forecast_of(
     hours: list[float] | None = None,
 ) -> dict[str, DataFrame]:
     """Report frames of an estimate: metrics, datasets, rates."""
-    metrics = run_metrics(read_results(spark, log_paths))
+    columns = ["status", "processing_time", "audio_duration"]
+    log = written(read_results(spark, log_paths, columns).select(*columns), "log")
+    metrics = run_metrics(log)
     return {
         "metrics": metrics,
         "datasets": forecast_datasets(metrics, names, hours),

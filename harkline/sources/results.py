@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from harkline.functions.text import one_line_caption, strip
 from harkline.operators.merge import ok_filter, sorted_keys
-from harkline.session import written
 from harkline.sources.files import existing, read_lines
 
 #: Typed columns of a result record, ok or failed, manifest or shard.
@@ -98,9 +97,9 @@ def latest_run(spark: SparkSession, path: str, prefix: str = "captions-arkive-",
     )
 
 
-def log_span(spark: SparkSession, path: str) -> DataFrame:
+def log_span(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """One row `seconds`: from the first to the last change of a log's files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(existing(spark, paths))
     at = F.unix_micros("modificationTime")
     return files.agg(((F.max(at) - F.min(at)) / 1e6).alias("seconds"))
 
@@ -136,10 +135,10 @@ def write_captions_tsv(log: DataFrame, path: str, key: str = "utt", clean: bool
 def write_merged(merged: DataFrame, path: str, tsv_path: str | None = None, key: str = "utt") -> None:
     """Merged records sorted by key: original lines, and the caption table if asked.
 
-    The merge is written once first: sampling the sort bounds and each output would
-    otherwise run it again.
+    Give a table that is cheap to read (`written`): sampling the sort bounds and each
+    output read it again.
     """
-    chosen = written(merged.select(key, "status", "caption", "raw"), "merged")
+    chosen = merged.select(key, "status", "caption", "raw")
     sorted_keys(chosen, key).select("raw").write.text(path)
     if tsv_path:
         write_captions_tsv(sorted_keys(ok_filter(chosen), key), tsv_path, key)
