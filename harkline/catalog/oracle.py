@@ -170,7 +170,7 @@ SELECT row_number() OVER (ORDER BY utt) - 1 AS idx, value AS raw FROM merged JOI
     "audio_probe": f"""WITH {MEDIA} SELECT subset, container,
   CASE WHEN container <> 'other' THEN rate END AS sample_rate,
   CASE container WHEN 'flac' THEN ch WHEN 'wav' THEN 1 END AS channels, count(*) AS files,
-  round(sum(CASE container WHEN 'flac' THEN samples / rate WHEN 'wav' THEN strlen(text) / rate END), 4) AS seconds,
+  round(sum(CASE container WHEN 'flac' THEN samples / rate WHEN 'wav' THEN strlen(text) / rate END), 9) AS seconds,
   count(*) FILTER (container = 'other') AS without_duration FROM m GROUP BY ALL""",
     "result_record": """WITH r AS (SELECT event_id AS pos, event_type, event_id % 5 = 0 AS lost,
   event_id % 5 <> 0 AND event_id % 6 >= 3 AS good FROM events)

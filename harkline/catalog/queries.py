@@ -277,7 +277,7 @@ def audio_probe(spark, sf):
     probed = payloads.audio_probe(manifest.list_media(spark, fx.media_tree(spark, sf), suffixes=[""]))
     return probed.groupBy("subset", "container", "sample_rate", "channels").agg(
         F.count("*").alias("files"),
-        _r(F.sum("audio_duration"), 4).alias("seconds"),
+        _r(F.sum("audio_duration"), 9).alias("seconds"),
         F.count("audio_duration_error").alias("without_duration"),
     )
 
