@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from harkline.session import written
 
-#: Positions per block: a bounded group, and few blocks however many rows there are
-#: (row numbers of 10^12 lines make 60,000 blocks, byte positions of 100 TB 6 million).
-BLOCK = 1 << 24
+#: Positions per block: a bounded group of rows.
+BLOCK = 1 << 20
+#: Blocks per superblock: a bounded group of block totals. 10^12 row numbers make 58
+#: superblocks, byte positions of 100 TB 6,000 and at most one more per file.
+SUPERBLOCK = 1 << 14
 
 _ROW_BITS = 33
 
@@ -64,6 +66,26 @@ def position_block(pos: str | Column, block: int = BLOCK) -> Column:
     return F.call_function("div", pos, F.lit(block).cast("bigint"))
 
 
+def _offsets(blocks: DataFrame, names: list[str]) -> DataFrame:
+    """Exclusive prefix sums of the columns `_name` over the rows of a block table."""
+    keyed = blocks.withColumn("_super", position_block("_block", SUPERBLOCK))
+    before = (Window.unboundedPreceding, -1)
+
+    def prefix(window):
+        return [F.coalesce(F.sum(f"_{n}").over(window.rowsBetween(*before)), F.lit(0)).alias(f"_{n}") for n in names]
+
+    # a few numbers per superblock: the one-task window runs over these rows only
+    supers = (
+        keyed.groupBy("_super")
+        .agg(*[F.sum(f"_{n}").alias(f"_{n}") for n in names])
+        .select("_super", *[c.alias(f"_s_{n}") for n, c in zip(names, prefix(Window.orderBy("_super")))])
+    )
+    inside = keyed.select("_block", "_super", *prefix(Window.partitionBy("_super").orderBy("_block")))
+    return inside.join(supers, "_super").select(
+        "_block", *[(F.col(f"_{n}") + F.col(f"_s_{n}")).alias(f"_{n}") for n in names]
+    )
+
+
 def running_totals(
     df: DataFrame, pos: str, totals: dict[str, Column], block: int = BLOCK
 ) -> DataFrame:
@@ -73,16 +95,7 @@ def running_totals(
     totals. Both sides of the join are placed by block, so the rows move once.
     """
     keyed = df.withColumn("_block", position_block(pos, block))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    # a few numbers per block: the one-task window runs over this small table only
-    offsets = (
-        keyed.groupBy("_block")
-        .agg(*[F.sum(expr).alias(f"_{name}") for name, expr in totals.items()])
-        .select(
-            "_block",
-            *[F.coalesce(F.sum(f"_{name}").over(before), F.lit(0)).alias(f"_{name}") for name in totals],
-        )
-    )
+    blocks = keyed.groupBy("_block").agg(*[F.sum(expr).alias(f"_{name}") for name, expr in totals.items()])
     inside = (
         Window.partitionBy("_block")
         .orderBy(pos)
@@ -91,7 +104,7 @@ def running_totals(
     local = keyed.select(
         "*", *[F.coalesce(F.sum(expr).over(inside), F.lit(0)).alias(name) for name, expr in totals.items()]
     )
-    joined = local.join(offsets, "_block")
+    joined = local.join(_offsets(blocks, list(totals)), "_block")
     return joined.select(
         *df.columns, *[(F.col(name) + F.col(f"_{name}")).alias(name) for name in totals]
     )

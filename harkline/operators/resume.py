@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harkline.operators.ordering import BLOCK, position_block
+from harkline.operators.ordering import position_block
 from harkline.operators.skew import salted_join
 
 MAX_RETRIES = 3
 
+#: Log positions per first-level group of a key. Larger than the blocks of running
+#: totals: the second level holds one row per key and block.
+FOLD_BLOCK = 1 << 22
+
 
 def resume_state(
-    log: DataFrame, key: str = "utt", pos: str = "pos", block: int = BLOCK
+    log: DataFrame, key: str = "utt", pos: str = "pos", block: int = FOLD_BLOCK
 ) -> DataFrame:
     """Per key: `done` (ever ok) and `retry` (attempts used since the last ok).
 

@@ -35,7 +35,7 @@ def test_rows_are_never_sent_to_one_task(spark, name):
 
 def test_running_counts_single_task_is_block_totals_only(spark):
     text = plan(throughput.running_counts(fx.fixture(spark, SMALL, fx.RUN_LOG)))
-    assert all("HashAggregate(keys=[_block" in b for b in node_below(text, "Exchange SinglePartition"))
+    assert all("HashAggregate(keys=[_super" in b for b in node_below(text, "Exchange SinglePartition"))
 
 
 def test_reports_aggregate_before_the_shuffle(spark):
