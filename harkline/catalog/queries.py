@@ -134,7 +134,7 @@ def load_payload(spark, sf):
     return loaded.select(
         "doc_id",
         F.md5("content").alias("digest"),
-        F.octet_length("content").alias("size"),
+        F.octet_length("content").cast("bigint").alias("size"),
         F.col("load_error").isNotNull().alias("failed"),
     )
 

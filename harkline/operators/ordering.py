@@ -29,10 +29,10 @@ def global_index(
     range bounds come from a sample, so they must not be drawn again. One count
     per partition then gives the offsets.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # without a number, adaptive execution joins small neighbours; the order stays
+    ranges = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        ranges.sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
     placed = written(placed, "index")
@@ -51,7 +51,7 @@ def global_index(
             ).alias("_offset"),
         )
     )
-    # one row per range partition: at most n rows
+    # one row per range partition
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")

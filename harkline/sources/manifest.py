@@ -180,10 +180,9 @@ def write_chunks(assigned: DataFrame, path: str, source: str, written_at: str) -
     headers = heads.select("chunk_id", "chunk_name", F.posexplode(header).alias("_i", "value")).select(
         "chunk_id", "chunk_name", (F.col("_i") - 4).cast("bigint").alias("idx"), "value"
     )
-    parts = int(assigned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         lines.unionByName(headers)
-        .repartitionByRange(parts, "chunk_id", "idx")
+        .repartitionByRange("chunk_id", "idx")
         .sortWithinPartitions("chunk_id", "idx")
         .select("chunk_id", "value")
         .write.mode("overwrite")

@@ -79,22 +79,27 @@ def read_results(
     return parse_results(read_lines(spark, paths), columns=columns)
 
 
-def latest_run(spark: SparkSession, path: str, prefix: str = "captions-arkive-", suffix: str = ".jsonl") -> DataFrame:
-    """Newest log of a folder: (run_id, path, mtime); no row where there is none."""
-    if not existing(spark, path):
-        return spark.createDataFrame([], "run_id string, path string, mtime timestamp")
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"{prefix}*{suffix}")
-        .load(path)
-        .select("path", "modificationTime")
-    )
-    run_id = F.regexp_extract("path", rf"/\Q{prefix}\E([^/]*)\Q{suffix}\E$", 1)
-    return (
-        listing.orderBy(F.desc("modificationTime"), "path")
-        .limit(1)
-        .select(run_id.alias("run_id"), "path", F.col("modificationTime").alias("mtime"))
-    )
+def latest_run(
+    spark: SparkSession,
+    path: str,
+    prefix: str = "captions-arkive-",
+    suffix: str = ".jsonl",
+    fresh: str | None = None,
+) -> DataFrame:
+    """Newest log of a folder: (run_id, path, mtime).
+
+    Where there is none: the id `fresh` without a path, or no row if none is given.
+    """
+    shape = "run_id string, path string, mtime timestamp"
+    found = spark.createDataFrame([], shape)
+    if existing(spark, path):
+        run_id = F.regexp_extract("path", rf"/\Q{prefix}\E([^/]*)\Q{suffix}\E$", 1)
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*{suffix}").load(path)
+        found = listing.select(run_id.alias("run_id"), "path", F.col("modificationTime").alias("mtime"))
+    if fresh is not None:
+        none = spark.range(1).select(F.lit(fresh).alias("run_id"), F.lit(None).cast("string").alias("path"), F.lit(None).cast("timestamp").alias("mtime"))
+        found = found.unionByName(none)
+    return found.orderBy(F.desc_nulls_last("mtime"), "path").limit(1)
 
 
 def log_span(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:

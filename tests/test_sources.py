@@ -101,7 +101,9 @@ def test_latest_run(spark, folder):
         put(f"{folder}/{name}", "{}")
         os.utime(f"{folder}/{name}", (at, at))
     assert results.latest_run(spark, folder).first().run_id == "a-b"
+    assert results.latest_run(spark, folder, fresh="new").first().run_id == "a-b"
     assert results.latest_run(spark, f"{folder}/none").count() == 0
+    assert tuple(results.latest_run(spark, f"{folder}/none", fresh="new").first()) == ("new", None, None)
 
 
 def test_records_round_trip(spark, folder):
