@@ -153,7 +153,7 @@ def annotate_retry(
     unique: bool = False,
     place: bool = True,
 ) -> DataFrame:
-    """Run passes until nothing is pending; return the log.
+    """Run passes until nothing is pending (at most `max_retries`); return the log.
 
     `attempt` turns pending items into records (load, request, `annotate`,
     `result_record`). Every pass is one write under its own run id, so a lost
@@ -164,8 +164,9 @@ def annotate_retry(
     """
     spark = items.sparkSession
     began = int(time.time() * 1000)
-    for number in range(max_retries + 1):
-        state = resume_state(read_results(spark, log_path, _RESUME), key)
+    seen = log_path
+    for number in range(max_retries):
+        state = resume_state(read_results(spark, seen, _RESUME), key)
         # written once: the log is read and joined a single time per pass, and the
         # pass keeps its items while its own records arrive
         todo = written(pending(items, state, key, max_retries, unique), "pending")
@@ -173,8 +174,11 @@ def annotate_retry(
         if not left:
             break
         records = attempt(spread(todo, left, task_items, chunk) if place else todo)
-        write_results(records, log_path, f"{began:013d}-{number:02d}-{run_id}", chunk)
-        items = todo.drop("retry_attempt")
+        name = f"{began:013d}-{number:02d}-{run_id}"
+        write_results(records, log_path, name, chunk)
+        # every record carries its attempt number, so what a pass wrote tells the new
+        # state of its items without the log before it
+        items, seen = todo.drop("retry_attempt"), f"{log_path}/run_id={name}"
     return read_results(spark, log_path)
 
 
