@@ -43,7 +43,7 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
 def _entries(spark: SparkSession, sf: str) -> DataFrame:
     """Parsed manifest entries with a dense index."""
     entries = manifest.parse_manifest(fx.fixture(spark, sf, fx.MANIFEST_LINES))
-    return ordering.line_index(entries)
+    return written(ordering.line_index(entries), "entries")
 
 
 def _payloads(spark: SparkSession, sf: str) -> DataFrame:

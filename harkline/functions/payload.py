@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import json
 import mimetypes
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,8 +47,8 @@ FALLBACK_TYPE = "audio/wav"
 def mime_by_extension(src: Column) -> Column:
     """Type by the last suffix of a path; commands and unknown suffixes are WAV."""
     standard = {k.lstrip("."): v for k, v in mimetypes.MimeTypes().types_map[1].items()}
-    types = {**standard, **MEDIA_TYPES}
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(types.items())])
+    # one text literal, folded to a constant map when the query is planned
+    table = F.from_json(F.lit(json.dumps({**standard, **MEDIA_TYPES})), "map<string, string>")
     unpacked = F.regexp_replace(src, r"\.(gz|Z|bz2|xz|br)$", "")
     suffix = F.lower(F.regexp_extract(unpacked, r"[^/.][^/]*\.([^./]+)$", 1))
     known = F.try_element_at(table, suffix)

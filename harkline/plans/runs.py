@@ -13,6 +13,7 @@ from harkline.operators.ordering import line_index
 from harkline.operators.planning import assign_chunks, range_slice
 from harkline.operators.resume import MAX_RETRIES
 from harkline.operators.throughput import sample_weighted
+from harkline.session import written
 from harkline.sources.manifest import read_manifest
 from harkline.sources.payloads import content_duration, load_payload
 from harkline.sources.shards import read_shard_index, shard_files, slice_shards
@@ -73,8 +74,8 @@ def shard_attempt(
 
 
 def manifest_plan(spark: SparkSession, paths: str | Iterable[str], chunks: int, base: str = "manifest") -> DataFrame:
-    """Manifest entries with dense index and chunk."""
-    return assign_chunks(line_index(read_manifest(spark, paths)), chunks, base)
+    """Manifest entries with dense index and chunk, parsed and numbered once."""
+    return assign_chunks(written(line_index(read_manifest(spark, paths)), "manifest"), chunks, base)
 
 
 def run_manifest(

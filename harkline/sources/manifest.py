@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harkline.functions.text import is_command, strip, two_fields, utt_from_path
-from harkline.session import local_path
+from harkline.session import local_path, written
 from harkline.sources.files import read_lines
 
 # Default subset folders and file suffixes of a listing.
@@ -169,6 +169,8 @@ def write_chunks(assigned: DataFrame, path: str, source: str, written_at: str) -
     `assigned` has chunk_id, chunk_name, idx, utt, src. Lines are range partitioned
     by (chunk, index): a large chunk becomes several files in order.
     """
+    # read by the header counts, the sampling of the sort and the lines
+    assigned = written(assigned.select("chunk_id", "chunk_name", "idx", "utt", "src"), "chunks")
     lines = assigned.select("chunk_id", "chunk_name", "idx", F.concat_ws(" ", "utt", "src").alias("value"))
     heads = assigned.groupBy("chunk_id", "chunk_name").agg(F.count("*").alias("n"))
     header = F.array(
