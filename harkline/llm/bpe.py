@@ -136,8 +136,10 @@ class TreeBpe:
         if len(data) <= MATCH_LEAF:
             return self.merge(data)
         half = len(data) // 2
-        while data[half] & 0xC0 == 0x80:  # not inside a character
+        while half < len(data) and data[half] & 0xC0 == 0x80:  # not inside a character
             half += 1
+        if half == len(data):
+            return self.merge(data)
         return self._join_tokens(self.encode_match(data[:half]), self.encode_match(data[half:]))
 
     def _join_tokens(self, left: list[int], right: list[int]) -> list[int]:
