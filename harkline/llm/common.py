@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text a task handles at a time; a longer text is a piece of its own.
@@ -33,7 +34,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)
         ends = np.cumsum(sizes)
         begin = 0
         while begin < batch.num_rows:
@@ -56,7 +57,7 @@ def bytes_of(column: pa.Array) -> list[bytes]:
 
 def joined_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column in one array, and the bytes of each row (null: 0)."""
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
+    lengths = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
     return np.frombuffer(b"".join(bytes_of(column)), dtype=np.uint8), lengths
 
 
