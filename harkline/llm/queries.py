@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from harkline.llm import bpe, pii
+from harkline.llm import bpe, pii, simhash
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,9 @@ def op2_byte_bpe(spark, sf):
 def op6_personal_data(spark, sf):
     """Personal data in every document."""
     return pii.personal_data_report(table(spark, sf, "documents"))
+
+
+@query
+def op3_simhash(spark, sf):
+    """Near-duplicate components of every document."""
+    return simhash.near_duplicate_components(table(spark, sf, "documents"))
