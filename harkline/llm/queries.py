@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from harkline.llm import bpe, pii, simhash
+from harkline.llm import bpe, pii, quality, simhash
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,9 @@ def op6_personal_data(spark, sf):
 def op3_simhash(spark, sf):
     """Near-duplicate components of every document."""
     return simhash.near_duplicate_components(table(spark, sf, "documents"))
+
+
+@query
+def op5_quality(spark, sf):
+    """Importance resampling of every document."""
+    return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
