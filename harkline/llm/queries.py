@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from harkline.llm import bpe, pii, quality, simhash
+from harkline.llm import bpe, mixing, pii, quality, simhash
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def op3_simhash(spark, sf):
 def op5_quality(spark, sf):
     """Importance resampling of every document."""
     return quality.quality_report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op7_mix(spark, sf):
+    """Mix of all documents to target weights."""
+    return mixing.mix_report(table(spark, sf, "documents"))
