@@ -100,8 +100,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     )
     ranked = weighed.withColumn("factor", factor).withColumn("stops", F.col("most") / F.col("weight") <= F.col("factor"))
-    # the smallest factor among those that do not stop is that of the first one
-    common = F.min(F.when(~F.col("stops"), F.col("factor"))).over(whole)
+    # the factor rises up to the first source that does not stop and falls after it
+    common = F.max(F.when(~F.col("stops"), F.col("factor"))).over(whole)
     target = F.when(F.col("stops"), F.col("most")).otherwise(F.col("weight") * common)
     return ranked.select("source", "no", "source_size", "weight", target.alias("target"))
 
