@@ -250,3 +250,30 @@ def round_trip_report(docs: DataFrame, rank_file: str, pattern: str) -> DataFram
             )
 
     return source.mapInArrow(run, schema)
+
+
+def token_documents(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """`doc_id`, `source`, `n_tokens`, `ids` and whether decoding gives the text again (`round_trip`)."""
+    source = docs.select("doc_id", docs["source"].alias("source"), docs["text"].cast("string").alias("text"))
+    schema = T.StructType(
+        [
+            *source.schema.fields[:2],
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("round_trip", T.BooleanType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = coder(rank_file, pattern)
+        for piece in pieces(batches, "text"):
+            texts = texts_of(piece["text"])
+            ids = [bpe.encode(t) for t in texts]
+            same = [bpe.decode(i) == t.encode() for i, t in zip(ids, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [piece["doc_id"], piece["source"], pa.array([len(i) for i in ids], pa.int64()),
+                 pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
+                schema.names,
+            )
+
+    return source.mapInArrow(run, schema)

@@ -209,3 +209,41 @@ def mix_report(docs: DataFrame) -> DataFrame:
     return placed.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
     )
+
+
+def mixed_documents(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The mix as documents, all columns: one row per document and turn that takes words of it.
+
+    A turn that takes all words of a document keeps its text as it is; otherwise the words
+    of the taken blocks stand in their order with single spaces. `length` follows the text.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at, source, doc_id = (names[docs.columns.index(c)] for c in (text, "source", "doc_id"))
+    numbered = written(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "mix-documents")
+    known = written(
+        numbered.select(
+            "row", F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
+            word_count(F.col(at)).alias("size"),
+        ),
+        "mix-sizes",
+    )
+    targets = written(source_targets(known), "mix-targets")
+    placed = written(place(known, targets), "mix-places")
+    parts = (
+        pieces_of(placed).join(slots(targets).select("no", "block", "turn"), ["no", "block"])
+        .groupBy("row", "turn")
+        .agg(F.sum("n").alias("taken"), F.sort_array(F.collect_list(F.struct("from", "n"))).alias("parts"))
+    )
+    joined = numbered.join(parts, "row").withColumn("all", word_count(F.col(at)))
+    every = words(F.col(at))
+    some = F.array_join(
+        F.flatten(
+            F.transform("parts", lambda p: F.slice(every, (p["from"] + 1).cast("int"), p["n"].cast("int")))
+        ),
+        " ",
+    )
+    new = joined.withColumn(at, F.when(F.col("taken") == F.col("all"), F.col(at)).otherwise(some))
+    if length in docs.columns:
+        size = names[docs.columns.index(length)]
+        new = new.withColumn(size, F.length(at).cast(docs.schema[length].dataType))
+    return new.select(*names).toDF(*docs.columns)
