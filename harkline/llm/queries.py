@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from harkline.llm import bpe, mixing, pii, quality, simhash
+from harkline.llm import bpe, mixing, pii, quality, simhash, tokens
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -21,6 +22,12 @@ def query(function):
     return function
 
 
+@query
+def op1_token_files(spark, sf):
+    """Ids of every document, written to token files and read back."""
+    return tokens.token_file_report(spark, table(spark, sf, "documents"), TOKENIZER, end_id=2)
+
+
 @query
 def op2_byte_bpe(spark, sf):
     """Tree-reduced BPE of every document, and the round trip."""
