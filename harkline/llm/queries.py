@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from harkline.llm import bpe, mixing, pii, quality, simhash, tokens
+from harkline.llm import bpe, mixing, pii, quality, simhash, tokens, urls
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,72 @@ def op5_quality(spark, sf):
 def op7_mix(spark, sf):
     """Mix of all documents to target weights."""
     return mixing.mix_report(table(spark, sf, "documents"))
+
+
+#: The rules of the query.
+URL_RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+
+
+@query
+def op9_url_filter(spark, sf):
+    """Verdict on every page."""
+    return urls.judge(table(spark, sf, "pages"), URL_RULES)
+
+
+_REST = "CASE WHEN instr({0}, '://') > 0 THEN substr({0}, instr({0}, '://') + 3) END"
+
+
+def _url_sql() -> str:
+    """The same in SQL: components as the transitive closure of the edges."""
+
+    def host(url):
+        upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+        return f"coalesce(translate(regexp_extract({_REST.format(url)}, '^[^/?#]*', 0), '{upper}', '{lower}'), '')"
+
+    def path(url):
+        return f"coalesce(regexp_extract({_REST.format(url)}, '^[^/?#]*([^?#]*)', 1), '')"
+
+    def plain(url):
+        query = f"regexp_extract({_REST.format(url)}, '^[^?#]*(\\?[^#]*)?', 1)"
+        query = f"regexp_replace({query}, '([?&])(?:{urls.TRACKING})=[^&]*', '\\1', 'g')"
+        query = f"regexp_replace(regexp_replace({query}, '&&+', '&', 'g'), '\\?&', '?', 'g')"
+        query = f"regexp_replace({query}, '[?&]$', '')"
+        trimmed = f"regexp_replace({path(url)}, '(/index\\.html?|\\.html?|/)$', '')"
+        return f"CASE WHEN instr({url}, '://') > 0 THEN 'https://' || {host(url)} || {trimmed} || {query} END"
+
+    ordered = sorted(URL_RULES, key=lambda r: (-len(r.host + r.path), r.action))
+    fits = [f"(h = '{r.host}' OR ends_with(h, '.{r.host}')) AND starts_with(p, '{r.path}')" for r in ordered]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{r.host}{r.path}'" for f, r in zip(fits, ordered)) + " END"
+    action = "CASE " + " ".join(f"WHEN {f} THEN '{r.action}'" for f, r in zip(fits, ordered)) + " END"
+    link = "'(?is)<link[^>]*rel=.?canonical[^>]*href=.?([^\"''\\s>]+)'"
+    refresh = "'(?is)<meta[^>]*http-equiv=.?refresh[^>]*url=.?([^\"''\\s>]+)'"
+    return f"""
+WITH RECURSIVE edge AS (
+  SELECT url AS a, {plain("url")} AS b FROM pages
+  UNION SELECT url, regexp_extract(html, {link}, 1) FROM pages
+  UNION SELECT url, regexp_extract(html, {refresh}, 1) FROM pages
+), known AS (SELECT a, b FROM edge WHERE instr(a, '://') > 0 AND instr(b, '://') > 0),
+both_ways AS (SELECT a, b FROM known UNION SELECT b, a FROM known),
+reach AS (
+  SELECT a, a AS b FROM both_ways
+  UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a
+), node AS (SELECT DISTINCT a, {host("a")} AS h, {path("a")} AS p FROM both_ways),
+acted AS (SELECT a, {action} AS action FROM node),
+inherited AS (
+  SELECT r.a, CASE WHEN count(*) FILTER (x.action = 'allow') > 0 THEN 'allow' ELSE 'block' END AS action
+  FROM reach r JOIN acted x ON x.a = r.b AND x.action IS NOT NULL GROUP BY r.a
+), page AS (SELECT page_id, url, {host("url")} AS h, {path("url")} AS p FROM pages)
+SELECT page_id, h AS host, p AS path, {rule} AS rule,
+  coalesce({action}, i.action, 'allow') AS verdict,
+  CASE WHEN {action} IS NOT NULL THEN 'rule' WHEN i.action IS NOT NULL THEN 'alias' ELSE 'default' END AS "by"
+FROM page LEFT JOIN inherited i ON i.a = page.url
+"""
+
+
+ORACLE["op9_url_filter"] = _url_sql()
