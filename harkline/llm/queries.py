@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from harkline.llm import bpe, mixing, pii, quality, simhash, tokens, urls
+from harkline.llm import bpe, mixing, pii, quality, simhash, tokens, topk, urls
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +126,24 @@ FROM page LEFT JOIN inherited i ON i.a = page.url
 
 
 ORACLE["op9_url_filter"] = _url_sql()
+
+
+@query
+def op10_top_k(spark, sf):
+    """Five nearest vectors of every query vector by inner product."""
+    return topk.exact_top_k(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+ORACLE["op10_top_k"] = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
+  FROM v q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS "rank", vec_id, score FROM ranked WHERE place <= 5
+"""
