@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harkline.llm import bpe, imatch, mixing, pii, quality, simhash, tokens, topk, urls
+from harkline.llm import bpe, ctw, imatch, mixing, pii, quality, simhash, tokens, topk, urls
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,9 @@ SELECT query_id, CAST(place AS INTEGER) AS "rank", vec_id, score FROM ranked WHE
 def op4_imatch(spark, sf):
     """I-Match fingerprints of every document and of its edited text."""
     return imatch.fingerprint_report(table(spark, sf, "documents"))
+
+
+@query
+def op8_language_model(spark, sf):
+    """Context-tree and unigram scores of every document."""
+    return ctw.score_documents(table(spark, sf, "documents"))
