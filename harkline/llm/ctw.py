@@ -38,12 +38,15 @@ from harkline.session import written
 
 #: Bytes of context, contexts of the tree, and words whose counts travel to the tasks.
 DEPTH = 5
-CONTEXTS = 1 << 13
+CONTEXTS = (1 << 15) - 1  # states are 16-bit numbers, two for each node
 FREQUENT = 1 << 17
 #: Remainder of crc32(doc_id) by FOLDS that is held out.
 FOLDS = 7
 HELD_OUT = 2
 
+#: Bit prefixes whose trees are worked out together.
+PREFIXES_AT_A_TIME = 32
+
 #: Marks begin and end of a text; no byte of UTF-8.
 EDGE = 0xFF
 #: Distinct keys a task gathers before it sends them on.
@@ -183,11 +186,10 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     """Natural log of the gamma function for x > 0: recurrence to x + 8, then Stirling's series."""
     shift = np.ones_like(x)
     for k in range(8):
-        shift = shift * (x + k) if k < 4 else shift
-    rest = (x + 4) * (x + 5) * (x + 6) * (x + 7)
+        shift = shift * (x + k)
     y = x + 8
-    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(shift) - np.log(rest)
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7) + 1 / (1188 * y**9)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
 
 
 def _kt_log(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -195,56 +197,50 @@ def _kt_log(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - np.log(np.pi)
 
 
-def _bit_counts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones after each of the 255 bit prefixes, from counts of the 256 bytes."""
-    zeros, ones = [], []
-    for bits in range(8):
-        sums = counts.reshape(len(counts), 2 << bits, -1).sum(axis=2)
-        zeros.append(sums[:, 0::2])
-        ones.append(sums[:, 1::2])
-    return np.concatenate(zeros, axis=1), np.concatenate(ones, axis=1)
-
-
-def byte_log_probabilities(tree: Tree, stopped: np.ndarray) -> np.ndarray:
-    """log10 probability of each byte after a context that stops at each node.
+def _one_where_stopped(tree: Tree, own_zeros: np.ndarray, own_ones: np.ndarray) -> np.ndarray:
+    """Probability of a one after each bit prefix (column) where the context stops at each node (row).
 
-    `stopped`: counts of the bytes after contexts that stop at the node.
+    `own_zeros`, `own_ones`: counts of contexts that stop at the node.
     """
-    own_zeros, own_ones = _bit_counts(stopped.astype(float))
     zeros, ones = own_zeros.copy(), own_ones.copy()
-    below = np.zeros_like(zeros)  # log of the product over the children
-    weighted = np.zeros_like(zeros)
-    weight = np.zeros_like(zeros)  # of the node's own estimate, after training
-    for depth in range(int(tree.depth.max()), -1, -1):
-        at = np.flatnonzero(tree.depth == depth)
+    below = _kt_log(own_zeros, own_ones)  # log of the product over the children, first the node's own leaf
+    weight = np.ones_like(zeros)  # of the node's own estimate, after training
+    levels = [np.flatnonzero(tree.depth == d) for d in range(int(tree.depth.max()) + 1)]
+    for at in reversed(levels):
         estimate = _kt_log(zeros[at], ones[at])
         inner = tree.inner[at][:, None]
-        product = below[at] + _kt_log(own_zeros[at], own_ones[at])
-        weight[at] = np.where(inner, 1 / (1 + np.exp(np.clip(product - estimate, -700, 700))), 1.0)
-        weighted[at] = np.where(inner, np.logaddexp(estimate, product) - np.log(2), estimate)
-        if depth:
+        odds = np.clip(below[at] - estimate, -700, 700)
+        weight[at] = np.where(inner, 1 / (1 + np.exp(odds)), 1.0)
+        weighted = np.where(inner, np.logaddexp(estimate, below[at]) - np.log(2), estimate)
+        if tree.depth[at[0]]:
             up = tree.parent[at]
             np.add.at(zeros, up, zeros[at])
             np.add.at(ones, up, ones[at])
-            np.add.at(below, up, weighted[at])
-    one = np.empty_like(zeros)  # probability of a one where the context stops
-    known, left = np.zeros_like(zeros), np.ones_like(zeros)  # mixed so far, and mass not yet given
-    for depth in range(int(tree.depth.max()) + 1):
-        at = np.flatnonzero(tree.depth == depth)
-        if depth:
-            known[at], left[at] = known[tree.parent[at]], left[tree.parent[at]]
-        known[at] += left[at] * weight[at] * (ones[at] + 0.5) / (zeros[at] + ones[at] + 1)
+            np.add.at(below, up, weighted)
+    mixed, left = np.zeros_like(zeros), np.ones_like(zeros)  # mixed so far, and weight not yet given
+    for at in levels:
+        if tree.depth[at[0]]:
+            mixed[at], left[at] = mixed[tree.parent[at]], left[tree.parent[at]]
+        mixed[at] += left[at] * weight[at] * (ones[at] + 0.5) / (zeros[at] + ones[at] + 1)
         left[at] *= 1 - weight[at]
-        one[at] = known[at] + left[at] * (own_ones[at] + 0.5) / (own_zeros[at] + own_ones[at] + 1)
+    return mixed + left * (own_ones + 0.5) / (own_zeros + own_ones + 1)
+
+
+def byte_log_probabilities(tree: Tree, stopped: np.ndarray) -> np.ndarray:
+    """log10 probability of each byte after a context that stops at each node.
+
+    `stopped`: counts of the bytes after contexts that stop at the node. Bit prefixes do not
+    touch each other, so a few are worked on at a time.
+    """
     result = np.zeros((len(stopped), 256))
-    values = np.arange(256)
-    offset = 0
     for bits in range(8):
-        prefix = values >> (8 - bits)
-        bit = values >> (7 - bits) & 1
-        p = one[:, offset + prefix]
-        result += np.log10(np.where(bit, p, 1 - p))
-        offset += 1 << bits
+        halves = stopped.reshape(len(stopped), 2 << bits, -1).sum(axis=2).astype(float)
+        width = 128 >> bits  # bytes of a half
+        for first in range(0, 1 << bits, PREFIXES_AT_A_TIME):
+            last = min(first + PREFIXES_AT_A_TIME, 1 << bits)
+            one = _one_where_stopped(tree, halves[:, 2 * first:2 * last:2], halves[:, 2 * first + 1:2 * last:2])
+            both = np.stack((np.log10(1 - one), np.log10(one)), axis=2).reshape(len(stopped), -1)
+            result[:, 2 * first * width:2 * last * width] += np.repeat(both, width, axis=1)
     return result
 
 
@@ -304,7 +300,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     frequent = words.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
     order = np.argsort(frequent["key"].to_numpy())
     keys, seen = frequent["key"].to_numpy()[order], frequent["n"].to_numpy()[order]
-    step, size, logs = tree.step, tree.size, table.astype(np.float32).reshape(-1)
+    size = tree.size
+    # fixed sizes: CONTEXTS and FREQUENT
+    model = docs.sparkSession.sparkContext.broadcast((tree.step, table.astype(np.float32).reshape(-1), keys, seen))
 
     schema = T.StructType(
         [
@@ -317,6 +315,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, logs, keys, seen = model.value
         for piece in pieces(batches, "text"):
             data, lengths = joined_bytes(piece["text"])
             data = lower_ascii(data)
