@@ -18,7 +18,7 @@ from harkline.session import build_session, clear_scratch
 from harkline.sources.files import read_lines
 from harkline.sources.manifest import SUBSETS, list_media, write_chunks, write_manifest
 from harkline.sources.payloads import audio_probe, probe_summary
-from harkline.sources.results import bad_records, latest_run
+from harkline.sources.results import bad_records, latest_own_run, latest_run
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -87,12 +87,22 @@ def _parser() -> argparse.ArgumentParser:
     sub = command("telemetry", "queue shares and alerts of collected snapshots (one file each)")
     sub.add_argument("--metrics")
     sub.add_argument("--gpus")
+    for name in ("probe", "split", "ranges", "estimate", "telemetry"):
+        commands.choices[name].add_argument("--save", help="folder for the whole reports as JSON lines")
     return parser
 
 
-def _show(df: DataFrame) -> None:
-    """Reports are small by construction; print them upright."""
-    df.show(50, truncate=False, vertical=len(df.columns) > 8)
+#: Rows of a report that are printed; all of them go to the folder of --save.
+PREVIEW = 50
+
+
+def _show(df: DataFrame, save: str | None = None, name: str = "report") -> None:
+    """Print the first rows, and say so if there are more; write all rows if asked."""
+    if save:
+        df.write.mode("overwrite").json(f"{save.rstrip('/')}/{name}")
+    df.show(PREVIEW, truncate=False, vertical=len(df.columns) > 8)
+    if len(df.take(PREVIEW + 1)) > PREVIEW:
+        print(f"first {PREVIEW} of {df.count()} rows of {name}" + ("" if save else "; all with --save FOLDER"))
 
 
 def _progress(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -116,10 +126,10 @@ def _telemetry(spark: SparkSession, args: argparse.Namespace) -> None:
         lines = read_lines(spark, args.metrics).withColumnRenamed("value", "line")
         snapshot = F.shiftright("pos", 40)  # one file is one snapshot
         metrics = parse_metrics(lines.withColumn("snapshot_id", snapshot))
-        _show(queue_shares(metrics))
+        _show(queue_shares(metrics), args.save, "queues")
     if args.gpus:
         gpus = parse_gpu(read_lines(spark, args.gpus).withColumnRenamed("value", "line"))
-        _show(gpus)
+        _show(gpus, args.save, "gpus")
     _show(telemetry_alerts(metrics, gpus).groupBy("source", "alert").agg(F.count("*").alias("times")))
 
 
@@ -127,14 +137,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "list-media":
         write_manifest(list_media(spark, args.root, args.subsets), args.out)
     elif args.command == "probe":
-        _show(probe_summary(audio_probe(list_media(spark, args.root, args.subsets)), "subset", "container"))
+        _show(probe_summary(audio_probe(list_media(spark, args.root, args.subsets)), "subset", "container"), args.save, "media")
     elif args.command == "split":
         base = args.manifest.rstrip("/").rsplit("/", 1)[-1].removesuffix(".scp")
         plan = runs.manifest_plan(spark, args.manifest, args.chunks, base)
         write_chunks(plan, args.out, args.manifest, time.strftime("%Y-%m-%d %H:%M:%S"))
-        _show(chunk_summary(plan).orderBy("chunk_id"))
+        _show(chunk_summary(plan).orderBy("chunk_id"), args.save, "chunks")
     elif args.command == "ranges":
-        _show(chunk_ranges(spark.read.parquet(f"{args.shards}/metadata.parquet"), args.chunks))
+        _show(chunk_ranges(spark.read.parquet(f"{args.shards}/metadata.parquet"), args.chunks), args.save, "ranges")
     elif args.command in ("annotate-manifest", "annotate-shards"):
         client = http_client(args.base_url, args.timeout)
         options = dict(
@@ -153,12 +163,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.command == "progress":
         _progress(spark, args)
     elif args.command == "estimate":
-        for frame in reports.forecast_of(spark, args.logs, args.names, args.hours).values():
-            _show(frame)
+        for name, frame in reports.forecast_of(spark, args.logs, args.names, args.hours).items():
+            _show(frame, args.save, name)
     elif args.command == "bad-lines":
         bad_records(read_lines(spark, args.logs)).select("source_file", "pos", "raw").write.json(args.out)
     elif args.command == "latest-run":
-        _show(latest_run(spark, args.folder))
+        own = latest_own_run(spark, args.folder)
+        _show(latest_run(spark, args.folder) if own.isEmpty() else own)
     elif args.command == "telemetry":
         _telemetry(spark, args)
 

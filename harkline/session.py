@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -27,13 +30,30 @@ def build_session(app: str = "harkline", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for name, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the tasks, once a session, so that it need not be installed there."""
+    if spark.conf.get("harkline.shipped", None):
+        return
+    folder = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="harkline-"), "harkline"), "zip", os.path.dirname(folder), os.path.basename(folder)
+    )
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("harkline.shipped", "true")
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set."""
+    """The cluster's shared checkpoint folder; a temporary one only for a local master."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="harkline-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

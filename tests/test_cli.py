@@ -1,5 +1,7 @@
 import json
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -9,6 +11,9 @@ from harkline.sources.files import read_lines
 from tests.test_sources import flac, put
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
 @pytest.fixture
 def shell(spark, monkeypatch, capsys):
     monkeypatch.setattr(cli, "build_session", lambda: spark)
@@ -39,7 +44,7 @@ def test_log_commands(spark, shell, folder):
     assert read_lines(spark, f"{folder}/t").first().value == "a\tx"
     report = shell("progress", f"{folder}/log", "--manifest", f"{folder}/m.scp")
     assert "expected" in report and "|Unknown" not in report
-    assert "corpus-960h" in shell("estimate", f"{folder}/log")
+    assert "LibriSpeech-960h" in shell("estimate", f"{folder}/log")
     shell("bad-lines", f"{folder}/log", f"{folder}/bad")
     put(f"{folder}/runs/captions-arkive-r7.jsonl", "{}")
     assert "|r7" in shell("latest-run", f"{folder}/runs")
@@ -59,3 +64,48 @@ def test_clear_scratch_removes_own_folder_only(spark, folder):
     put(other, b"1")
     clear_scratch(spark)
     assert not os.path.exists(local_path(mine)) and os.path.exists(other)
+
+
+def test_long_reports_are_saved_whole(spark, shell, folder):
+    put(f"{folder}/m.scp", "".join(f"u{i} {i}.flac\n" for i in range(120)))
+    out = shell("split", f"{folder}/m.scp", 60, f"{folder}/chunks", "--save", f"{folder}/reports")
+    assert "first 50 of 60 rows of chunks" in out
+    assert spark.read.json(f"{folder}/reports/chunks").count() == 60
+
+
+def test_latest_run_of_an_own_log(shell, folder):
+    put(f"{folder}/log/run_id=0000000000001-00-old/chunk_id=0/part-0.txt", "{}\n")
+    assert "0000000000001-00-old" in shell("latest-run", f"{folder}/log")
+
+
+class _Elsewhere:
+    """Stands for a session on a cluster without a checkpoint folder."""
+
+    class conf:  # noqa: N801
+        get = staticmethod(lambda name, default=None: default)
+
+    class sparkContext:  # noqa: N801
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_no_machine_local_scratch_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(_Elsewhere)
+
+
+def test_tasks_find_the_package_from_another_folder(folder):
+    """The package is sent along: a session started elsewhere runs its operators."""
+    code = (
+        f"import sys; sys.path.insert(0, {ROOT!r})\n"
+        "from harkline.session import build_session\n"
+        "from harkline.operators.annotate import annotate\n"
+        "spark = build_session(master='local-cluster[1,1,1024]', **{'spark.ui.enabled': 'false', 'spark.driver.host': '127.0.0.1'})\n"
+        "sys.path.pop(0)\n"
+        "df = spark.createDataFrame([('a',)], 'request string')\n"
+        "print('GOT', annotate(df, lambda: str.upper).head().response)\n"
+        "spark.stop()\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"SPARK_LOCAL_IP": "127.0.0.1", "SPARK_SCALA_VERSION": "2.13"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True, timeout=180)
+    assert "GOT A" in done.stdout, done.stderr[-2000:]
