@@ -7,7 +7,7 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +25,10 @@ _RESUME = ["utt", "idx", "status", "retry_attempt"]
 
 #: Items one annotation task calls the model for: what a lost task repeats.
 TASK_ITEMS = 2000
+#: Items one write of a pass holds: the calls a lost driver repeats at most.
+SLICE_ITEMS = 200_000
+#: Neighbouring numeric keys that stay in one slice, so that it reads stretches of a shard.
+_STRETCH = 1024
 
 
 def http_client(base_url: str, timeout: float = 180.0) -> ClientFactory:
@@ -80,25 +84,29 @@ def annotate(
     names = [f.name for f in kept]
     has_error = error in requests.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = client_factory()
         under_way: dict = {}
         done: list[tuple] = []
+        kinds: list[pa.DataType] = []
 
         def collect() -> None:
             finished, _ = wait(under_way, return_when=FIRST_COMPLETED)
             done.extend((*under_way.pop(f), *f.result()) for f in finished)
 
-        def frame() -> pd.DataFrame:
-            out = pd.DataFrame(done, columns=schema.names)
+        def frame() -> pa.RecordBatch:
+            types = [*kinds, pa.string(), pa.string(), pa.float64()]
+            arrays = [pa.array([row[i] for row in done], kind) for i, kind in enumerate(types)]
             done.clear()
-            return out
+            return pa.RecordBatch.from_arrays(arrays, schema.names)
 
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for batch in batches:
-                problems = batch[error] if has_error else [None] * len(batch)
-                rows = batch[names].astype(object).where(batch[names].notna(), None)
-                for row, text, problem in zip(rows.itertuples(index=False, name=None), batch[request], problems):
+                # Python values of the Arrow columns: a nullable whole number stays one
+                kinds = [batch[n].type for n in names]
+                problems = batch[error].to_pylist() if has_error else [None] * batch.num_rows
+                rows = zip(*(batch[n].to_pylist() for n in names)) if names else [()] * batch.num_rows
+                for row, text, problem in zip(rows, batch[request].to_pylist(), problems):
                     while len(under_way) >= 2 * threads:
                         collect()
                     under_way[pool.submit(_attempt, client, text, problem)] = row
@@ -106,9 +114,10 @@ def annotate(
                         yield frame()
             while under_way:
                 collect()
-        yield frame()
+        if done:
+            yield frame()
 
-    return requests.mapInPandas(run, schema)
+    return requests.mapInArrow(run, schema)
 
 
 def result_record(annotated: DataFrame, key: str = "utt") -> DataFrame:
@@ -150,17 +159,17 @@ def annotate_retry(
     max_retries: int = MAX_RETRIES,
     chunk: str | None = None,
     task_items: int = TASK_ITEMS,
-    unique: bool = False,
     place: bool = True,
+    slice_items: int = SLICE_ITEMS,
 ) -> DataFrame:
     """Run passes until nothing is pending (at most `max_retries`); return the log.
 
     `attempt` turns pending items into records (load, request, `annotate`,
-    `result_record`). Every pass is one write under its own run id, so a lost
-    executor repeats its tasks' calls only and a lost driver resumes from the log.
-    Run ids start with the time, so that paths sort as the passes ran. `unique` says
-    that no key repeats among the items; `place=False` leaves the placing of the
-    items to `attempt`.
+    `result_record`). A pass has a run id of its own and is written in slices of about
+    `slice_items` items, one after the other: a lost executor repeats its tasks' calls
+    only, a lost driver those of the slice it was in, and goes on from the log. Run ids
+    start with the time, so that paths sort as the passes ran. `place=False` leaves the
+    placing of the items to `attempt`.
     """
     spark = items.sparkSession
     began = int(time.time() * 1000)
@@ -169,19 +178,31 @@ def annotate_retry(
         state = resume_state(read_results(spark, seen, _RESUME), key)
         # written once: the log is read and joined a single time per pass, and the
         # pass keeps its items while its own records arrive
-        todo = written(pending(items, state, key, max_retries, unique), "pending")
+        todo = written(pending(items, state, key, max_retries), "pending")
         left = todo.count()
         if not left:
             break
-        records = attempt(spread(todo, left, task_items, chunk) if place else todo)
         name = f"{began:013d}-{number:02d}-{run_id}"
-        write_results(records, log_path, name, chunk)
+        slices = -(-left // slice_items)
+        for at in range(slices):
+            part, size = todo, left
+            if slices > 1:
+                part, size = todo.where(_slice_of(todo, key, slices) == at), -(-left // slices)
+            write_results(attempt(spread(part, size, task_items, chunk) if place else part), log_path, name, chunk)
         # every record carries its attempt number, so what a pass wrote tells the new
         # state of its items without the log before it
         items, seen = todo.drop("retry_attempt"), f"{log_path}/run_id={name}"
     return read_results(spark, log_path)
 
 
+def _slice_of(items: DataFrame, key: str, slices: int) -> Column:
+    """Slice of an item: by key, so that a key that repeats is in one slice."""
+    number = F.col(key)
+    if isinstance(items.schema[key].dataType, T.LongType):
+        number = F.call_function("div", number, F.lit(_STRETCH).cast("bigint"))
+    return F.pmod(F.xxhash64(number), F.lit(slices))
+
+
 def spread(
     items: DataFrame, count: int, task_items: int = TASK_ITEMS, chunk: str | None = None
 ) -> DataFrame:

@@ -109,7 +109,7 @@ def run_shards(
     """Annotate an index range of a shard folder; returns the log."""
     index = range_slice(read_shard_index(spark, path), start, end)
     attempt = shard_attempt(shard_files(spark, path), client, model, **options)
-    # positions are unique, and slicing places the rows itself
+    # slicing places the rows itself
     return annotate_retry(
-        index, log_path, run_id, attempt, "idx", max_retries, unique=True, place=False
+        index, log_path, run_id, attempt, "idx", max_retries, place=False
     )

@@ -17,7 +17,9 @@ log = logging.getLogger("harkline")
 #: A table known on the driver is broadcast up to this size, joined by key beyond it.
 BROADCAST_BYTES = 64 << 20
 
+#: A position holds the file's rank above the line's place; both are checked.
 _FILE_BITS = 40
+_MOST_FILES = 1 << (63 - _FILE_BITS)
 
 
 def existing(spark: SparkSession, patterns: str | Iterable[str]) -> list[str]:
@@ -64,16 +66,20 @@ def read_lines(spark: SparkSession, patterns: str | Iterable[str], name_filter:
         for file in sorted(names):
             # the listing writes file:///a where file metadata writes file:/a
             files.setdefault(re.sub("^file:/+", "file:/", file), len(files))
+    if len(files) > _MOST_FILES:
+        raise ValueError(f"{len(files)} files: at most {_MOST_FILES} can be read as one log")
     size = sum(len(f) + 16 for f in files)
     ranks = small_table(spark, {"source_file": list(files), "_rank": list(files.values())}, size)
     start = F.col("_metadata.file_block_start")
     row = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    place = start + row + F.when(start > 0, 1).otherwise(0)
+    too_long = F.raise_error(F.concat(F.lit("file too long for line positions: "), F.col("_metadata.file_path")))
     known = F.coalesce("_rank", F.raise_error(F.concat(F.lit("not in the listing: "), "source_file")).cast("bigint"))
     return (
         lines.select(
             "value",
             F.col("_metadata.file_path").alias("source_file"),
-            (start + row + F.when(start > 0, 1).otherwise(0)).alias("_line"),
+            F.when(place < F.lit(1 << _FILE_BITS), place).otherwise(too_long.cast("bigint")).alias("_line"),
         )
         .join(ranks, "source_file", "left")
         .select("value", "source_file", (F.shiftleft(known, _FILE_BITS) + F.col("_line")).alias("pos"))

@@ -7,6 +7,7 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,20 +84,24 @@ def _opened(src: str):
     return open_file(src)
 
 
-def _with_columns(batch: pd.DataFrame, names: list[str], rows: list[tuple]) -> pd.DataFrame:
-    more = pd.DataFrame(rows, columns=names, index=batch.index, dtype=object)
-    return pd.concat([batch, more], axis=1)
+_ARROW = {T.BinaryType(): pa.binary(), T.StringType(): pa.string(), T.LongType(): pa.int64()}
+
+
+def _with_columns(batch: pa.RecordBatch, extra: dict[str, T.DataType], rows: list[tuple]) -> pa.RecordBatch:
+    """The batch as it is, with new columns at its end."""
+    more = [pa.array([r[i] for r in rows], _ARROW[kind]) for i, kind in enumerate(extra.values())]
+    return pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, *extra])
 
 
 def _schema(items: DataFrame, extra: dict[str, T.DataType]) -> T.StructType:
     return T.StructType(items.schema.fields + [T.StructField(n, t) for n, t in extra.items()])
 
 
-def _load(batches: Iterator[pd.DataFrame], src_col: str, names: list[str], probe: bool) -> Iterator[pd.DataFrame]:
+def _load(batches: Iterator[pa.RecordBatch], src_col: str, extra: dict[str, T.DataType], probe: bool) -> Iterator[pa.RecordBatch]:
     nothing = (None,) * len(_PROBE) if probe else ()
     for batch in batches:
         done, rows, held = 0, [], 0
-        for at, src in enumerate(batch[src_col], 1):
+        for at, src in enumerate(batch[src_col].to_pylist(), 1):
             try:
                 with _opened(src) as file:
                     content = file.read()
@@ -104,8 +109,8 @@ def _load(batches: Iterator[pd.DataFrame], src_col: str, names: list[str], probe
                 held += len(content)
             except Exception as failure:
                 rows.append((None, str(failure), *nothing))
-            if held >= _YIELD_BYTES or at == len(batch):
-                yield _with_columns(batch.iloc[done:at], names, rows)
+            if held >= _YIELD_BYTES or at == batch.num_rows:
+                yield _with_columns(batch.slice(done, at - done), extra, rows)
                 done, rows, held = at, [], 0
 
 
@@ -115,8 +120,7 @@ def load_payload(items: DataFrame, src_col: str = "src", probe: bool = False) ->
     `probe` adds audio_duration and audio_duration_error from the bytes at hand.
     """
     extra = {"content": T.BinaryType(), "load_error": T.StringType(), **(_PROBE if probe else {})}
-    names = list(extra)
-    loaded = items.mapInPandas(lambda it: _load(it, src_col, names, probe), _schema(items, extra))
+    loaded = items.mapInArrow(lambda it: _load(it, src_col, extra, probe), _schema(items, extra))
     if not probe:
         return loaded
     found = _found()
@@ -151,16 +155,16 @@ def _found() -> dict[str, Column]:
     }
 
 
-def _heads(batches: Iterator[pd.DataFrame], src_col: str) -> Iterator[pd.DataFrame]:
+def _heads(batches: Iterator[pa.RecordBatch], src_col: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for src in batch[src_col]:
+        for src in batch[src_col].to_pylist():
             try:
                 with _opened(src) as file:
                     rows.append(_probe(file))
             except Exception as failure:
                 rows.append((b"", None, None, None, _named(failure)))
-        yield _with_columns(batch, list(_PROBE), rows)
+        yield _with_columns(batch, _PROBE, rows)
 
 
 def audio_probe(items: DataFrame, src_col: str = "src") -> DataFrame:
@@ -169,7 +173,7 @@ def audio_probe(items: DataFrame, src_col: str = "src") -> DataFrame:
     Tasks read only headers. FLAC fields are column expressions over the first bytes;
     RIFF chunks are walked in the task. Other containers have no duration.
     """
-    heads = items.mapInPandas(lambda it: _heads(it, src_col), _schema(items, _PROBE))
+    heads = items.mapInArrow(lambda it: _heads(it, src_col), _schema(items, _PROBE))
     found = _found()
     found["audio_duration_error"] = F.when(is_command(F.col(src_col)), "pipe_command").otherwise(
         found["audio_duration_error"]

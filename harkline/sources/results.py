@@ -102,11 +102,32 @@ def latest_run(
     return found.orderBy(F.desc_nulls_last("mtime"), "path").limit(1)
 
 
+def latest_own_run(spark: SparkSession, path: str) -> DataFrame:
+    """Newest run of a log that `write_results` wrote: (run_id, path, mtime); no row without one."""
+    folders = f"{path.rstrip('/')}/run_id=*"
+    if not existing(spark, folders):
+        return spark.createDataFrame([], "run_id string, path string, mtime timestamp")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
+    return (
+        files.select(
+            F.url_decode(F.regexp_extract("path", r"/run_id=([^/]+)/", 1)).alias("run_id"),
+            F.regexp_extract("path", r"^(.*/run_id=[^/]+)/", 1).alias("path"),
+            F.col("modificationTime").alias("mtime"),
+        )
+        .groupBy("run_id", "path").agg(F.max("mtime").alias("mtime"))
+        .orderBy(F.desc("mtime"), "path").limit(1)
+    )
+
+
 def log_span(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """One row `seconds`: from the first to the last change of a log's files."""
+    """One row `seconds`: from the start of the first pass to the last change of a log's files.
+
+    Run ids of passes start with their time; a log without them starts with the first change.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(existing(spark, paths))
     at = F.unix_micros("modificationTime")
-    return files.agg(((F.max(at) - F.min(at)) / 1e6).alias("seconds"))
+    started = F.try_to_number(F.regexp_extract("path", r"/run_id=(\d{13})-", 1), F.lit("9" * 13)).cast("bigint") * 1000
+    return files.agg(((F.max(at) - F.min(F.coalesce(F.least(started, at), at))) / 1e6).alias("seconds"))
 
 
 def record_json(df: DataFrame) -> Column:

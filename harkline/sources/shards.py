@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,36 +91,41 @@ def shard_path_join(index: DataFrame, files: DataFrame) -> DataFrame:
     return index.join(files.select("bin_index", "path"), "bin_index", "left")
 
 
-def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns stay Arrow arrays, so that a null range fails its own row only."""
     handle, opened = None, None
 
-    def read(row):
+    def read(path, shard, start, size):
         nonlocal handle, opened
-        if row.path is None or row.bin_index < 0:
-            return None, f"no shard {row.bin_index}"
-        if row.start < 0 or row.size < 0:
-            return None, f"bad range {row.start}+{row.size}"
+        if path is None or shard is None or shard < 0:
+            return None, f"no shard {shard}"
+        if start is None or size is None or start < 0 or size < 0:
+            return None, f"bad range {start}+{size}"
         try:
-            if opened != row.path:
+            if opened != path:
                 if handle is not None:
                     handle.close()
                 handle, opened = None, None
-                handle, opened = open_file(row.path), row.path
-            handle.seek(row.start)
-            return handle.read(row.size), None
+                handle, opened = open_file(path), path
+            handle.seek(start)
+            return handle.read(size), None
         except Exception as problem:
             return None, str(problem)
 
     try:
         for batch in batches:
+            wanted = zip(*(batch[n].to_pylist() for n in ("path", "bin_index", "start", "size")))
             done, contents, errors, held = 0, [], [], 0
-            for at, row in enumerate(batch.itertuples(index=False), 1):
-                content, error = read(row)
+            for at, row in enumerate(wanted, 1):
+                content, error = read(*row)
                 contents.append(content)
                 errors.append(error)
                 held += len(content or b"")
-                if held >= _YIELD_BYTES or at == len(batch):
-                    yield batch.iloc[done:at].assign(content=contents, error=errors)
+                if held >= _YIELD_BYTES or at == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [*batch.slice(done, at - done).columns, pa.array(contents, pa.binary()), pa.array(errors, pa.string())],
+                        [*batch.schema.names, "content", "error"],
+                    )
                     done, contents, errors, held = at, [], [], 0
     finally:
         if handle is not None:
@@ -146,7 +151,7 @@ def slice_shards(index: DataFrame, files: DataFrame, task_bytes: int = TASK_BYTE
         placed.schema.fields
         + [T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
     )
-    return placed.mapInPandas(_slices, schema).withColumn("compressed_size", F.octet_length("content"))
+    return placed.mapInArrow(_slices, schema).withColumn("compressed_size", F.octet_length("content"))
 
 
 def lookup_items(index: DataFrame, files: DataFrame, ids: DataFrame, idx: str = "idx") -> DataFrame:

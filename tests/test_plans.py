@@ -62,7 +62,7 @@ def test_resume_comes_before_the_payload(spark):
     log = fx.fixture(spark, SMALL, fx.RUN_LOG)
     todo = resume.pending(fx.fixture(spark, SMALL, fx.MANIFEST_ITEMS), resume.resume_state(log))
     text = plan(payloads.load_payload(todo).select("utt", data_url(F.col("content"), F.lit("a/b"))))
-    assert text.index("MapInPandas") < text.index("Join")
+    assert text.index("MapInArrow") < text.index("Join")
 
 
 def test_index_is_written_once(spark):

@@ -12,7 +12,7 @@ from harkline.operators import annotate as ann
 from harkline.operators import merge, progress
 from harkline.plans import reports, runs
 from harkline.sources.files import read_lines
-from harkline.sources.results import read_results
+from harkline.sources.results import latest_own_run, log_span, read_results
 from harkline.streaming import batches, intake, logs
 from tests.test_sources import flac, put
 
@@ -212,3 +212,68 @@ def test_rate_view(spark, folder):
     logs.stream_recent_rate(spark, lines, f"{folder}/t", f"{folder}/c", interval=None).awaitTermination()
     view = logs.rate_view(spark, f"{folder}/t").orderBy("window_start").collect()
     assert [(r.lines, r.recent_per_sec) for r in view] == [(4, 0.8), (2, 0.4), (1, 0.2)]
+
+
+def test_rate_view_counts_late_lines(spark, folder):
+    """Several batches whose times go back: no line is lost."""
+    os.makedirs(f"{folder}/in")
+    for k, hour in enumerate((10, 0, 10, 0)):
+        rows = [(i, f"2024-01-01 {hour:02d}:00:{i:02d}") for i in range(10)]
+        df = spark.createDataFrame(rows, "i int, t string").select("i", F.col("t").cast("timestamp").alias("ts"))
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        lines = spark.readStream.schema("i int, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        logs.stream_recent_rate(spark, lines, f"{folder}/t", f"{folder}/c", interval=None).awaitTermination()
+    view = logs.rate_view(spark, f"{folder}/t").collect()
+    assert sum(r.lines for r in view) == 40 and {r.lines for r in view} == {10}
+
+
+def test_annotate_keeps_whole_numbers(spark):
+    big = (1 << 53) + 1
+    rows = [(big, "a", None), (None, "b", 5), (big + 2, "c", -big)]
+    df = spark.createDataFrame(rows, "n bigint, request string, m bigint").coalesce(1)
+    got = ann.annotate(df, lambda: str.upper).collect()
+    assert sorted(((r.n, r.response, r.m) for r in got), key=str) == sorted([(big, "A", None), (None, "B", 5), (big + 2, "C", -big)], key=str)
+    assert ann.annotate(df.where("false"), lambda: str.upper).count() == 0
+
+
+def test_lost_run_keeps_its_finished_slices(spark, folder):
+    """A run that dies in a slice has the slices before it in the log; no item is called twice overall."""
+    os.makedirs(f"{folder}/calls")
+    items = spark.createDataFrame([(f"u{i}",) for i in range(60)], "utt string")
+
+    def attempt_with(deadly):
+        def factory():
+            def call(request):
+                if deadly and len(os.listdir(f"{folder}/calls")) >= 20:
+                    raise SystemExit("lost")
+                open(f"{folder}/calls/{request}-{uuid.uuid4().hex}", "w").close()
+                return json.dumps({"choices": [{"message": {"content": request}}]})
+
+            return call
+
+        def attempt(todo):
+            return ann.result_record(ann.annotate(todo.withColumn("request", F.col("utt")), factory, threads=1))
+
+        return attempt
+
+    with pytest.raises(Exception):
+        ann.annotate_retry(items, f"{folder}/log", "r", attempt_with(True), slice_items=10)
+    finished = {r.utt for r in read_results(spark, f"{folder}/log").collect()}
+    assert 0 < len(finished) < 60
+    before = called(f"{folder}/calls")
+    log = ann.annotate_retry(items, f"{folder}/log", "r", attempt_with(False), slice_items=10)
+    assert log.where("status = 'ok'").select("utt").distinct().count() == 60 and log.count() == 60
+    after = called(f"{folder}/calls")
+    assert all(after[u] == before[u] == 1 for u in finished)
+
+
+def test_latest_own_run(spark, media):
+    folder, names = media
+    attempt = runs.manifest_attempt(stub(f"{folder}/calls"), "m")
+    items = spark.createDataFrame([(n, f"{folder}/audio/{n}.flac") for n in names[:3]], "utt string, src string")
+    ann.annotate_retry(items, f"{folder}/log", "first", attempt)
+    ann.annotate_retry(spark.createDataFrame([(names[5], f"{folder}/audio/{names[5]}.flac")], "utt string, src string"), f"{folder}/log", "second", attempt)
+    row = latest_own_run(spark, f"{folder}/log").first()
+    assert row.run_id.endswith("-second") and row.path.endswith(row.run_id)
+    assert latest_own_run(spark, f"{folder}/none").count() == 0
+    assert log_span(spark, f"{folder}/log").first().seconds > 0

@@ -211,3 +211,14 @@ def test_list_media(spark, folder):
     back = manifest.read_manifest(spark, f"{folder}/out/subset=dev-clean").collect()
     assert sorted(r.src[len(folder) + 1 :] for r in back) == wanted[:4]
     assert manifest.list_media(spark, f"{folder}/none").count() == 0
+
+
+def test_null_ranges_fail_their_own_row(spark, shard_folder):
+    folder, blobs, _ = shard_folder
+    files = shards.shard_files(spark, folder)
+    rows = [(0, 0, 0, 50), (1, 0, None, 50), (2, 0, 100, None), (3, None, 0, 5), (4, 0, 200, 50), (5, 99, 0, 5), (6, 0, -1, 5), ((1 << 53) + 1, 0, 0, 7)]
+    index = spark.createDataFrame(rows, "idx bigint, bin_index bigint, start bigint, size bigint")
+    got = {r.idx: r for r in shards.slice_shards(index, files).collect()}
+    assert set(got) == {r[0] for r in rows}
+    assert {i for i, r in got.items() if r.error is None} == {0, 4, (1 << 53) + 1}
+    assert bytes(got[4].content) == blobs[0][200:250] and got[1].error == "bad range None+50"
