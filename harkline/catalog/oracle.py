@@ -194,7 +194,7 @@ SELECT pos, utt, src, retry + 1 AS retry_attempt FROM j WHERE NOT done AND retry
     "shard_path_join": f"WITH {INDEX} SELECT idx, bin_index, format('arkive_{{:06d}}.bin', bin_index) AS name FROM ix",
     "forecast_datasets": f"""WITH {LOG}, {RUN}
 SELECT CAST(pos AS INTEGER) AS pos, name, CAST(hours AS DOUBLE) AS audio_hours, round(hours / (audio / spent), 6) AS gpu_hours
-FROM run, (VALUES (0, 'corpus-960h', 960), (1, '100h', 100), (2, '500h', 500), (3, '1000h', 1000), (4, '5000h', 5000)) AS t(pos, name, hours)""",
+FROM run, (VALUES (0, 'LibriSpeech-960h', 960), (1, '100h', 100), (2, '500h', 500), (3, '1000h', 1000), (4, '5000h', 5000)) AS t(pos, name, hours)""",
     "resume_state": f"WITH {LOG}, {STATE} SELECT utt, done, retry FROM state",
     "resume_report": f"""WITH {LOG}, {ITEMS}, {STATE}, {JOINED} SELECT count(*) AS total,
   (SELECT count(*) FROM state WHERE done) AS already_done, count(*) FILTER (retry >= 3) AS exhausted,

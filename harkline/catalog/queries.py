@@ -596,7 +596,7 @@ def stream_recent_rate(spark, sf):
     path, table, state = scratch_path(spark, "timed"), scratch_path(spark, "rate"), scratch_path(spark, "state")
     _log(spark, sf).select("utt", "status", F.col("ts").cast("timestamp").alias("ts")).write.parquet(path)
     lines = spark.readStream.schema("utt string, status string, ts timestamp").parquet(path)
-    _drain(logs.stream_recent_rate(spark, lines, table, state, window="1 hour", late="1 hour", interval=None))
+    _drain(logs.stream_recent_rate(spark, lines, table, state, window="1 hour", interval=None))
     return logs.rate_view(spark, table).select(
         (F.unix_micros("window_start") / 1e6).cast("bigint").alias("window_start"), "lines", _r("recent_per_sec").alias("recent_per_sec")
     )

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import json
-import mimetypes
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Media types by lower-case file extension (they win over the
-# standard library's table, which changes between Python versions).
+# Types by lower-case file extension. No table of the running Python, which
+# changes between versions.
 MEDIA_TYPES = {
     "3gp": "audio/3gpp",
     "3gpp": "audio/3gpp",
@@ -23,7 +22,17 @@ MEDIA_TYPES = {
     "ass": "audio/aac",
     "au": "audio/basic",
     "avi": "video/x-msvideo",
+    "bin": "application/octet-stream",
+    "bmp": "image/bmp",
+    "css": "text/css",
+    "csv": "text/csv",
     "flac": "audio/flac",
+    "gif": "image/gif",
+    "htm": "text/html",
+    "html": "text/html",
+    "jpeg": "image/jpeg",
+    "jpg": "image/jpeg",
+    "json": "application/json",
     "loas": "audio/aac",
     "m4a": "audio/mp4",
     "mov": "video/quicktime",
@@ -34,21 +43,27 @@ MEDIA_TYPES = {
     "mpg": "video/mpeg",
     "ogg": "audio/ogg",
     "opus": "audio/ogg",
+    "pdf": "application/pdf",
+    "png": "image/png",
+    "py": "text/x-python",
     "ra": "audio/x-pn-realaudio",
+    "sh": "application/x-sh",
     "snd": "audio/basic",
+    "tar": "application/x-tar",
     "txt": "text/plain",
     "wav": "audio/x-wav",
     "weba": "audio/webm",
     "webm": "video/webm",
+    "xml": "text/xml",
+    "zip": "application/zip",
 }
 FALLBACK_TYPE = "audio/wav"
 
 
 def mime_by_extension(src: Column) -> Column:
     """Type by the last suffix of a path; commands and unknown suffixes are WAV."""
-    standard = {k.lstrip("."): v for k, v in mimetypes.MimeTypes().types_map[1].items()}
     # one text literal, folded to a constant map when the query is planned
-    table = F.from_json(F.lit(json.dumps({**standard, **MEDIA_TYPES})), "map<string, string>")
+    table = F.from_json(F.lit(json.dumps(MEDIA_TYPES)), "map<string, string>")
     unpacked = F.regexp_replace(src, r"\.(gz|Z|bz2|xz|br)$", "")
     suffix = F.lower(F.regexp_extract(unpacked, r"[^/.][^/]*\.([^./]+)$", 1))
     known = F.try_element_at(table, suffix)
@@ -57,27 +72,24 @@ def mime_by_extension(src: Column) -> Column:
     )
 
 
-def _bytes(content: Column, start: int, length: int) -> Column:
-    return F.substring(content, start, length)
-
-
-def _magic(hex_digits: str) -> Column:
-    return F.unhex(F.lit(hex_digits))
+# Leading bytes of media files.
+FLAC, ID3, MPEG_FRAME, OGG = b"fLaC", b"ID3", b"\xff\xfb", b"OggS"
+RIFF, WAVE, BOX = b"RIFF", b"WAVE", b"ftyp"
 
 
 def mime_by_magic(content: Column, strict: bool = True) -> Column:
     """Type by leading bytes. `strict=False` also finds the box type at offset 4."""
-    def starts(hex_digits: str, at: int = 1) -> Column:
-        return _bytes(content, at, len(hex_digits) // 2) == _magic(hex_digits)
+    def starts(signature: bytes, at: int = 1) -> Column:
+        return F.substring(content, at, len(signature)) == F.lit(signature)
 
-    mp4 = starts("66747970")
+    mp4 = starts(BOX)
     if not strict:
-        mp4 = mp4 | starts("66747970", 5)
+        mp4 = mp4 | starts(BOX, 5)
     return (
-        F.when(starts("664C6143"), "audio/flac")
-        .when(starts("494433") | starts("FFFB"), "audio/mpeg")
-        .when(starts("4F676753"), "audio/ogg")
-        .when(starts("52494646") & starts("57415645", 9), "audio/wav")
+        F.when(starts(FLAC), "audio/flac")
+        .when(starts(ID3) | starts(MPEG_FRAME), "audio/mpeg")
+        .when(starts(OGG), "audio/ogg")
+        .when(starts(RIFF) & starts(WAVE, 9), "audio/wav")
         .when(mp4, "audio/mp4")
         .otherwise(FALLBACK_TYPE)
     )
@@ -125,7 +137,7 @@ def flac_stream_info(head: Column) -> Column:
 
     The 64 bits hold rate (20), channels-1 (3), sample size-1 (5), samples (36).
     """
-    word = F.hex(_bytes(head, 19, 8))
+    word = F.hex(F.substring(head, 19, 8))
 
     def number(digits: Column) -> Column:
         return F.conv(digits, 16, 10).cast("bigint")

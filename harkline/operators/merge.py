@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_TOP = 1 << 62
-
 
 def ok_filter(log: DataFrame) -> DataFrame:
     return log.where(F.col("status") == "ok")
@@ -17,7 +15,8 @@ def _rank(pos: str, prefer_success: bool) -> Column:
     last = F.col(pos).cast("bigint")
     if not prefer_success:
         return last
-    return F.when(F.col("status") == "ok", F.lit(_TOP) - last).otherwise(last)
+    ok = F.coalesce(F.col("status") == "ok", F.lit(False))
+    return F.struct(ok, F.when(ok, -last).otherwise(last))
 
 
 def merge_counted(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harkline.operators.ordering import position_block
-from harkline.operators.skew import salted_join
 
 MAX_RETRIES = 3
 
@@ -66,12 +65,9 @@ def resume_state(
     )
 
 
-def _with_state(items: DataFrame, state: DataFrame, key: str, unique: bool = False) -> DataFrame:
-    keyed = state.where(F.col(key).isNotNull())
-    if unique:
-        joined = items.join(keyed, key, "left")
-    else:
-        joined = salted_join(items, keyed, key, "left", items.columns)
+def _with_state(items: DataFrame, state: DataFrame, key: str) -> DataFrame:
+    """Items with the state of their key. Adaptive execution splits a hot key's items."""
+    joined = items.join(state.where(F.col(key).isNotNull()), key, "left")
     return joined.withColumn("done", F.coalesce("done", F.lit(False))).withColumn(
         "retry", F.coalesce("retry", F.lit(0))
     )
@@ -82,14 +78,10 @@ def pending(
     state: DataFrame,
     key: str = "utt",
     max_retries: int = MAX_RETRIES,
-    unique: bool = False,
 ) -> DataFrame:
-    """Items neither done nor out of retries, with the number of the next attempt.
-
-    `unique` says that no key repeats among the items, so none can be hot.
-    """
+    """Items neither done nor out of retries, with the number of the next attempt."""
     return (
-        _with_state(items, state, key, unique)
+        _with_state(items, state, key)
         .where(~F.col("done") & (F.col("retry") < max_retries))
         .select(*items.columns, (F.col("retry") + 1).alias("retry_attempt"))
     )
@@ -100,7 +92,7 @@ def exhausted_items(
 ) -> DataFrame:
     """Items at the retry limit, whether or not they were ever done."""
     at_limit = state.where((F.col("retry") >= max_retries) & F.col(key).isNotNull()).select(key)
-    return salted_join(items, at_limit, key, "left_semi", items.columns).select(*items.columns)
+    return items.join(at_limit, key, "left_semi").select(*items.columns)
 
 
 def resume_report(

@@ -21,7 +21,7 @@ MIN_SAMPLES_PER_HOUR = 0.1
 CORPUS_HOURS = 960
 
 # Default forecast targets (name, hours of audio).
-TARGET_NAMES = ["corpus-960h", "100h", "500h", "1000h", "5000h"]
+TARGET_NAMES = ["LibriSpeech-960h", "100h", "500h", "1000h", "5000h"]
 TARGET_HOURS = [960, 100, 500, 1000, 5000]
 
 
@@ -187,11 +187,11 @@ def running_counts(log: DataFrame, pos: str = "pos", block: int = BLOCK) -> Data
 
 
 def checkpoint_series(
-    log: DataFrame, every: int = 100, pos: str = "pos", dense: bool = True
+    log: DataFrame, every: int = 100, pos: str = "pos", dense: bool = False
 ) -> DataFrame:
     """Cumulative counters after each `every` lines.
 
-    `dense` says that positions are 0, 1, 2, ...; otherwise lines are numbered first.
+    Lines are numbered first; `dense` promises that positions are 0, 1, 2, ... already.
     """
     if not dense:
         log, pos = line_index(log, pos, "_line"), "_line"

@@ -85,35 +85,29 @@ def stream_recent_rate(
     checkpoint: str,
     at: str = "ts",
     window: str = "5 seconds",
-    late: str = "1 minute",
     interval: str | None = "5 seconds",
 ) -> StreamingQuery:
     """Line counts per time window of a stream with a time column.
 
-    State is one row per open window; the watermark closes it. Updated counts go to
-    the partial table, of which `rate_view` takes the last per window.
+    Each batch writes the counts of its own lines and `rate_view` adds them up: there is
+    no state and no watermark, so a line counts however late it comes.
     """
-    counts = (
-        lines.withWatermark(at, late)
-        .groupBy(F.window(at, window).alias("w"))
-        .agg(F.count("*").alias("lines"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "lines")
-    )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_partial(batch, table, batch_id)
+        counts = batch.groupBy(F.window(at, window).alias("w")).agg(F.count("*").alias("lines"))
+        write_partial(
+            counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "lines"), table, batch_id
+        )
 
-    writer = counts.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    return writer.start()
+    return _start(lines, handle, checkpoint, interval)
 
 
 def rate_view(spark: SparkSession, table: str) -> DataFrame:
-    """Latest count and lines per second of every window."""
+    """Count and lines per second of every window."""
     seconds = F.unix_micros(F.col("window_end")) - F.unix_micros(F.col("window_start"))
     return (
         partial_table(spark, table)
         .groupBy("window_start", "window_end")
-        .agg(F.max_by("lines", "batch_id").alias("lines"))
+        .agg(F.sum("lines").alias("lines"))
         .withColumn("recent_per_sec", F.col("lines") * 1e6 / seconds)
     )

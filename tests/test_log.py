@@ -1,11 +1,11 @@
-"""Resume, merge, order and skew against plain Python."""
+"""Resume, merge and order against plain Python."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from harkline.operators import merge, ordering, planning, progress, resume, skew, throughput
+from harkline.operators import merge, ordering, planning, progress, resume, throughput
 
 LOG = "pos bigint, utt string, status string, retry_attempt bigint"
 
@@ -158,21 +158,22 @@ def test_empty_inputs(spark):
         planning.assign_chunks(empty, 0)
 
 
-def test_salted_join_is_a_join(spark):
-    rows = [(i, None if i % 11 == 0 else "hot" if i % 3 else f"k{i}") for i in range(3000)]
-    left = spark.createDataFrame(rows, "i int, k string")
-    right = spark.createDataFrame([("hot", 1), ("k3", 2), ("k300", 3)], "k string, v int")
-    for how in ("left", "inner", "left_semi", "left_anti"):
-        plain = left.join(right, "k", how).select("i", "k").collect()
-        salted = skew.salted_join(left, right, "k", how, ["i"]).select("i", "k").collect()
-        assert sorted(plain, key=str) == sorted(salted, key=str)
-    placed = skew.salted_join(left.repartition(1), right.hint("merge"), "k", "left", ["i"])
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        sizes = [r[1] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert max(sizes) < 1500
+def test_merge_beyond_any_bit_width(spark):
+    top = (1 << 61) + 5
+    rows = [(top, "a", "ok"), (top + 1, "a", "fail"), (top + 2, "a", "ok"), (3, "b", "fail"), (top, "b", None)]
+    df = spark.createDataFrame(rows, "pos bigint, utt string, status string")
+    assert {r.utt: r.pos for r in merge.merge_results(df).collect()} == {"a": top, "b": top}
+    last = merge.merge_results(df, prefer_success=False)
+    assert {r.utt: r.pos for r in last.collect()} == {"a": top + 2, "b": top}
+
+
+def test_hot_and_null_keys_of_items(spark):
+    rows = [(None if i % 11 == 0 else "hot" if i % 3 else f"k{i}",) for i in range(3000)]
+    items = spark.createDataFrame(rows, "utt string")
+    state = spark.createDataFrame([("hot", True, 0), ("k3", False, 3), ("k6", False, 2)], "utt string, done boolean, retry bigint")
+    left = [r.utt for r in resume.pending(items, state).collect()]
+    assert sorted(map(str, left)) == sorted(str(k) for (k,) in rows if k not in ("hot", "k3"))
+    assert [r.utt for r in resume.exhausted_items(items, state).collect()] == ["k3"]
 
 
 def test_throughput_limits(spark):
