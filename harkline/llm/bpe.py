@@ -26,6 +26,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from harkline.llm.common import pieces, texts_of
+from harkline.llm.common import map_arrow, pieces, texts_of
 
 #: Code points of a text leaf, bytes of a match leaf, and ids of a decoding leaf.
 TEXT_LEAF = 1024
@@ -57,8 +58,11 @@ class TreeBpe:
         self.pattern = regex.compile(pattern)
         # merges of one leaf; the split, the halving and the joins are done here
         self._leaf = tiktoken.Encoding("leaf", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
-        # the same merges over a whole leaf as one match
-        self._whole = tiktoken.Encoding("whole", pat_str=r"(?s).+", mergeable_ranks=self.ranks, special_tokens={})
+
+    @cached_property
+    def _whole(self) -> tiktoken.Encoding:
+        """The same merges over a whole leaf as one match; long matches only need it."""
+        return tiktoken.Encoding("whole", pat_str=r"(?s).+", mergeable_ranks=self.ranks, special_tokens={})
 
     # --- text level
 
@@ -205,7 +209,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, key: str = "
             ids = [bpe.encode(t) for t in texts_of(piece["text"])]
             yield pa.RecordBatch.from_arrays([piece["key"], pa.array(ids, pa.list_(pa.int32()))], ["key", "ids"])
 
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_arrow(source, run, schema).withColumnRenamed("key", key)
 
 
 def decode_documents(encoded: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -219,7 +223,7 @@ def decode_documents(encoded: DataFrame, rank_file: str, pattern: str, key: str
             texts = [bpe.decode(i or []).decode("utf-8", "replace") for i in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["key"], pa.array(texts, pa.string())], ["key", "text"])
 
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_arrow(source, run, schema).withColumnRenamed("key", key)
 
 
 def round_trip_report(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
@@ -249,7 +253,7 @@ def round_trip_report(docs: DataFrame, rank_file: str, pattern: str) -> DataFram
                 schema.names,
             )
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def token_documents(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
@@ -276,4 +280,4 @@ def token_documents(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
                 schema.names,
             )
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 #: Bytes of text a task handles at a time; a longer text is a piece of its own.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+
+#: Rows of an Arrow batch of texts at most; the session's own bound stays if it is lower.
+BATCH_ROWS = 1000
 
 #: The six white-space bytes that end a word.
 SPACE = b" \t\n\v\f\r"
@@ -29,6 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_arrow(frame: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """`mapInArrow` over rows that hold texts: batches of few rows, so that a task holds little text."""
+    conf, name = frame.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return frame.mapInArrow(run, schema)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one piece holds at most `limit` bytes of `column`, one row at least."""
     for batch in batches:

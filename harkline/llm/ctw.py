@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harkline.llm.common import joined_bytes, lower_ascii, pieces, word_bounds, word_hashes
+from harkline.llm.common import joined_bytes, lower_ascii, map_arrow, pieces, word_bounds, word_hashes
 from harkline.session import written
 
 #: Bytes of context, contexts of the tree, and words whose counts travel to the tasks.
@@ -142,7 +142,7 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
             yield sent(kind)
 
     return (
-        texts.select(texts["text"].cast("string").alias("text")).mapInArrow(run, "kind int, key long, n long")
+        map_arrow(texts.select(texts["text"].cast("string").alias("text")), run, "kind int, key long, n long")
         .groupBy("kind", "key").agg(F.sum("n").alias("n"))
     )
 
@@ -354,7 +354,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 schema.names,
             )
 
-    parts = rows.mapInArrow(run, schema)
+    parts = map_arrow(rows, run, schema)
     met = parts.join(words.withColumnRenamed("key", "word"), "word", "left")
     n = F.coalesce("n", F.lit(0))
     looked_up = F.col("times").isNotNull()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from harkline.llm.common import pieces, texts_of
+from harkline.llm.common import map_arrow, pieces, texts_of
 
 #: The kinds in the order in which equal starts are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -203,7 +203,7 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
             spans = [[s._asdict() for s in find(t)] for t in texts_of(piece["text"])]
             yield pa.RecordBatch.from_arrays([piece["key"], pa.array(spans, kind)], ["key", "spans"])
 
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_arrow(source, run, schema).withColumnRenamed("key", key)
 
 
 def personal_data_report(docs: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def personal_data_report(docs: DataFrame) -> DataFrame:
                 schema.names,
             )
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def redact_documents(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
@@ -259,4 +259,4 @@ def redact_documents(docs: DataFrame, text: str = "text", length: str = "n_chars
                 columns[size] = pa.array([k if t is None else len(t) for k, t in zip(kept, new)], columns[size].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return source.mapInArrow(run, schema).toDF(*docs.columns)
+    return map_arrow(source, run, schema).toDF(*docs.columns)

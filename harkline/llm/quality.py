@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harkline.llm.common import joined_bytes, lower_ascii, pieces, word_bounds, word_hashes
+from harkline.llm.common import joined_bytes, lower_ascii, map_arrow, pieces, word_bounds, word_hashes
 from harkline.session import written
 
 #: Buckets of each of the four n-gram views.
@@ -122,7 +122,7 @@ def fit(docs: DataFrame, labelled: DataFrame) -> np.ndarray:
 
     # at most VIEWS * BUCKETS rows come back
     totals = (
-        source.mapInArrow(run, "bucket long, target long, raw long")
+        map_arrow(source, run, "bucket long, target long, raw long")
         .groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")).toArrow()
     )
     target, raw = np.zeros((2, VIEWS * BUCKETS), dtype=np.int64)
@@ -148,7 +148,7 @@ def add_log_weights(docs: DataFrame, model: np.ndarray, keep: list[str]) -> Data
                 [*piece.columns[:-1], pa.array(counts.astype(np.int64)), pa.array(weight)], schema.names
             )
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def gumbel_key(weight: Column, doc_id: Column) -> Column:

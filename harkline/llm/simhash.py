@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harkline.llm.common import bytes_of, pieces
+from harkline.llm.common import bytes_of, map_arrow, pieces
 from harkline.llm.components import connected_components
 from harkline.session import written
 
@@ -76,7 +76,7 @@ def add_fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerpri
             prints = np.array([fingerprint(t) for t in bytes_of(piece["t"])], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(prints)], schema.names)
 
-    return source.mapInArrow(run, schema).toDF(*kept, name)
+    return map_arrow(source, run, schema).toDF(*kept, name)
 
 
 def hex_print(column: Column) -> Column:
