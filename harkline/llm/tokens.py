@@ -8,8 +8,8 @@ offsets and gathers the data bytes, all in numpy.
 
 File layout (little-endian): magic, then five counts (documents, ids, distinct ids, control
 bytes, data bytes) as u64; ids by rank as u32; ids per document as u32; control bytes; data
-bytes. A file ends with its first document that reaches FILE_IDS ids, so memory is bounded
-by a file and one document.
+bytes. A file ends with the first batch of documents that reaches FILE_IDS ids, so memory is
+bounded by a file and a batch (a few MB of text, or one document).
 
 A task attempt writes under names of its own; the manifest lists the files of the attempts
 that succeeded only, so repeated or lost tasks leave no ids twice.
@@ -39,13 +39,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harkline.llm.common import pieces, texts_of
+from harkline.llm.common import joined_bytes, map_arrow, pieces, SPACE, word_hashes
 from harkline.session import local_path, scratch_path, written
 
 MAGIC = b"HKTOK001"
 FILE_IDS = 1 << 22
-#: Pieces of text a worker keeps the ids of.
-KEPT_PIECES = 400_000
+#: Files a task reads.
+FILES_A_TASK = 4
+#: Pieces of text, and letter runs at their start, that a worker keeps the ids of.
+KEPT_PIECES = 2_000_000
+KEPT_HEADS = 300_000
+#: Bytes of the longest piece that is kept.
+LONGEST_PIECE = 64
+
+_SPACES = np.frombuffer(SPACE, dtype=np.uint8)
+
+#: Ids below this are counted in a table, larger ones by sorting.
+COUNTED_IDS = 1 << 22
 
 _COUNTS = struct.Struct("<5Q")
 
@@ -84,11 +94,21 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarra
 
 def file_bytes(ids: np.ndarray, per_document: np.ndarray) -> bytes:
     """A file's content."""
-    known, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and ids.max() >= COUNTED_IDS:
+        known, places, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    else:
+        all_counts = np.bincount(ids)
+        known, places = np.flatnonzero(all_counts), None
+        counts = all_counts[known]
     order = np.argsort(-counts, kind="stable")  # ties by id
     rank = np.empty(len(known), dtype=np.uint32)
     rank[order] = np.arange(len(known), dtype=np.uint32)
-    control, data = encode_ranks(rank[inverse])
+    if places is None:
+        by_id = np.zeros(len(all_counts), dtype=np.uint32)
+        by_id[known] = rank
+        control, data = encode_ranks(by_id[ids])
+    else:
+        control, data = encode_ranks(rank[places])
     head = _COUNTS.pack(len(per_document), len(ids), len(known), len(control), len(data))
     return b"".join(
         (MAGIC, head, known[order].astype("<u4").tobytes(), per_document.astype("<u4").tobytes(),
@@ -119,7 +139,12 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class PieceEncoder:
-    """Ids of texts by the tokenizers library, piece by piece."""
+    """Ids of texts by the tokenizers library, piece by piece.
+
+    Pieces are found and told apart (by a 64-bit hash) for all texts of a batch at once; only
+    pieces not seen lately are encoded. Long pieces and texts with white space beyond ASCII
+    are not taken apart.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -129,49 +154,112 @@ class PieceEncoder:
         self._tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self._model = self._tokenizer.model
         self._byte_letters = byte_letters()
-        self._known: dict[str, bytes] = {}
-        self._heads: dict[str, bytes] = {"": b""}
-        self._rests: dict[str, bytes] = {"": b""}
         self._head = regex.compile(r" ?\p{L}+")
-        self._unclear = regex.compile(r"\s ")
-        self._cut = regex.compile(r"(?<=\S)(?=\s)", regex.V1)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._heads: dict[str, bytes] = {"": b""}
+        self._keys = np.zeros(0, dtype=np.uint64)  # sorted
+        self._slots = np.zeros(0, dtype=np.int64)  # place of each key in begins
+        self._begins = np.zeros(1, dtype=np.int64)  # of each slot in ids, and the end
+        self._ids = np.zeros(0, dtype=np.uint32)
 
-    def _split(self, text: str) -> list[str]:
-        if self._unclear.search(text):
-            return self._cut.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [_packed(e.ids) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _new(self, pieces_: list[str]) -> None:
-        """Ids of pieces not seen lately: letters at the start are one match, the rest goes to the whole tokenizer.
+    def _new(self, texts: list[str]) -> list[bytes]:
+        """Ids of pieces: letters at the start are one match, the rest goes to the whole tokenizer.
 
         A letter before a character that is no letter ends a match in every context.
         """
-        cut = [(p, self._head.match(p)) for p in pieces_]
-        parts = [(p, p[: m.end()], p[m.end():]) if m else (p, "", p) for p, m in cut]
-        rests = list({r for _, _, r in parts if r and r not in self._rests})
+        cut = [m.end() if (m := self._head.match(t)) else 0 for t in texts]
+        rests = list({t[c:] for t, c in zip(texts, cut) if c < len(t)})
+        known = {"": b""}
         for at in range(0, len(rests), 4096):
-            some = rests[at:at + 4096]
-            for rest, got in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self._rests[rest] = _packed(got.ids)
-        for piece, head, rest in parts:
+            known.update(zip(rests[at:at + 4096], self._whole(rests[at:at + 4096])))
+        if len(self._heads) > KEPT_HEADS:
+            self._heads = {"": b""}
+        out = []
+        for text, c in zip(texts, cut):
+            head = text[:c]
             if head not in self._heads:
                 letters = head.encode().decode("latin-1").translate(self._byte_letters)
                 self._heads[head] = _packed([t.id for t in self._model.tokenize(letters)])
-            self._known[piece] = self._heads[head] + self._rests[rest]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Unsigned 32-bit ids of each text."""
-        split = [self._split(t) for t in texts]
-        used = set().union(*split)
-        self._new([p for p in used if p not in self._known])
-        known = self._known
-        ids = [np.frombuffer(b"".join([known[p] for p in s]), dtype="<u4") for s in split]
-        if len(known) > KEPT_PIECES:
-            self._known = {p: known[p] for p in used}
-        if len(self._heads) + len(self._rests) > KEPT_PIECES:
-            self._heads, self._rests = {"": b""}, {"": b""}
-        return ids
+            out.append(self._heads[head] + known[text[c:]])
+        return out
+
+    def _slots_of(self, keys: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Slot of each of the sorted, different keys; new ones get one. Their bytes are data[start:end]."""
+        at = np.searchsorted(self._keys, keys)
+        there = np.zeros(len(keys), dtype=bool)
+        inside = at < len(self._keys)
+        there[inside] = self._keys[at[inside]] == keys[inside]
+        slots = np.empty(len(keys), dtype=np.int64)
+        slots[there] = self._slots[at[there]]
+        new = np.flatnonzero(~there)
+        if len(new):
+            found = self._new([data[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+            slots[new] = len(self._begins) - 1 + np.arange(len(new))
+            self._begins = np.concatenate((self._begins, self._begins[-1] + np.cumsum(sizes)))
+            self._ids = np.concatenate((self._ids, np.frombuffer(b"".join(found), dtype="<u4")))
+            self._keys = np.insert(self._keys, at[new], keys[new])
+            self._slots = np.insert(self._slots, at[new], slots[new])
+        return slots
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the number of ids of each text (null: none)."""
+        data, lengths = joined_bytes(column)
+        ends_at = np.cumsum(lengths)
+        starts_at = ends_at - lengths
+        space = np.isin(data, _SPACES)
+        cut = np.zeros(len(data) + 1, dtype=bool)
+        cut[1:-1] = space[1:] & ~space[:-1]
+        cut[starts_at[lengths > 0]] = True
+        # a wide space before a space would be cut wrongly: such a text is one piece
+        wide = np.unique(np.searchsorted(ends_at, _wide_spaces(data), side="right"))
+        for row in wide:
+            cut[starts_at[row] + 1:ends_at[row]] = False
+        starts = np.flatnonzero(cut[:-1])
+        ends = np.concatenate((starts[1:], [len(data)])) if len(starts) else starts
+        raw = data.tobytes()
+        long = np.flatnonzero(ends - starts > LONGEST_PIECE)
+        short = np.flatnonzero(ends - starts <= LONGEST_PIECE)
+        keys, first, inverse = np.unique(
+            word_hashes(data, starts[short], ends[short]), return_index=True, return_inverse=True
+        )
+        if len(self._keys) > KEPT_PIECES:
+            self._forget()
+        slots = self._slots_of(keys, raw, starts[short][first], ends[short][first])
+        begins = np.zeros(len(starts), dtype=np.int64)
+        sizes = np.zeros(len(starts), dtype=np.int64)
+        begins[short] = self._begins[slots][inverse]
+        sizes[short] = (self._begins[slots + 1] - self._begins[slots])[inverse]
+        pool = self._ids
+        if len(long):
+            found = [np.frombuffer(x, dtype="<u4") for x in self._whole([raw[a:b].decode() for a, b in zip(starts[long].tolist(), ends[long].tolist())])]
+            sizes[long] = [len(x) for x in found]
+            begins[long] = len(pool) + np.cumsum(sizes[long]) - sizes[long]
+            pool = np.concatenate((pool, *found))
+        done = np.cumsum(sizes)
+        ids = pool[np.repeat(begins - (done - sizes), sizes) + np.arange(done[-1] if len(done) else 0)]
+        before = np.concatenate(([0], done))
+        counts = before[np.searchsorted(starts, ends_at)] - before[np.searchsorted(starts, starts_at)]
+        return ids, counts
+
+
+def _wide_spaces(data: np.ndarray) -> np.ndarray:
+    """Places of bytes that may belong to a white-space character beyond ASCII."""
+    two = np.flatnonzero(data == 0xC2)
+    two = two[np.isin(data[np.minimum(two + 1, len(data) - 1)], (0x85, 0xA0))]
+    three = np.flatnonzero((data == 0xE1) | (data == 0xE2) | (data == 0xE3))
+    middle = data[np.minimum(three + 1, len(data) - 1)]
+    lead = data[three]
+    three = three[
+        ((lead == 0xE1) & (middle == 0x9A)) | ((lead == 0xE2) & ((middle == 0x80) | (middle == 0x81)))
+        | ((lead == 0xE3) & (middle == 0x80))
+    ]
+    return np.concatenate((two, three))
 
 
 def byte_letters() -> dict[int, str]:
@@ -229,14 +317,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         files, root = _target(folder)
-        end = np.array([end_id], dtype="<u4")
         ids, keys, lengths, total = [], [], [], 0
 
         def close(kind: pa.DataType) -> pa.RecordBatch:
             name = f"{root}/part-{part:06d}-{seq:06d}-{uuid.uuid4().hex}.tok"
             files.create_dir(root, recursive=True)
             with files.open_output_stream(name) as out:
-                out.write(file_bytes(np.concatenate(ids), np.array(lengths, dtype=np.uint32)))
+                out.write(file_bytes(np.concatenate(ids), np.concatenate(lengths)))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([name]),
                  pa.array([len(keys)]), pa.array([total]), pa.array([keys], pa.list_(kind))],
@@ -246,19 +333,19 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
         kind = None
         for piece in pieces(batches, "text"):
             kind = piece["doc_id"].type
-            for doc_id, got in zip(piece["doc_id"].to_pylist(), coder.encode(texts_of(piece["text"]))):
-                ids += [got, end]
-                keys.append(doc_id)
-                lengths.append(len(got) + 1)
-                total += len(got) + 1
-                if total >= FILE_IDS:
-                    yield close(kind)
-                    seq += 1
-                    ids, keys, lengths, total = [], [], [], 0
+            got, counts = coder.encode(piece["text"])
+            ids.append(np.insert(got, np.cumsum(counts), end_id))
+            keys += piece["doc_id"].to_pylist()
+            lengths.append(counts + 1)
+            total += len(ids[-1])
+            if total >= FILE_IDS:
+                yield close(kind)
+                seq += 1
+                ids, keys, lengths, total = [], [], [], 0
         if keys:
             yield close(kind)
 
-    manifest = written(placed.mapInArrow(run, schema), "token-files")
+    manifest = written(map_arrow(placed, run, schema), "token-files")
     # one row per file
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     starts = manifest.select("part", "seq", F.coalesce(F.sum("ids").over(before), F.lit(0).cast("long")).alias("start"))
@@ -295,8 +382,8 @@ def read_token_files(manifest: DataFrame, digest_only: bool = False) -> DataFram
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     wanted = manifest.select("path", "start", "doc_ids")
-    # a row stands for a file: spread them
-    return wanted.repartition(F.col("path")).mapInArrow(run, schema)
+    # a row stands for a file: a few files a task
+    return wanted.repartition(max(1, -(-manifest.count() // FILES_A_TASK))).mapInArrow(run, schema)
 
 
 def token_file_report(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
