@@ -62,6 +62,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--start", type=int, default=0)
     sub.add_argument("--end", type=int)
     sub.add_argument("--rtf-share", type=float, default=0.0)
+    sub.add_argument("--index", help="folder that keeps the numbered index for all ranges")
     model_options(sub, 400)
     sub = command("merge", "best record per key of result logs")
     sub.add_argument("logs", nargs="+")
@@ -155,7 +156,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         else:
             log = runs.run_shards(
                 spark, args.shards, args.log, args.run_id, client, args.model, args.start, args.end,
-                rtf_share=args.rtf_share, **options,
+                stored_index=args.index, rtf_share=args.rtf_share, **options,
             )
         _show(log.groupBy("status").agg(F.count("*").alias("lines")))
     elif args.command == "merge":

@@ -104,10 +104,14 @@ def run_shards(
     start: int = 0,
     end: int | None = None,
     max_retries: int = MAX_RETRIES,
+    stored_index: str | None = None,
     **options,
 ) -> DataFrame:
-    """Annotate an index range of a shard folder; returns the log."""
-    index = range_slice(read_shard_index(spark, path), start, end)
+    """Annotate an index range of a shard folder; returns the log.
+
+    Runs over several ranges share the numbered index in `stored_index`.
+    """
+    index = range_slice(read_shard_index(spark, path, stored_index), start, end)
     attempt = shard_attempt(shard_files(spark, path), client, model, **options)
     # slicing places the rows itself
     return annotate_retry(

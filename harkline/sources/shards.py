@@ -50,11 +50,21 @@ def sorted_index(index: DataFrame) -> DataFrame:
     return index.orderBy("bin_index", "start")
 
 
-def read_shard_index(spark: SparkSession, path: str) -> DataFrame:
+def read_shard_index(spark: SparkSession, path: str, stored: str | None = None) -> DataFrame:
     """Index rows with their dense position `idx` in (shard, offset) order.
 
-    Rows of equal offset keep the order they have in the file.
+    Rows of equal offset keep the order they have in the file. `stored` names a folder for
+    the numbered index: it is built there once and read from there afterwards. Each of its
+    files holds a stretch of positions, so a range or a set of `idx` reads few of them.
     """
+    if stored:
+        if not existing(spark, f"{stored.rstrip('/')}/_SUCCESS"):
+            _numbered(spark, path).write.mode("overwrite").parquet(stored)
+        return spark.read.parquet(stored)
+    return _numbered(spark, path)
+
+
+def _numbered(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.parquet(f"{path.rstrip('/')}/{INDEX_FILE}")
     present = [c for c in INDEX_COLUMNS if c in raw.columns]
     rows = shard_index_rows(

@@ -8,6 +8,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
+from harkline.operators import planning
 from harkline.operators.ordering import line_index
 from harkline.operators.planning import assign_chunks
 from harkline.sources import manifest, payloads, results, shards
@@ -222,3 +223,16 @@ def test_null_ranges_fail_their_own_row(spark, shard_folder):
     assert set(got) == {r[0] for r in rows}
     assert {i for i, r in got.items() if r.error is None} == {0, 4, (1 << 53) + 1}
     assert bytes(got[4].content) == blobs[0][200:250] and got[1].error == "bad range None+50"
+
+
+def test_stored_index(spark, shard_folder):
+    folder, _, rows = shard_folder
+    stored = f"{folder}/numbered"
+    first = [tuple(r) for r in shards.read_shard_index(spark, folder, stored).orderBy("idx").collect()]
+    made = sorted(os.listdir(stored))
+    assert first == [tuple(r) for r in shards.read_shard_index(spark, folder).orderBy("idx").collect()]
+    again = shards.read_shard_index(spark, folder, stored)
+    assert again.count() == len(rows) and sorted(os.listdir(stored)) == made
+    plan = planning.range_slice(again, 10, 20)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(idx,10)" in plan and "LessThan(idx,20)" in plan
+    assert sorted(r.idx for r in planning.range_slice(again, 10, 20).collect()) == list(range(10, 20))
