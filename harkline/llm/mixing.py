@@ -22,6 +22,8 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,7 @@ SEED = 11
 GROUP = 1 << 12
 #: Slots made from one row at a time.
 CHUNK = 1 << 12
+CHUNKS_A_TASK = 16
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -160,9 +163,12 @@ def slots(targets: DataFrame) -> DataFrame:
     chunks = counted.withColumn(
         "from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(CHUNK).cast("long")))
     )
-    # chunks of equal size spread by number: no source is one task
+    # chunks of equal size spread by number, so no source is one task; a few rows stand for
+    # many slots, so adaptive execution must not join the partitions
+    tasks = targets.agg(F.sum(F.col("target"))).head()[0] or 0
+    tasks = max(1, math.ceil(tasks / BLOCK_WORDS / CHUNK / CHUNKS_A_TASK))
     single = (
-        chunks.repartition("no", "from")
+        chunks.repartition(tasks, "no", "from")
         .withColumn("i", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + CHUNK, F.col("slots")) - 1)))
     )
     dealt = permuted(F.col("first") + F.col("i"), F.col("all"), F.lit("shard"))
@@ -201,9 +207,10 @@ def mix_report(docs: DataFrame) -> DataFrame:
     known = written(sized(docs), "mix-sizes")
     targets = written(source_targets(known), "mix-targets")
     placed = written(place(known, targets), "mix-places")
+    # made from a row per source, the slots look small to the planner: no broadcast
     takes = slots(targets).groupBy("no", "block").agg(F.count("*").alias("times"))
     taken = (
-        pieces_of(placed).join(takes, ["no", "block"]).groupBy("row")
+        pieces_of(placed).join(takes.hint("merge"), ["no", "block"]).groupBy("row")
         .agg(F.sum(F.col("n") * F.col("times")).alias("taken"))
     )
     return placed.join(taken, "row", "left").select(
@@ -230,7 +237,7 @@ def mixed_documents(docs: DataFrame, text: str = "text", length: str = "n_chars"
     targets = written(source_targets(known), "mix-targets")
     placed = written(place(known, targets), "mix-places")
     parts = (
-        pieces_of(placed).join(slots(targets).select("no", "block", "turn"), ["no", "block"])
+        pieces_of(placed).join(slots(targets).select("no", "block", "turn").hint("merge"), ["no", "block"])
         .groupBy("row", "turn")
         .agg(F.sum("n").alias("taken"), F.sort_array(F.collect_list(F.struct("from", "n"))).alias("parts"))
     )
