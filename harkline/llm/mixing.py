@@ -185,13 +185,13 @@ def slots(targets: DataFrame) -> DataFrame:
 
 
 def pieces_of(placed: DataFrame) -> DataFrame:
-    """Each document's part in each block: `row`, `no`, `block`, `from` (0-based word), `n` words."""
+    """Each document's part in each block: `row`, `size`, `no`, `block`, `from` (0-based word), `n` words."""
     first = _div(F.col("start"), BLOCK_WORDS)
     last = _div(F.col("start") + F.col("size") - 1, BLOCK_WORDS)
     spread = placed.where("size > 0").select("row", "no", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
     begin = F.greatest(F.col("block") * BLOCK_WORDS - F.col("start"), F.lit(0).cast("long"))
     end = F.least((F.col("block") + 1) * BLOCK_WORDS - F.col("start"), F.col("size"))
-    return spread.select("row", "no", "block", begin.alias("from"), (end - begin).alias("n"))
+    return spread.select("row", "size", "no", "block", begin.alias("from"), (end - begin).alias("n"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -239,16 +239,19 @@ def mixed_documents(docs: DataFrame, text: str = "text", length: str = "n_chars"
     parts = (
         pieces_of(placed).join(slots(targets).select("no", "block", "turn").hint("merge"), ["no", "block"])
         .groupBy("row", "turn")
-        .agg(F.sum("n").alias("taken"), F.sort_array(F.collect_list(F.struct("from", "n"))).alias("parts"))
+        .agg(F.first("size").alias("all"), F.sum("n").alias("taken"), F.sort_array(F.collect_list(F.struct("from", "n"))).alias("parts"))
     )
-    joined = numbered.join(parts, "row").withColumn("all", word_count(F.col(at)))
-    every = words(F.col(at))
-    some = F.array_join(
-        F.flatten(
-            F.transform("parts", lambda p: F.slice(every, (p["from"] + 1).cast("int"), p["n"].cast("int")))
+    joined = numbered.join(parts, "row")
+    # the words as the only element of an array: split once, not once for each part
+    some = F.transform(
+        F.array(words(F.col(at))),
+        lambda every: F.array_join(
+            F.flatten(
+                F.transform("parts", lambda p: F.slice(every, (p["from"] + 1).cast("int"), p["n"].cast("int")))
+            ),
+            " ",
         ),
-        " ",
-    )
+    )[0]
     new = joined.withColumn(at, F.when(F.col("taken") == F.col("all"), F.col(at)).otherwise(some))
     if length in docs.columns:
         size = names[docs.columns.index(length)]
