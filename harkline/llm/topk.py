@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from harkline.session import written
 
 SHARD = 1 << 13
-LEAF = 64
+LEAF = 256
 QUERIES_AT_A_TIME = 256
 #: Share of a bound's size added for rounding.
 MARGIN = 1e-9
@@ -54,7 +54,7 @@ class BallTree:
                 centres.append(centre)
                 radii.append(np.sqrt(((part - centre) ** 2).sum(axis=1).max()))
             self.levels.append((np.array(centres), np.array(radii)))
-            if all(b - a <= LEAF for a, b in edges):
+            if all(b - a <= LEAF for a, b in edges) or any(b - a < 2 for a, b in edges):
                 break
             halves = []
             for a, b in edges:

@@ -452,3 +452,21 @@ def test_top_k_few_rows(spark):
     frame = spark.createDataFrame([(50, [1.0]), (51, [2.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk.exact_top_k(frame, F.col("id") % 50 == 0, k=5).collect()] == [(50, 1, 51, 256 * 512)]
     assert topk.exact_top_k(frame.where("false"), F.col("id") % 50 == 0, k=5).count() == 0
+
+
+@pytest.mark.parametrize("leaf", [1, 4, 64])
+def test_ball_tree(monkeypatch, leaf):
+    """Deep trees, copies, and a shared k-th score from elsewhere."""
+    monkeypatch.setattr(topk, "LEAF", leaf)
+    r = np.random.default_rng(8)
+    vectors = r.integers(-300, 300, (200, 5))
+    vectors[50:90] = vectors[50]
+    ids = r.permutation(200)
+    tree = topk.BallTree(vectors, ids, np.arange(200))
+    queries, own = vectors[[3, 50, 120]], np.array([3, 50, 500])
+    for least in (-np.inf, 20_000.0):
+        got = {p: list(zip(i.tolist(), s.tolist())) for p, i, s in tree.search(queries, own, np.full(3, least), 5)}
+        for place in range(3):
+            scores = sorted((-int(v @ queries[place]), int(ids[k])) for k, v in enumerate(vectors) if k != own[place])[:5]
+            want = [(i, -s) for s, i in scores if -s >= least]
+            assert [x for x in got.get(place, []) if x[1] >= least] == want
