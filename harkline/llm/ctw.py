@@ -8,10 +8,14 @@ the path of a context with the weights the training data gave them. The score of
 the log10 probability of its bytes and an end mark; `bits_per_byte` is its code length.
 
 Training counts runs of `DEPTH` + 1 bytes over all training text, each in the task that
-reads it, then summed. The tree keeps the `CONTEXTS` most frequent contexts (a context's
-shorter forms are at least as frequent, so the kept ones form a tree); what stops at an
-inner node goes to a leaf of its own there, so the leaves still split all contexts. The
-model has a fixed size: one row of 256 log probabilities per kept context.
+reads it, then summed; runs of held-out text join them with a count of zero. All their
+contexts are nodes, as rows of tables: a level's counts, estimates and weighted
+probabilities come from the level below by `groupBy`, the mixed probabilities go back down
+by joins, and each run ends with one log probability. The tree grows with the corpus; no
+node is dropped. What training has not seen has counts of zero and probability 1/2 a bit.
+
+Log probabilities of the most frequent runs, up to `SLOTS` of them, travel to the tasks as
+a fast path. All other runs of a document meet theirs in a join, once per text.
 
 The base score is a unigram model with add-one smoothing over the same training documents.
 Counts of the `FREQUENT` most frequent words travel to the tasks; all other words of a
@@ -29,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +41,11 @@ from pyspark.sql import types as T
 from harkline.llm.common import joined_bytes, lower_ascii, map_arrow, pieces, word_bounds, word_hashes
 from harkline.session import written
 
-#: Bytes of context, contexts of the tree, and words whose counts travel to the tasks.
+#: Bytes of context, and words whose counts travel to the tasks.
 DEPTH = 5
-CONTEXTS = (1 << 15) - 1  # states are 16-bit numbers, two for each node
 FREQUENT = 1 << 17
+#: Runs whose log probabilities travel to the tasks at most; a power of two.
+SLOTS = 1 << 21
 #: Remainder of crc32(doc_id) by FOLDS that is held out.
 FOLDS = 7
 HELD_OUT = 2
@@ -52,7 +58,7 @@ EDGE = 0xFF
 #: Distinct keys a task gathers before it sends them on.
 _GATHERED = 1 << 21
 
-_WORD, _RUN = 0, 1
+_WORD, _RUN, _HELD_OUT_RUN = 0, 1, 2
 
 
 def held_out(doc_id: Column) -> Column:
@@ -115,35 +121,46 @@ class _Tally:
 
 
 def corpus_counts(texts: DataFrame) -> DataFrame:
-    """`kind` (word or run), `key` and `n` over all rows of the column `text`."""
+    """`kind` (word or run), `key`, `n` over the training rows and `total` over all rows of `text` and `held_out`.
+
+    Words are those of training rows only; a run of held-out rows only has an `n` of zero.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies = {_WORD: _Tally(), _RUN: _Tally()}
+        tallies = {_WORD: _Tally(), _RUN: _Tally(), _HELD_OUT_RUN: _Tally()}
 
         def sent(kind: int) -> pa.RecordBatch:
             keys, counts = tallies[kind].total()
             tallies[kind] = _Tally()
+            seen = np.zeros_like(counts) if kind == _HELD_OUT_RUN else counts
+            kinds = np.full(len(keys), _WORD if kind == _WORD else _RUN, dtype=np.int32)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(keys), kind, dtype=np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)],
-                ["kind", "key", "n"],
+                [pa.array(kinds), pa.array(keys.view(np.int64)), pa.array(seen), pa.array(counts)],
+                ["kind", "key", "n", "total"],
             )
 
         for piece in pieces(batches, "text"):
-            data, lengths = joined_bytes(piece["text"])
-            data = lower_ascii(data)
-            starts, ends, _ = word_bounds(data, lengths)
-            tallies[_WORD].add(word_hashes(data, starts, ends))
-            edged, places, _ = _edged(data, lengths)
-            tallies[_RUN].add(_runs(edged, places))
+            for held in (False, True):
+                part = piece.filter(pc.equal(piece["held_out"], held))
+                if part.num_rows == 0:
+                    continue
+                data, lengths = joined_bytes(part["text"])
+                data = lower_ascii(data)
+                edged, places, _ = _edged(data, lengths)
+                tallies[_HELD_OUT_RUN if held else _RUN].add(_runs(edged, places))
+                if not held:
+                    starts, ends, _ = word_bounds(data, lengths)
+                    tallies[_WORD].add(word_hashes(data, starts, ends))
             for kind in tallies:
                 if tallies[kind].full():
                     yield sent(kind)
         for kind in tallies:
             yield sent(kind)
 
+    source = texts.select(texts["text"].cast("string").alias("text"), "held_out")
     return (
-        map_arrow(texts.select(texts["text"].cast("string").alias("text")), run, "kind int, key long, n long")
-        .groupBy("kind", "key").agg(F.sum("n").alias("n"))
+        map_arrow(source, run, "kind int, key long, n long, total long")
+        .groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     )
 
 
@@ -151,13 +168,13 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
 
 
 class Tree:
-    """The kept contexts as states of an automaton that reads context bytes from the nearest on.
+    """Contexts that fit in memory, as states of an automaton that reads context bytes from the nearest on.
 
     State v + size means: the context stopped at node v. `step[state, byte]` is the next state.
     """
 
     def __init__(self, contexts: list[tuple[int, int]]):
-        """`contexts`: (depth, bytes with the nearest one lowest), every shorter form before the longer."""
+        """`contexts`, fewer than 2^15: (depth, bytes with the nearest one lowest), every shorter form before the longer."""
         self.size = len(contexts) + 1
         self.depth = np.zeros(self.size, dtype=np.int64)
         self.parent = np.zeros(self.size, dtype=np.int64)
@@ -173,15 +190,6 @@ class Tree:
             self.step[parent, far] = at
 
 
-def _nodes(step: np.ndarray, size: int, context_byte) -> np.ndarray:
-    """Node at which each context stops. `context_byte(d)`: the d-th byte before, as an array."""
-    state = step[0][context_byte(1)].astype(np.int32)
-    flat = step.reshape(-1)
-    for back in range(2, DEPTH + 1):
-        state = flat[(state << 8) | context_byte(back)].astype(np.int32)
-    return np.where(state >= size, state - size, state)
-
-
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Natural log of the gamma function for x > 0: recurrence to x + 8, then Stirling's series."""
     shift = np.ones_like(x)
@@ -244,37 +252,129 @@ def byte_log_probabilities(tree: Tree, stopped: np.ndarray) -> np.ndarray:
     return result
 
 
-def train(counts: DataFrame) -> tuple[Tree, np.ndarray]:
-    """The tree and its table, from `corpus_counts`; only the kept contexts come to the driver."""
-    runs = counts.where(F.col("kind") == _RUN).select("key", "n")
-    forms = F.array(*[
-        F.struct(
-            F.lit(d).alias("depth"),
-            F.shiftrightunsigned("key", 8).bitwiseAND(F.lit((1 << (8 * d)) - 1)).alias("code"),
-        )
-        for d in range(1, DEPTH + 1)
-    ])
-    kept = (
-        runs.select("n", F.explode(forms).alias("x")).groupBy("x.depth", "x.code").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "depth", "code").limit(CONTEXTS).collect()
+def _log_gamma(x: Column) -> Column:
+    """`log_gamma` of a column."""
+    shift = x
+    for k in range(1, 8):
+        shift = shift * (x + k)
+    y = x + 8
+    square = y * y
+    # nested, from the last term of the series
+    series = F.lit(1 / 1188)
+    for term in (-1 / 1680, 1 / 1260, -1 / 360, 1 / 12):
+        series = series / square + term
+    return (y - 0.5) * F.log(y) - y + 0.5 * float(np.log(2 * np.pi)) + series / y - F.log(shift)
+
+
+def _estimated(level: DataFrame) -> DataFrame:
+    """A level with `estimate`, the log of the Krichevsky-Trofimov probability of its counts."""
+    zeros, ones = F.col("zeros").cast("double"), F.col("ones").cast("double")
+    log = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1) - float(np.log(np.pi))
+    return level.withColumn("estimate", log)
+
+
+def _bits(runs: DataFrame) -> DataFrame:
+    """The eight decisions of each run: `code`, the context and then the bit prefix led by a one, and `one`."""
+    decided = runs.withColumn("bit", F.explode(F.array(*[F.lit(i) for i in range(8)])))
+    return decided.select(
+        *runs.columns,
+        F.expr("(key - (key & 255)) + shiftright((key & 255) | 256, 8 - bit)").alias("code"),
+        F.expr("shiftright(key, 7 - bit) & 1").alias("one"),
     )
-    tree = Tree([(r["depth"], r["code"]) for r in kept])
-    step, size = tree.step, tree.size
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(size * 256, dtype=np.int64)
-        for batch in batches:
-            key = np.asarray(batch["key"], dtype=np.int64)
-            node = _nodes(step, size, lambda back: (key >> (8 * back)) & 0xFF)
-            sums += np.bincount(node.astype(np.int64) * 256 + (key & 0xFF), np.asarray(batch["n"]), len(sums)).astype(np.int64)
-        seen = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], ["at", "n"])
 
-    # at most (CONTEXTS + 1) * 256 rows come back
-    found = runs.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    stopped = np.zeros(size * 256)
-    stopped[found["at"].to_numpy()] = found["n"].to_numpy()
-    return tree, byte_log_probabilities(tree, stopped.reshape(size, 256))
+def run_log_probabilities(runs: DataFrame) -> DataFrame:
+    """`key` and `log`, the log10 probability of each run's byte after its context, from `key` and `n`.
+
+    A node is one row for each bit prefix it has counts of: at most 256 children each, so no
+    key of a join or a group has more rows than that.
+    """
+    level = _bits(runs).groupBy("code").agg(
+        F.sum(F.when(F.col("one") == 0, F.col("n")).otherwise(0)).alias("zeros"),
+        F.sum(F.when(F.col("one") == 1, F.col("n")).otherwise(0)).alias("ones"),
+    )
+    level = _estimated(level).select("code", "zeros", "ones", F.col("estimate").alias("weighted"), F.lit(1.0).alias("weight"))
+    levels = [written(level, "lm-level")]
+    for depth in range(DEPTH - 1, -1, -1):
+        # the farthest byte of the context goes
+        up = F.col("code").bitwiseAND(F.lit((1 << (8 * depth + 8)) - 1))
+        level = levels[-1].groupBy(up.alias("code")).agg(
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below")
+        )
+        ahead = F.col("below") - F.col("estimate")
+        weighted = F.greatest("estimate", "below") + F.log1p(F.exp(-F.abs(ahead))) - float(np.log(2))
+        level = _estimated(level).select(
+            "code", "zeros", "ones", weighted.alias("weighted"), (1 / (1 + F.exp(ahead))).alias("weight")
+        )
+        levels.append(written(level, "lm-level"))
+    mixed = None
+    for depth, level in enumerate(reversed(levels)):
+        own = level.select("code", "weight", ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)).alias("own"))
+        if mixed is None:
+            own = own.withColumn("mixed", F.lit(0.0)).withColumn("left", F.lit(1.0))
+        else:
+            # `mixed` so far, and weight not yet given
+            above = mixed.withColumnRenamed("code", "up")
+            own = own.withColumn("up", F.col("code").bitwiseAND(F.lit((1 << (8 * depth)) - 1))).join(above, "up")
+        mixed = own.select(
+            "code", (F.col("mixed") + F.col("left") * F.col("weight") * F.col("own")).alias("mixed"),
+            (F.col("left") * (1 - F.col("weight"))).alias("left"),
+        )
+    chance = F.when(F.col("one") == 1, F.col("mixed")).otherwise(1 - F.col("mixed"))
+    return _bits(runs.select("key")).join(mixed, "code").groupBy("key").agg(F.sum(F.log10(chance)).alias("log"))
+
+
+class Slots:
+    """Values of some keys below 2^63 in two tables of hash slots; of keys that share a slot the first stays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, size: int):
+        self.tables = []
+        for bits in (max(size.bit_length() - 1, 1), max(size.bit_length() - 2, 1)):
+            slots, first = np.unique(self._slots(keys, bits), return_index=True)
+            at, found = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits)
+            at[slots], found[slots] = keys[first], values[first]
+            self.tables.append((bits, at, found))
+            rest = np.ones(len(keys), dtype=bool)
+            rest[first] = False
+            keys, values = keys[rest], values[rest]
+
+    @staticmethod
+    def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
+        # another part of the product for each size of table
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15 if bits & 1 else 0xC2B2AE3D27D4EB4F)
+        return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of each key, and whether it is held; 0 for one that is not."""
+        bits, at, found = self.tables[0]
+        slot = self._slots(keys, bits)
+        held = at[slot] == keys
+        values = np.where(held, found[slot], 0.0)
+        missed = np.flatnonzero(~held)
+        bits, at, found = self.tables[1]
+        slot = self._slots(keys[missed], bits)
+        second = at[slot] == keys[missed]
+        values[missed[second]] = found[slot[second]]
+        held[missed[second]] = True
+        return values, held
+
+
+def frequent_runs(logs: DataFrame) -> Slots:
+    """The most frequent of the rows (`key`, `log`, `total`), at most `SLOTS` of them.
+
+    Whole classes of frequency are taken, so that no task orders all runs.
+    """
+    ranked = logs.withColumn("class", F.floor(F.log2("total") * 8).cast("int"))
+    classes = sorted(ranked.groupBy("class").count().collect(), reverse=True)
+    least, room = None, SLOTS
+    for c, count in classes:
+        room -= count
+        if room < 0:
+            break
+        least = c
+    taken = ranked.where(F.col("class") >= least if least is not None else F.lit(False)).select("key", "log", "total").toArrow()
+    order = np.lexsort((taken["key"].to_numpy(), -taken["total"].to_numpy()))
+    return Slots(taken["key"].to_numpy()[order], taken["log"].to_numpy()[order], SLOTS)
 
 
 # --- scores
@@ -290,40 +390,58 @@ def score_documents(docs: DataFrame) -> DataFrame:
         held_out(docs["doc_id"]).alias("held_out"),
     )
     training = rows.where(~F.col("held_out"))
-    counts = written(corpus_counts(training), "lm-counts")
+    counts = written(corpus_counts(rows), "lm-counts")
     words = counts.where(F.col("kind") == _WORD).select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     ends = training.count()
     total, distinct = total + ends, distinct + (ends > 0)
     space = float(total + distinct + 1)
-    tree, table = train(counts)
+    runs = counts.where(F.col("kind") == _RUN)
+    logs = written(run_log_probabilities(runs.select("key", "n")).join(runs.select("key", "total"), "key"), "lm-logs")
     frequent = words.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
     order = np.argsort(frequent["key"].to_numpy())
     keys, seen = frequent["key"].to_numpy()[order], frequent["n"].to_numpy()[order]
-    size = tree.size
-    # fixed sizes: CONTEXTS and FREQUENT
-    model = docs.sparkSession.sparkContext.broadcast((tree.step, table.astype(np.float32).reshape(-1), keys, seen))
+    # fixed sizes: SLOTS and FREQUENT
+    model = docs.sparkSession.sparkContext.broadcast((frequent_runs(logs), keys, seen))
 
     schema = T.StructType(
         [
             T.StructField("row", T.LongType()), T.StructField("doc_id", rows.schema["doc_id"].dataType),
-            T.StructField("held_out", T.BooleanType()), T.StructField("word", T.LongType()),
-            T.StructField("times", T.LongType()), T.StructField("n_tokens", T.LongType()),
+            T.StructField("held_out", T.BooleanType()), T.StructField("kind", T.IntegerType()),
+            T.StructField("key", T.LongType()), T.StructField("times", T.LongType()), T.StructField("n_tokens", T.LongType()),
             T.StructField("n_known", T.LongType()), T.StructField("base", T.DoubleType()),
             T.StructField("score", T.DoubleType()), T.StructField("n_bytes", T.LongType()),
         ]
     )
 
+    def once(row: np.ndarray, owner: np.ndarray, found: np.ndarray, kind: int, of: pa.DataType) -> pa.RecordBatch:
+        """Keys that are not at hand, once per text."""
+        by = np.lexsort((found, owner))
+        found, owner = found[by], owner[by]
+        new = np.flatnonzero(np.concatenate(([True], (np.diff(found) != 0) | (np.diff(owner) != 0)))[: len(found)])
+        times = np.diff(np.concatenate((new, [len(found)])))
+        some = len(new)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(row[owner[new]]), pa.nulls(some, of), pa.nulls(some, pa.bool_()),
+             pa.array(np.full(some, kind, dtype=np.int32)), pa.array(found[new]), pa.array(times),
+             *[pa.nulls(some, pa.int64())] * 2, *[pa.nulls(some, pa.float64())] * 2, pa.nulls(some, pa.int64())],
+            schema.names,
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step, logs, keys, seen = model.value
+        slots, keys, seen = model.value
         for piece in pieces(batches, "text"):
             data, lengths = joined_bytes(piece["text"])
             data = lower_ascii(data)
             count = piece.num_rows
-            # bytes
+            row = np.asarray(piece["row"], dtype=np.int64)
+            # runs whose log probabilities are at hand
             edged, places, first = _edged(data, lengths)
-            node = _nodes(step, size, lambda back: edged[places - back].astype(np.int32))
-            score = np.add.reduceat(logs[(node << 8) | edged[places]], first, dtype=np.float64)
+            runs = _runs(edged, places).view(np.int64)
+            value, held = slots.look_up(runs)
+            score = np.add.reduceat(value, first, dtype=np.float64)
+            missed = np.flatnonzero(~held)
+            yield once(row, np.searchsorted(first, missed, side="right") - 1, runs[missed], _RUN, piece["doc_id"].type)
             # words whose counts are at hand
             starts, ends_, words_of = word_bounds(data, lengths)
             hashes = word_hashes(data, starts, ends_).view(np.int64)
@@ -333,38 +451,29 @@ def score_documents(docs: DataFrame) -> DataFrame:
             known = np.bincount(owner[hit], minlength=count)
             base = np.bincount(owner[hit], np.log10((seen[at[hit]] + 1) / space), minlength=count)
             base += np.log10((ends + 1) / space)  # the end
-            row = np.asarray(piece["row"], dtype=np.int64)
-            none = pa.nulls(count, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [piece["row"], piece["doc_id"], piece["held_out"], pa.array(~row), none, pa.array(words_of + 1),
+                [piece["row"], piece["doc_id"], piece["held_out"], pa.nulls(count, pa.int32()), pa.array(~row),
+                 pa.nulls(count, pa.int64()), pa.array(words_of + 1),
                  pa.array(known + (ends > 0)), pa.array(base), pa.array(score), pa.array(lengths)],
                 schema.names,
             )
-            # the others, once per text
-            rest, owner = hashes[~hit], owner[~hit]
-            by = np.lexsort((rest, owner))
-            rest, owner = rest[by], owner[by]
-            new = np.flatnonzero(np.concatenate(([True], (np.diff(rest) != 0) | (np.diff(owner) != 0)))[: len(rest)])
-            times = np.diff(np.concatenate((new, [len(rest)])))
-            some = len(new)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row[owner[new]]), pa.nulls(some, piece["doc_id"].type), pa.nulls(some, pa.bool_()),
-                 pa.array(rest[new]), pa.array(times), *[pa.nulls(some, pa.int64())] * 2,
-                 *[pa.nulls(some, pa.float64())] * 2, pa.nulls(some, pa.int64())],
-                schema.names,
-            )
+            yield once(row, owner[~hit], hashes[~hit], _WORD, piece["doc_id"].type)
 
     parts = map_arrow(rows, run, schema)
-    met = parts.join(words.withColumnRenamed("key", "word"), "word", "left")
+    met = parts.join(
+        words.select(F.lit(_WORD).alias("kind"), "key", "n", F.lit(None).cast("double").alias("log"))
+        .unionAll(logs.select(F.lit(_RUN), "key", F.lit(None).cast("long"), "log")),
+        ["kind", "key"], "left",
+    )
     n = F.coalesce("n", F.lit(0))
-    looked_up = F.col("times").isNotNull()
+    word = F.col("kind") == _WORD
     scored = met.groupBy("row").agg(
         F.first("doc_id", ignorenulls=True).alias("doc_id"),
         F.first("held_out", ignorenulls=True).alias("held_out"),
         F.sum("n_tokens").alias("n_tokens"),
-        (F.sum("n_known") + F.coalesce(F.sum(F.when(looked_up & (n > 0), F.col("times"))), F.lit(0))).alias("n_known"),
-        (F.sum("base") + F.coalesce(F.sum(F.when(looked_up, F.col("times") * F.log10((n + 1) / space))), F.lit(0.0))).alias("base_score"),
-        F.sum("score").alias("score"),
+        (F.sum("n_known") + F.coalesce(F.sum(F.when(word & (n > 0), F.col("times"))), F.lit(0))).alias("n_known"),
+        (F.sum("base") + F.coalesce(F.sum(F.when(word, F.col("times") * F.log10((n + 1) / space))), F.lit(0.0))).alias("base_score"),
+        (F.sum("score") + F.coalesce(F.sum(F.when(F.col("kind") == _RUN, F.col("times") * F.col("log"))), F.lit(0.0))).alias("score"),
         F.sum("n_bytes").alias("n_bytes"),
     )
     return scored.select(
