@@ -6,9 +6,10 @@ addresses) confirm or drop them, and words near a span raise or lower its score.
 Base kinds (`email`, `ip`, `card`, `phone`) are kept whatever their score. The added kinds
 are kept from a score of `MIN_SCORE` on:
 
-* `iban`: confirmed by the mod-97 check, so it needs no context;
+* `iban`: confirmed by the mod-97 check, so it needs no context; ends at its country's length,
+  whatever capitals or digits follow;
 * `key`: an access key of the form `AKIA` and 16 capitals or digits;
-* `secret`: a value after a word such as `password` and `=` or `:`, or a quoted long hex value.
+* `secret`: a value after a word such as `password`, in any case, and `=` or `:`, or a quoted long hex value.
 
 Defined cases: a null text is an empty text and has no spans; positions count code points
 and ends are exclusive; whole texts are searched; repeated rows give repeated results.
@@ -42,9 +43,23 @@ IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Patterns of the added kinds.
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+IBAN_GROUP = re.compile(r"\x20?[A-Z0-9]{4}")
+IBAN_TAIL = re.compile(r"\x20?[A-Z0-9]{1,3}(?![A-Za-z0-9])")
 KEY = re.compile(r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
-SECRET = re.compile(r"(?:password|passwd|secret|token|api_key)\x20?[=:]\x20?\"?([A-Za-z0-9+/_-]{8,})|\"([0-9a-f]{32,})\"")
+SECRET = re.compile(r"(?:(?i:password|passwd|secret|token|api_key))\x20?[=:]\x20?\"?([A-Za-z0-9+/_-]{8,})|\"([0-9a-f]{32,})\"")
+
+#: Characters of an IBAN by country.
+IBAN_LENGTH = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile(r"[0-9]")
@@ -134,13 +149,48 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def _iban_ends(text: str, start: int) -> list[int]:
+    """Ends of 2 to 7 groups of four after the first four characters, each also with a tail, longest first."""
+    ends, at = [], start + 4
+    for groups in range(8):
+        tail = IBAN_TAIL.match(text, at)
+        if groups >= 2:
+            if at == len(text) or not (text[at].isascii() and text[at].isalnum()):
+                ends.append(at)
+            if tail:
+                ends.append(tail.end())
+        group = IBAN_GROUP.match(text, at)
+        if not group:
+            break
+        at = group.end()
+    return ends[::-1]
+
+
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping spans that hold by mod 97.
+
+    What follows an IBAN can look like more of it: the country's length comes first, then the
+    longest end, then, for a country of unknown length, the shorter ones.
+    """
+    done = 0
+    for m in IBAN_START.finditer(text):
+        if m.start() < done:
+            continue
+        length, ends = IBAN_LENGTH.get(m[0][:2]), _iban_ends(text, m.start())
+        right = [e for e in ends if len(text[m.start():e].replace(" ", "")) == length]
+        for end in right + (ends[:1] if length else ends):
+            if mod97(text[m.start():end].replace(" ", "")):
+                yield m.start(), end
+                done = end
+                break
+
+
 def added_spans(text: str) -> list[tuple[str, int, int]]:
     """Confirmed candidates of the added kinds."""
+    found = [("key", *m.span()) for m in KEY.finditer(text)] if "AKIA" in text else []
     if not _DIGIT.search(text):
-        return []
-    found = [("iban", *m.span()) for m in IBAN.finditer(text) if mod97(m[0].replace(" ", ""))]
-    if "AKIA" in text:
-        found += [("key", *m.span()) for m in KEY.finditer(text)]
+        return found
+    found += [("iban", a, b) for a, b in ibans(text)]
     if "=" in text or ":" in text or '"' in text:
         for m in SECRET.finditer(text):
             group = 1 if m[1] else 2
