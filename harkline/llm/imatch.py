@@ -7,6 +7,11 @@ sorts them, and hashes those that fall into each of 16 randomised subsets of the
 two of each rate from 1/2 to 1/256, so that long and short texts both have subsets of few
 terms. Two fingerprints are as alike as the share of their filled subsets that agree.
 
+With `distinct`, as the query has it, document frequency counts distinct texts, and the band
+ends at 1/2 (inverse document frequency log 2): a term's place does not depend on how often
+one text is copied, and the terms of a group of near copies stay in the lexicon as long as
+the group holds up to half of the distinct texts.
+
 The lexicon is broadcast. Its size has a bound that does not grow with the corpus: each of
 its terms is in at least N / 1024 documents, and N documents hold N * d distinct terms, so
 there are at most 1024 * d of them (d: mean number of distinct terms of a document).
@@ -31,6 +36,8 @@ from harkline.session import written
 #: Share of all documents a lexicon term is in, at least and at most.
 LEAST_SHARE = 1 / 1024
 MOST_SHARE = 1 / 4
+#: The same at most over distinct texts: more than one group of near copies may hold.
+MOST_SHARE_OF_TEXTS = 1 / 2
 #: A term of one document only tells nothing, however small the corpus.
 LEAST_DOCUMENTS = 2
 #: Rates of the subsets are 2^-1 to 2^-DEPTH, two subsets of each.
@@ -49,13 +56,23 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda t: F.xxhash64(t)))
 
 
-def lexicon(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`code` of each term in the band, over all documents."""
-    count = docs.count()
+def lexicon(docs: DataFrame, text: str = "text", distinct: bool = False) -> DataFrame:
+    """`code` of each term in the band, over all documents or over all distinct texts."""
+    texts = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    found = texts.select(terms(F.col("text")).alias("codes"))
+    most = MOST_SHARE
+    if distinct:
+        # a text is known by two hashes, so that its terms move and not the text
+        known = texts.select(
+            F.xxhash64("text").alias("hash"), F.xxhash64(F.lit(1), "text").alias("other"), terms(F.col("text")).alias("codes")
+        )
+        found = written(known.groupBy("hash", "other").agg(F.first("codes").alias("codes")).select("codes"), "distinct-texts")
+        most = MOST_SHARE_OF_TEXTS
+    count = found.count()
     return (
-        docs.select(F.explode(terms(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("code"))
+        found.select(F.explode("codes").alias("code"))
         .groupBy("code").agg(F.count("*").alias("n"))
-        .where(F.col("n").between(max(LEAST_DOCUMENTS, count * LEAST_SHARE), max(LEAST_DOCUMENTS, count * MOST_SHARE)))
+        .where(F.col("n").between(max(LEAST_DOCUMENTS, count * LEAST_SHARE), max(LEAST_DOCUMENTS, count * most)))
         .select("code")
     )
 
@@ -143,13 +160,15 @@ def with_successors(docs: DataFrame) -> DataFrame:
     return both.select("*", F.row_number().over(order).alias("place"), F.lead("text").over(order).alias("next_text"))
 
 
-def fingerprint_report(docs: DataFrame) -> DataFrame:
+def fingerprint_report(docs: DataFrame, distinct: bool = False) -> DataFrame:
     """Fingerprints of every text and of its edit, and their likeness; see the module text.
 
+    `distinct`: the lexicon counts distinct texts, not rows.
+
     The edit replaces the last half of a text (rounded down) by as many first characters of
     its successor, or all of them.
     """
-    known = written(lexicon(docs).unionAll(docs.sparkSession.range(1).select(F.lit(_MARK).cast("long"))), "lexicon")
+    known = written(lexicon(docs, distinct=distinct).unionAll(docs.sparkSession.range(1).select(F.lit(_MARK).cast("long"))), "lexicon")
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(
         F.substring(F.col("text"), F.lit(1), F.length("text") - half),

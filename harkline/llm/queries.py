@@ -152,7 +152,7 @@ SELECT query_id, CAST(place AS INTEGER) AS "rank", vec_id, score FROM ranked WHE
 @query
 def op4_imatch(spark, sf):
     """I-Match fingerprints of every document and of its edited text."""
-    return imatch.fingerprint_report(table(spark, sf, "documents"))
+    return imatch.fingerprint_report(table(spark, sf, "documents"), distinct=True)
 
 
 @query
