@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harkline.llm import bpe, ctw, imatch, mixing, pii, quality, simhash, tokens, topk, urls
+from harkline.llm import audit, bpe, ctw, imatch, mixing, pii, quality, simhash, tokens, topk, urls
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,63 @@ def op4_imatch(spark, sf):
 def op8_language_model(spark, sf):
     """Context-tree and unigram scores of every document."""
     return ctw.score_documents(table(spark, sf, "documents"))
+
+
+@query
+def op11_filter_audit(spark, sf):
+    """Five filters in all 120 orders, by part of the documents."""
+    return audit.filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def _audit_sql() -> str:
+    """The same in SQL: the codes of the documents, met with every order and step."""
+    words = "regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
+    fails = {f: f"CAST(substr(code, {i}, 1) AS INTEGER) = 1" for i, f in enumerate(audit.FILTERS, 1)}
+    fails_mine = "CASE f " + " ".join(f"WHEN '{f}' THEN {c}" for f, c in fails.items()) + " END"
+    earlier = " OR ".join(f"(strpos(filter_order, '{f}') < step AND {c})" for f, c in fails.items())
+    others = " OR ".join(f"(f <> '{f}' AND {c})" for f, c in fails.items())
+    return f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), failed AS (
+  SELECT doc_id, part,
+    CAST(len({words}) < 200 AS INTEGER) || ''
+    || CAST(100 * len(list_distinct({words})) < 50 * len({words}) AS INTEGER)
+    || CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS INTEGER)
+    || CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+    || CAST(coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS INTEGER) AS code
+  FROM doc
+), mark AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS bad
+  FROM labels GROUP BY doc_id
+), cell AS (
+  SELECT part, code, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad
+  FROM failed LEFT JOIN mark USING (doc_id) GROUP BY part, code
+), letter(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE length(a.f || b.f || c.f || d.f || e.f) = len(list_distinct([a.f, b.f, c.f, d.f, e.f]))
+), steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f FROM orders, range(1, 6) AS r(step)
+), met AS (
+  SELECT part, filter_order, step, f, n, good, bad, {fails_mine} AS mine, {earlier} AS gone, {others} AS elsewhere
+  FROM cell, steps
+), told AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, f,
+    sum(CASE WHEN NOT mine AND NOT gone THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mine AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mine AND gone THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mine AND NOT elsewhere THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mine AND NOT gone THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mine AND NOT gone THEN bad ELSE 0 END) AS toxic_lost
+  FROM met GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM told
+"""
+
+
+ORACLE["op11_filter_audit"] = _audit_sql()
