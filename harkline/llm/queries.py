@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harkline.llm import audit, bpe, ctw, imatch, mixing, pii, quality, simhash, tokens, topk, urls
+from harkline.llm import audit, bpe, conversations, ctw, imatch, mixing, pii, quality, simhash, tokens, topk, urls
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,45 @@ FROM told
 
 
 ORACLE["op11_filter_audit"] = _audit_sql()
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    """Trie of the first turns that rebuilt conversations share."""
+    return conversations.prefix_trie(table(spark, sf, "conversations"))
+
+
+#: CRC-32 of a short text: a step for each bit, with the byte's value at its first one.
+_CRC_BITS = "flatten([[ascii(c), 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split({0}, '')])"
+_CRC = f"""xor(4294967295, list_reduce(list_prepend(4294967295, {_CRC_BITS}), lambda x, y:
+  CASE WHEN xor(x, y) & 1 = 1 THEN xor(xor(x, y) >> 1, 3988292384) ELSE xor(x, y) >> 1 END))"""
+
+ORACLE["op13_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id AS c, list(to_json([coalesce(role, ''), coalesce(text, '')])::VARCHAR ORDER BY turn NULLS FIRST, role, text) AS turns,
+    list(strlen(coalesce(text, '')) ORDER BY turn NULLS FIRST, role, text) AS sizes
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), headed AS (SELECT *, c - c % 5 AS base, {_CRC.format("c::VARCHAR")} % 9 AS h FROM own),
+rebuilt AS (
+  SELECT o.c, coalesce(b.turns, [])[1:o.h] || o.turns[o.h + 1:] AS turns, coalesce(b.sizes, [])[1:o.h] || o.sizes[o.h + 1:] AS sizes
+  FROM headed o LEFT JOIN own b ON b.c = o.base
+), prefix AS (
+  SELECT c, depth, array_to_string(turns[1:depth], chr(10)) AS node, coalesce(sizes[depth], 0) AS size, depth = len(turns) AS last,
+    CASE WHEN depth > 0 THEN array_to_string(turns[1:depth - 1], chr(10)) END AS above
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)
+), node AS (
+  SELECT depth, node, any_value(above) AS above, min(c) AS owner, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+  FROM prefix GROUP BY depth, node
+), child AS (SELECT depth - 1 AS depth, above AS node, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+full_node AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children, p.owner AS parent
+  FROM node n LEFT JOIN child c USING (depth, node) LEFT JOIN node p ON p.depth = n.depth - 1 AND p.node = n.above
+), below AS (
+  SELECT u.depth, u.node, count(*) FILTER (v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.size) AS saved_tokens
+  FROM full_node v JOIN prefix u ON u.c = v.owner AND u.depth <= v.depth GROUP BY u.depth, u.node
+)
+SELECT owner AS conv_id, CAST(depth AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM full_node JOIN below USING (depth, node)
+"""
