@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harkline.llm import audit, bpe, conversations, ctw, imatch, mixing, pii, quality, simhash, tokens, topk, urls
+from harkline.llm import audit, bpe, conversations, ctw, imatch, mixing, pii, quality, repeats, simhash, tokens, topk, urls
 from harkline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -261,3 +261,34 @@ SELECT owner AS conv_id, CAST(depth AS BIGINT) AS depth, parent AS parent_conv_i
   CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
 FROM full_node JOIN below USING (depth, node)
 """
+
+
+@query
+def op12_repeats(spark, sf):
+    """Passages of 100 bytes and more that stand earlier as well, removed from every document."""
+    return repeats.repeat_report(table(spark, sf, "documents"))
+
+
+#: Bytes as hexadecimal text, two characters each.
+ORACLE["op12_repeats"] = """
+WITH doc AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, text) AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), window_at AS (
+  SELECT k, i, md5_number(substr(h, 2 * i + 1, 200)) AS w
+  FROM (SELECT k, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM doc)
+), first_at AS (SELECT w, min((k, i)) AS f FROM window_at GROUP BY w HAVING count(*) > 1),
+again AS (SELECT k, i FROM window_at JOIN first_at USING (w) WHERE (k, i) > f),
+marked AS (SELECT k, i, CAST(coalesce(i > lag(i) OVER one + 100, true) AS INTEGER) AS opens FROM again WINDOW one AS (PARTITION BY k ORDER BY i)),
+numbered AS (SELECT k, i, sum(opens) OVER (PARTITION BY k ORDER BY i) AS span FROM marked),
+span AS (SELECT k, span, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY k, span),
+gap AS (
+  SELECT k, a, b, coalesce(lag(b) OVER one, 0) AS kept_from, lead(a) OVER one IS NULL AS final FROM span WINDOW one AS (PARTITION BY k ORDER BY a)
+), cut AS (
+  SELECT k, sum(b - a) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)) || CASE WHEN final THEN substr(h, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS kept
+  FROM gap JOIN doc USING (k) GROUP BY k
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM doc LEFT JOIN cut USING (k)
+"""
