@@ -10,11 +10,12 @@ The order is that of (doc_id, place in the document); strings do not cross docum
    whose digest occurs once is in no repeat. The repeated digests travel to the tasks as
    a bit map of at most 2^`MOST_BITS` bits; where there are too many for that, all anchors
    go on. A task keeps the first of equal contexts and sends only that one.
-3. *Sorting.* Sampled splitters range-partition the suffixes by their leading bytes
-   (`repartitionByRange` on the suffix). A bucket sorts its suffixes by multikey quicksort,
-   a token being eight bytes, and likewise the parts to the left, from the anchor on. With the
-   common prefix lengths of neighbours, windows at offset o are equal exactly if they are in
-   one class of suffixes by 100 - o bytes and in one class of left parts by o bytes.
+3. *Sorting.* Sampled splitters range-partition the suffixes by their leading bytes (and
+   equal suffixes by what stands to the left), packed and compressed for each bucket. A
+   bucket sorts its suffixes by multikey quicksort, a token being eight bytes, and likewise
+   the parts to the left, from the anchor on. With the common prefix lengths of neighbours,
+   windows at offset o are equal exactly if they are in one class of suffixes by 100 - o
+   bytes and in one class of left parts by o bytes.
 4. *Across boundaries.* Classes that hold the first or the last suffix of a bucket may go on
    in the next: the first window of each is compared with those of other buckets by digest.
 
@@ -30,7 +31,7 @@ empty table gives an empty result. doc_id is a whole number. Other columns are n
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harkline.llm.common import joined_bytes, map_arrow, pieces
-from harkline.session import scratch_path, written
+from harkline.session import written
 
 WINDOW = 100
 #: Bytes of the string whose least hash is a window's anchor; a power of two.
@@ -51,14 +52,15 @@ _RIGHT, _LEFT = 104, 72
 CHUNK = 1 << 18
 #: Digests and contexts that a task gathers before it sends them.
 _DIGESTS = 1 << 21
-_CONTEXTS = 1 << 17
-#: Suffixes in a bucket, on average.
+_CONTEXTS = 1 << 18
+#: Suffixes in a bucket, on average, and in the sample for each splitter.
 BUCKET = 150_000
+_SAMPLED = 64
 
 #: Bits of the map of repeated digests for each of them, and of the map at most.
 BITS_EACH = 16
 MOST_BITS = 29
-#: The table of spans is broadcast up to this size, and joined by document beyond it.
+#: The table of spans of documents is broadcast up to this size, and joined by document beyond it.
 BROADCAST_BYTES = 64 << 20
 
 _LAST = (1 << 63) - 1
@@ -87,6 +89,31 @@ def _row_digests(rows: np.ndarray, *lengths: np.ndarray) -> tuple[np.ndarray, np
     return out[0], out[1]
 
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of bytes and of long numbers as one compressed text; the numbers byte by byte, so that zeros meet."""
+    parts = [a.tobytes() if a.dtype == np.uint8 else a.view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
+    raw = np.array([len(x) for x in parts], dtype=np.int64).tobytes() + b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, kinds: str) -> list[np.ndarray]:
+    """The arrays again; `kinds` has a letter for each: b (bytes) or n (numbers)."""
+    raw = pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+    at, out = 8 * len(kinds), []
+    for size, kind in zip(np.frombuffer(raw, dtype=np.int64, count=len(kinds)), kinds):
+        part = np.frombuffer(raw, dtype=np.uint8, count=size, offset=at)
+        out.append(part if kind == "b" else np.ascontiguousarray(part.reshape(8, -1).T).view(np.int64).reshape(-1))
+        at += size
+    return out
+
+
+def _each_group(group: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Groups of an ascending array, and where they stand."""
+    cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
+    for a, b in zip(cuts, cuts[1:]):
+        yield int(group[a]), slice(a, b)
+
+
 # --- anchors
 
 
@@ -146,7 +173,10 @@ def _bucket_bits(frame: DataFrame) -> int:
 
 
 def _repeated_digests(texts: DataFrame) -> tuple[DataFrame, int]:
-    """(`bucket`, `n`, `digests`): the anchors' digests that occur more than once, by their leading bits."""
+    """(`bucket`, `n`, `sent`, `digests`): the anchors' digests that occur more than once, by their leading bits.
+
+    `sent`: how often tasks sent them.
+    """
     bits = _bucket_bits(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,24 +209,28 @@ def _repeated_digests(texts: DataFrame) -> tuple[DataFrame, int]:
                 by_bucket.setdefault(bucket, []).append(np.frombuffer(digests, dtype=np.uint64))
         for bucket, parts in by_bucket.items():
             found, counts = np.unique(np.concatenate(parts), return_counts=True)
-            found = found[counts > 1]
+            found, times = found[counts > 1], int(counts[counts > 1].sum())
             if len(found):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket], pa.int32()), pa.array([len(found)], pa.int64()), pa.array([found.tobytes()], pa.binary())],
-                    ["bucket", "n", "digests"],
+                    [pa.array([bucket], pa.int32()), pa.array([len(found)], pa.int64()), pa.array([times], pa.int64()),
+                     pa.array([found.tobytes()], pa.binary())],
+                    ["bucket", "n", "sent", "digests"],
                 )
 
     sent = map_arrow(texts.select("text"), run, "bucket int, digests binary")
-    found = sent.repartition("bucket").mapInArrow(counted, "bucket int, n long, digests binary")
+    found = sent.repartition("bucket").mapInArrow(counted, "bucket int, n long, sent long, digests binary")
     return written(found, "repeats-digests"), bits
 
 
-def _repeated_map(texts: DataFrame) -> tuple[int, np.ndarray | None]:
-    """Leading bits of a digest, and the map that has a bit for those of repeated digests; None if it would be too full."""
+def _repeated_map(texts: DataFrame) -> tuple[int, int, np.ndarray | None]:
+    """How many repeats were sent; leading bits of a digest and the map that has a bit for those of repeated ones.
+
+    None in place of a map that would be too full.
+    """
     found, bucket_bits = _repeated_digests(texts)
-    count = found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    count, sent = found.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("sent"), F.lit(0))).first()
     if count > 1 << MOST_BITS:
-        return 0, None
+        return sent, 0, None
     bits = min(max((BITS_EACH * count).bit_length(), bucket_bits + 3), MOST_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,25 +247,22 @@ def _repeated_map(texts: DataFrame) -> tuple[int, np.ndarray | None]:
     maps = found.select("bucket", "digests").mapInArrow(run, "bucket int, map binary").toArrow()
     for bucket, part in zip(maps["bucket"].to_pylist(), maps["map"].to_pylist()):
         whole[bucket] = np.frombuffer(part, dtype=np.uint8)
-    return bits, whole.reshape(-1)
+    return sent, bits, whole.reshape(-1)
 
 
 # --- contexts
 
 
-def _binary(rows: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """The first bytes of each row as a binary array."""
-    held = np.arange(rows.shape[1]) < lengths[:, None]
-    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows[held])])
+def _flat(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The first bytes of each row, joined."""
+    return rows[np.arange(rows.shape[1]) < lengths[:, None]]
 
 
-def _rows_of(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The other way: rows of bytes, filled with zeros, and their lengths."""
-    data, lengths = joined_bytes(column)
+def _rows_of(data: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
+    """The other way: rows of bytes, filled with zeros."""
     out = np.zeros((len(lengths), width), dtype=np.uint8)
     out[np.arange(width) < lengths[:, None]] = data
-    return out, lengths
+    return out
 
 
 def _merged(owner: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -250,66 +281,54 @@ def _merged(owner: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np
 class _Contexts:
     """Contexts of a task: the first of equal ones, and the spans of windows of the others."""
 
-    FIELDS = ("right", "left", "n_right", "n_left", "d", "t", "u", "at")
-
     def __init__(self) -> None:
         self.parts, self.size, self.spans = [], 0, []
 
     def add(self, *fields: np.ndarray) -> None:
+        """`right`, `left`, their lengths, document key and start."""
         self.parts.append(fields)
         self.size += len(fields[0])
 
     def collapse(self) -> None:
         """Order by context, then document and place; what is not first of its context becomes a span."""
+        if self.size == 0:
+            return
         fields = [np.concatenate(x) for x in zip(*self.parts)]
         right, left, n_right, n_left, d, t, u, at = fields
         one, two = _row_digests(right, n_right, n_left)
         more = _row_digests(left)
         one, two = one + more[0], two ^ more[1]
         by = np.lexsort((at, u, t, d, two, one))
-        new = np.concatenate(([True], (one[by[1:]] != one[by[:-1]]) | (two[by[1:]] != two[by[:-1]])))[: len(by)]
+        new = np.concatenate(([True], (one[by[1:]] != one[by[:-1]]) | (two[by[1:]] != two[by[:-1]])))
         first = by[np.flatnonzero(new)]
-        whose = first[np.cumsum(new) - 1] if len(by) else by
+        whose = first[np.cumsum(new) - 1]
         # a repeated row has the same document and place, and is no later one
         later = np.zeros(len(by), dtype=bool)
         for column in (d, t, u, at):
             later |= column[by] != column[whose]
         gone = by[later]
         self.spans.append((d[gone], t[gone], u[gone], at[gone], at[gone] + n_left[gone] + n_right[gone]))
-        first = np.sort(first)  # neighbours in the text stay neighbours, which compresses well
         self.parts, self.size = [tuple(x[first] for x in fields)], len(first)
 
-    def sent(self) -> Iterator[pa.RecordBatch]:
-        if self.size:
-            right, left, n_right, n_left, d, t, u, at = (np.concatenate(x) for x in zip(*self.parts))
-            for a in range(0, len(d), 1 << 14):
-                part = slice(a, a + (1 << 14))
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(x[part]) for x in (d, t, u, at, at + n_left + n_right)),
-                     _binary(right[part], n_right[part]), _binary(left[part], n_left[part])],
-                    _NAMES,
-                )
-        d, t, u, begins, ends = (np.concatenate(x) for x in zip(*self.spans)) if self.spans else [np.zeros(0, dtype=np.int64)] * 5
-        if len(d):
-            docs, owner = np.unique(np.stack((d, t, u), axis=1), axis=0, return_inverse=True)
-            owner, begins, ends = _merged(owner.reshape(-1), begins, ends)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(docs[owner, k]) for k in range(3)), pa.array(begins), pa.array(ends),
-                 *[pa.nulls(len(owner), pa.binary())] * 2],
-                _NAMES,
-            )
+    def taken(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """All contexts and all spans, which go."""
+        contexts = [np.concatenate(x) for x in zip(*self.parts)]
+        spans = [np.concatenate(x) for x in zip(*self.spans)]
         self.parts, self.size, self.spans = [], 0, []
+        return contexts, spans
 
 
-_SCHEMA = "d long, t long, u long, at long, to long, right binary, left binary"
-_NAMES = [*_DOC, "at", "to", "right", "left"]
+def _keys(right: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Suffix and then the part to the left, as texts that numpy orders by bytes."""
+    rows = np.concatenate((right, left), axis=1)
+    return rows.view(f"S{rows.shape[1]}").reshape(-1)
 
 
-def _contexts(texts: DataFrame, bits: int, repeated: np.ndarray | None) -> DataFrame:
-    """Contexts of anchors that may repeat (`right` not null), and spans that are repeated for certain."""
+def _gathered_contexts(texts: DataFrame, bits: int, repeated: np.ndarray | None) -> Callable:
+    """A function over Arrow batches that yields contexts and spans of their texts, as `_Contexts.taken` does."""
     known = texts.sparkSession.sparkContext.broadcast(repeated)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], list[np.ndarray]]]:
         gathered = _Contexts()
         for piece in pieces(batches, "text"):
             data, lengths = joined_bytes(piece["text"])
@@ -334,15 +353,86 @@ def _contexts(texts: DataFrame, bits: int, repeated: np.ndarray | None) -> DataF
                 if gathered.size > _CONTEXTS:
                     gathered.collapse()
                     if gathered.size > _CONTEXTS // 2:
-                        yield from gathered.sent()
-        if gathered.size:
-            gathered.collapse()
-        yield from gathered.sent()
+                        yield gathered.taken()
+        gathered.collapse()
+        if gathered.spans:
+            yield gathered.taken()
+
+    return gather
+
+
+def _splitters(texts: DataFrame, gather: Callable, expected: int, buckets: int) -> np.ndarray:
+    """Where buckets begin, from a sample of the contexts of a sample of the documents.
+
+    `_SAMPLED` contexts for each bucket, by expectation; the sample decides on the balance only.
+    """
+    share = min(1.0, _SAMPLED * buckets / max(expected, 1))
+    of_documents = min(1.0, 10 * share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        draw = np.random.Generator(np.random.PCG64(1))
+        for (right, left, *_), _ in gather(batches):
+            some = draw.random(len(right)) < share / of_documents
+            rows = np.concatenate((right[some], left[some]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in rows], pa.binary())], ["key"])
+
+    sampled = texts if of_documents == 1 else texts.sample(of_documents, seed=12)
+    keys = map_arrow(sampled.select("text", *_DOC), run, "key binary").toArrow()["key"].to_pylist()
+    if not keys:
+        return np.zeros(0, dtype=f"S{_RIGHT + _LEFT}")
+    keys = np.sort(np.frombuffer(b"".join(keys), dtype=f"S{_RIGHT + _LEFT}"))
+    return np.unique(keys[np.arange(1, buckets) * len(keys) // buckets])
+
+
+# contexts: bytes to the right, to the left, their lengths; spans: document, begin and end
+_CONTEXT, _SPAN = "bbnnnnnn", "nnnnn"
+
+
+def _packed_spans(spans: list[np.ndarray], groups: int) -> Iterator[tuple[int, bytes]]:
+    """Spans of each group of documents, those that touch joined."""
+    d, t, u, begins, ends = spans
+    if len(d) == 0:
+        return
+    by = np.lexsort((u, t, d))
+    new = np.zeros(len(by), dtype=np.int64)
+    for key in (d, t, u):
+        new[1:] |= key[by[1:]] != key[by[:-1]]
+    owner = np.cumsum(new)
+    docs = by[np.flatnonzero(np.concatenate(([1], new[1:])))]
+    owner, begins, ends = _merged(owner, begins[by], ends[by])
+    docs = docs[owner]
+    group = (_mixed((d[docs] ^ t[docs]).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    for g, at in _each_group(group[order]):
+        some = order[at]
+        yield g, _packed(*(k[docs[some]] for k in (d, t, u)), begins[some], ends[some])
 
-    path = scratch_path(texts.sparkSession, "repeats-contexts")
-    found = map_arrow(texts.select("text", *_DOC), run, _SCHEMA)
-    found.write.option("compression", "zstd").parquet(path)
-    return texts.sparkSession.read.schema(found.schema).parquet(path)
+
+def _bucketed(texts: DataFrame, gather: Callable, splitters: np.ndarray, buckets: int) -> DataFrame:
+    """(`bucket`, `contexts`, `spans`): packed contexts of each bucket, and packed spans for any."""
+    known = texts.sparkSession.sparkContext.broadcast(splitters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for contexts, spans in gather(batches):
+            right, left, n_right, n_left, *doc = contexts
+            keys = _keys(right, left)
+            bucket = np.searchsorted(known.value, keys, side="right")
+            order = np.lexsort((right.view(">u8")[:, 1], right.view(">u8")[:, 0], bucket))  # alike next to each other
+            for b, at in _each_group(bucket[order]):
+                some = order[at]
+                lengths = n_right[some], n_left[some]
+                packed = _packed(_flat(right[some], lengths[0]), _flat(left[some], lengths[1]), *lengths, *(k[some] for k in doc))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b], pa.int32()), pa.array([packed], pa.binary()), pa.nulls(1, pa.binary())],
+                    ["bucket", "contexts", "spans"],
+                )
+            for b, packed in _packed_spans(spans, buckets):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b], pa.int32()), pa.nulls(1, pa.binary()), pa.array([packed], pa.binary())],
+                    ["bucket", "contexts", "spans"],
+                )
+
+    return map_arrow(texts.select("text", *_DOC), run, "bucket int, contexts binary, spans binary")
 
 
 # --- sorting
@@ -433,25 +523,35 @@ def bucket_repeats(right, left, n_right, n_left, rank) -> tuple[np.ndarray, np.n
     return low, high, boundary
 
 
-def _sorted_repeats(contexts: DataFrame) -> DataFrame:
-    """Spans repeated within a bucket (`ha` null), and first windows of classes at its boundaries."""
+def _sorted_repeats(bucketed: DataFrame, buckets: int, groups: int) -> DataFrame:
+    """Packed spans of groups of documents, and (`group` null) first windows of classes at a bucket's boundaries."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        table = pa.Table.from_batches(batches).combine_chunks()
-        right, n_right = _rows_of(table["right"].chunk(0), _RIGHT)
-        left, n_left = _rows_of(table["left"].chunk(0), _LEFT)
-        d, t, u, at = (np.asarray(table[k].chunk(0), dtype=np.int64) for k in (*_DOC, "at"))
-        place = at + n_left
-        low, high, boundary = bucket_repeats(right, left, n_right, n_left, _dense_rank(d, t, u, place))
-        found = np.flatnonzero(high >= low)
-        yield pa.RecordBatch.from_arrays(
-            [*(pa.array(x[found]) for x in (d, t, u)), pa.array(place[found] - high[found]),
-             pa.array(place[found] - low[found] + WINDOW), *[pa.nulls(len(found), pa.int64())] * 2],
-            [*_DOC, "at", "to", "ha", "hb"],
+    def told(group: list, packed: list, *edge: np.ndarray) -> pa.RecordBatch:
+        many = len(edge[0]) if edge else len(group)
+        columns = [pa.array(x) for x in edge] if edge else [pa.nulls(many, pa.int64())] * 6
+        kinds = (group, pa.int32()), (packed, pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [*(pa.nulls(many, kind) if edge else pa.array(x, kind) for x, kind in kinds), *columns],
+            ["group", "spans", *_DOC, "at", "ha", "hb"],
         )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts, spans = [], []
+        for batch in batches:
+            contexts += [_unpacked(x, _CONTEXT) for x in batch["contexts"].to_pylist() if x is not None]
+            spans += [_unpacked(x, _SPAN) for x in batch["spans"].to_pylist() if x is not None]
+        boundary = []
+        if contexts:
+            flat_right, flat_left, n_right, n_left, d, t, u, at = (np.concatenate(x) for x in zip(*contexts))
+            del contexts
+            right, left = _rows_of(flat_right, n_right, _RIGHT), _rows_of(flat_left, n_left, _LEFT)
+            place = at + n_left
+            low, high, boundary = bucket_repeats(right, left, n_right, n_left, _dense_rank(d, t, u, place))
+            found = np.flatnonzero(high >= low)
+            spans.append([d[found], t[found], u[found], place[found] - high[found], place[found] - low[found] + WINDOW])
+        if spans:
+            for group, packed in _packed_spans([np.concatenate(x) for x in zip(*spans)], groups):
+                yield told([group], [packed])
         for offset, some in boundary:
             for a in range(0, len(some), 1 << 14):
                 own = some[a:a + (1 << 14)]
@@ -459,39 +559,70 @@ def _sorted_repeats(contexts: DataFrame) -> DataFrame:
                 window[:, :offset] = left[own, :offset][:, ::-1]
                 window[:, offset:WINDOW] = right[own, :WINDOW - offset]
                 one, two = _row_digests(window)
-                start = place[own] - offset
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(x[own]) for x in (d, t, u)), pa.array(start), pa.array(start + WINDOW),
-                     pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
-                    [*_DOC, "at", "to", "ha", "hb"],
-                )
+                yield told([], [], d[own], t[own], u[own], place[own] - offset, one.view(np.int64), two.view(np.int64))
 
-    partitions = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(partitions, -(-contexts.count() // BUCKET))
-    ranges = contexts.select(*_DOC, "at", "right", "left").repartitionByRange(buckets, "right", "left")
-    return written(ranges.mapInArrow(run, "d long, t long, u long, at long, to long, ha long, hb long"), "repeats-sorted")
+    schema = "group int, spans binary, d long, t long, u long, at long, ha long, hb long"
+    return written(bucketed.repartitionById(buckets, "bucket").mapInArrow(run, schema), "repeats-sorted")
 
 
-def repeat_spans(docs: DataFrame) -> DataFrame:
-    """Spans of bytes (`at`, `to`) to remove from the document (`d`, `t`, `u`), see `_keyed`; spans may overlap."""
-    texts = _keyed(docs)
-    contexts = _contexts(texts, *_repeated_map(texts))
-    found = _sorted_repeats(contexts.where("right is not null"))
+def repeat_spans(texts: DataFrame) -> DataFrame:
+    """`d`, `t`, `u` and the `spans` of bytes (`at`, `to`) to remove, for documents that have any; see `_keyed`."""
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    expected, bits, repeated = _repeated_map(texts)
+    buckets = groups = max(partitions, -(-expected // BUCKET))
+    gather = _gathered_contexts(texts, bits, repeated)
+    splitters = _splitters(texts, gather, expected, buckets)
+    found = _sorted_repeats(_bucketed(texts, gather, splitters, buckets), buckets, groups)
     edges = found.where("ha is not null")
     window = F.struct(*_DOC, "at")
     first = edges.groupBy("ha", "hb").agg(F.min(window).alias("first"), F.count("*").alias("n")).where("n > 1")
-    across = edges.join(first, ["ha", "hb"]).where(window > F.col("first"))
-    columns = [*_DOC, "at", "to"]
-    spans = contexts.where("right is null").select(*columns).unionByName(found.where("ha is null").select(*columns))
-    return spans.unionByName(across.select(*columns))
+    across = edges.join(first, ["ha", "hb"]).where(window > F.col("first")).select(*_DOC, "at")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d, t, u, at = (np.asarray(batch[k], dtype=np.int64) for k in (*_DOC, "at"))
+            some = list(_packed_spans([d, t, u, at, at + WINDOW], groups))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g for g, _ in some], pa.int32()), pa.array([x for _, x in some], pa.binary())], ["group", "spans"]
+            )
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans = [_unpacked(x, _SPAN) for batch in batches for x in batch["spans"].to_pylist()]
+        if not spans:
+            return
+        d, t, u, begins, ends = (np.concatenate(x) for x in zip(*spans))
+        by = np.lexsort((u, t, d))
+        new = np.zeros(len(by), dtype=np.int64)
+        for key in (d, t, u):
+            new[1:] |= key[by[1:]] != key[by[:-1]]
+        docs = by[np.flatnonzero(np.concatenate(([1], new[1:])))]
+        owner, begins, ends = _merged(np.cumsum(new), begins[by], ends[by])
+        offsets = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(docs))))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(
+            pa.array(offsets), pa.StructArray.from_arrays([pa.array(begins), pa.array(ends)], ["at", "to"])
+        )
+        whole = pa.RecordBatch.from_arrays([*(pa.array(k[docs]) for k in (d, t, u)), lists], [*_DOC, "spans"])
+        for a in range(0, whole.num_rows, 1000):
+            yield whole.slice(a, 1000)
+
+    parts = found.where("group is not null").select("group", "spans")
+    parts = parts.unionAll(across.mapInArrow(packed, "group int, spans binary"))
+    together = parts.repartitionById(groups, "group").select("spans")
+    return together.mapInArrow(merged, "d long, t long, u long, spans array<struct<at: long, to: long>>")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """`doc_id`, `text` and the key of a document: its id (null: the last) and two hashes of its text."""
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    return docs.select(
-        docs["doc_id"], text.alias("text"), F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST)).alias("d"),
-        F.xxhash64(text).alias("t"), F.xxhash64(F.lit(1), text).alias("u"),
+    """`doc_id`, `text` and the key of a document: its id (null: the last) and two hashes of its text.
+
+    The hashes are zero where all ids differ.
+    """
+    ids = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST)).alias("d"), docs["doc_id"], docs["text"])
+    alone = ids.groupBy("d").count().where("count > 1").isEmpty()
+    text = F.coalesce(ids["text"].cast("string"), F.lit(""))
+    none = F.lit(0).cast("long")
+    return ids.select(
+        "doc_id", text.alias("text"), "d", (none if alone else F.xxhash64(text)).alias("t"),
+        (none if alone else F.xxhash64(F.lit(1), text)).alias("u"),
     )
 
 
@@ -500,14 +631,11 @@ def kept_bytes(docs: DataFrame) -> DataFrame:
 
     Rows of one doc_id and text are all told as the first of them.
     """
-    by_doc = written(
-        repeat_spans(docs).groupBy(*_DOC).agg(F.collect_list(F.struct("at", "to")).alias("spans"), F.count("*").alias("n")),
-        "repeats-spans",
-    )
-    rows, spans = by_doc.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    by_doc = by_doc.drop("n")
+    texts = _keyed(docs)
+    by_doc = written(repeat_spans(texts), "repeats-spans")
+    rows, spans = by_doc.agg(F.count("*"), F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()
     side = F.broadcast(by_doc) if 64 * rows + 32 * spans <= BROADCAST_BYTES else by_doc
-    joined = _keyed(docs).join(side, _DOC, "left").select("doc_id", *_DOC, "text", "spans")
+    joined = texts.join(side, _DOC, "left").select("doc_id", *_DOC, "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
