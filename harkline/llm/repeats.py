@@ -16,8 +16,8 @@ The order is that of (doc_id, place in the document); strings do not cross docum
    the parts to the left, from the anchor on. With the common prefix lengths of neighbours,
    windows at offset o are equal exactly if they are in one class of suffixes by 100 - o
    bytes and in one class of left parts by o bytes.
-4. *Across boundaries.* Classes that hold the first or the last suffix of a bucket may go on
-   in the next: the first window of each is compared with those of other buckets by digest.
+4. *Across boundaries.* Classes that a splitter belongs to may stand in two buckets or more:
+   the first window that a bucket has of each is compared with those of the others by digest.
 
 No document, passage or bucket needs a task of its own: a passage in a third of all
 documents is one context a task where its surroundings are equal, and otherwise its suffixes
@@ -490,22 +490,36 @@ def _dense_rank(*keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def bucket_repeats(right, left, n_right, n_left, rank) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+def _shared(row: np.ndarray, splitter: np.ndarray | None) -> int:
+    """Leading bytes that a suffix shares with the one of a splitter."""
+    if splitter is None:
+        return -1
+    differs = np.flatnonzero(row != splitter[:_RIGHT])
+    return int(differs[0]) if len(differs) else _RIGHT
+
+
+def bucket_repeats(right, left, n_right, n_left, rank, lower, upper) -> tuple[np.ndarray, np.ndarray, list]:
     """Least and greatest offset of each anchor's windows that repeat an earlier one of the bucket.
 
-    Also, for each offset, the anchors whose window is first here in a class at the bucket's
-    boundary. Without repeat the least offset is above the greatest.
+    Also, for each offset, the anchors whose window is first here in a class that a bounding
+    splitter (`lower`, `upper`; None at the ends) belongs to. Without repeat the least offset
+    is above the greatest.
     """
     low, high = np.full(len(rank), _OFFSETS, dtype=np.int64), np.full(len(rank), -1, dtype=np.int64)
     by_right, by_left = multikey_order(right), multikey_order(left)
     common_right, common_left = _common(right, by_right), _common(left, by_left)
+    with_lower, with_upper = _shared(right[by_right[0]], lower), _shared(right[by_right[-1]], upper)
     boundary = []
     for offset in range(_OFFSETS):
         suffix = _classes(common_right, by_right, WINDOW - offset)
         members = np.flatnonzero((n_left >= offset) & (n_right >= WINDOW - offset))
         if len(members) == 0:
             continue
-        at_end = (suffix[members] == 0) | (suffix[members] == suffix[by_right[-1]])
+        at_end = np.zeros(len(members), dtype=bool)
+        if with_lower >= WINDOW - offset:
+            at_end |= suffix[members] == 0
+        if with_upper >= WINDOW - offset:
+            at_end |= suffix[members] == suffix[by_right[-1]]
         several = np.bincount(suffix[members], minlength=int(suffix.max()) + 1)[suffix[members]] > 1
         some = members[several]
         window = suffix[some] * len(rank) + _classes(common_left, by_left, offset)[some]
@@ -523,22 +537,40 @@ def bucket_repeats(right, left, n_right, n_left, rank) -> tuple[np.ndarray, np.n
     return low, high, boundary
 
 
-def _sorted_repeats(bucketed: DataFrame, buckets: int, groups: int) -> DataFrame:
-    """Packed spans of groups of documents, and (`group` null) first windows of classes at a bucket's boundaries."""
+def _least_by(keys: tuple[np.ndarray, ...], rank: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Rows that are behind the least of those with their keys."""
+    by = np.lexsort((*rank[::-1], *keys))
+    new = np.zeros(len(by), dtype=np.int64)
+    for key in keys:
+        new[1:] |= key[by[1:]] != key[by[:-1]]
+    first = by[np.flatnonzero(np.concatenate(([1], new[1:])))][np.cumsum(new)]
+    behind = np.zeros(len(by), dtype=bool)
+    for column in rank:
+        behind |= column[by] != column[first]
+    return by[behind]
+
+
+def _sorted_repeats(bucketed: DataFrame, splitters: np.ndarray, buckets: int, groups: int) -> DataFrame:
+    """Packed spans of groups of documents (`across` false), and first windows of classes at a boundary by groups of digests."""
+    known = bucketed.sparkSession.sparkContext.broadcast(splitters)
 
-    def told(group: list, packed: list, *edge: np.ndarray) -> pa.RecordBatch:
-        many = len(edge[0]) if edge else len(group)
-        columns = [pa.array(x) for x in edge] if edge else [pa.nulls(many, pa.int64())] * 6
-        kinds = (group, pa.int32()), (packed, pa.binary())
+    def splitter(at: int) -> np.ndarray | None:
+        if not 0 <= at < len(known.value):
+            return None
+        return np.frombuffer(known.value[at:at + 1].tobytes(), dtype=np.uint8)
+
+    def told(across: bool, group: int, packed: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [*(pa.nulls(many, kind) if edge else pa.array(x, kind) for x, kind in kinds), *columns],
-            ["group", "spans", *_DOC, "at", "ha", "hb"],
+            [pa.array([across]), pa.array([group], pa.int32()), pa.array([packed], pa.binary())], ["across", "group", "packed"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts, spans = [], []
+        contexts, spans, bucket = [], [], 0
         for batch in batches:
-            contexts += [_unpacked(x, _CONTEXT) for x in batch["contexts"].to_pylist() if x is not None]
+            for b, packed in zip(batch["bucket"].to_pylist(), batch["contexts"].to_pylist()):
+                if packed is not None:
+                    contexts.append(_unpacked(packed, _CONTEXT))
+                    bucket = b
             spans += [_unpacked(x, _SPAN) for x in batch["spans"].to_pylist() if x is not None]
         boundary = []
         if contexts:
@@ -546,48 +578,52 @@ def _sorted_repeats(bucketed: DataFrame, buckets: int, groups: int) -> DataFrame
             del contexts
             right, left = _rows_of(flat_right, n_right, _RIGHT), _rows_of(flat_left, n_left, _LEFT)
             place = at + n_left
-            low, high, boundary = bucket_repeats(right, left, n_right, n_left, _dense_rank(d, t, u, place))
+            rank = _dense_rank(d, t, u, place)
+            low, high, boundary = bucket_repeats(right, left, n_right, n_left, rank, splitter(bucket - 1), splitter(bucket))
             found = np.flatnonzero(high >= low)
             spans.append([d[found], t[found], u[found], place[found] - high[found], place[found] - low[found] + WINDOW])
         if spans:
             for group, packed in _packed_spans([np.concatenate(x) for x in zip(*spans)], groups):
-                yield told([group], [packed])
+                yield told(False, group, packed)
+        edges = []
         for offset, some in boundary:
-            for a in range(0, len(some), 1 << 14):
-                own = some[a:a + (1 << 14)]
-                window = np.zeros((len(own), _RIGHT), dtype=np.uint8)
-                window[:, :offset] = left[own, :offset][:, ::-1]
-                window[:, offset:WINDOW] = right[own, :WINDOW - offset]
-                one, two = _row_digests(window)
-                yield told([], [], d[own], t[own], u[own], place[own] - offset, one.view(np.int64), two.view(np.int64))
-
-    schema = "group int, spans binary, d long, t long, u long, at long, ha long, hb long"
-    return written(bucketed.repartitionById(buckets, "bucket").mapInArrow(run, schema), "repeats-sorted")
+            window = np.zeros((len(some), _RIGHT), dtype=np.uint8)
+            window[:, :offset] = left[some, :offset][:, ::-1]
+            window[:, offset:WINDOW] = right[some, :WINDOW - offset]
+            one, two = _row_digests(window)
+            edges.append((one.view(np.int64), two.view(np.int64), d[some], t[some], u[some], place[some] - offset))
+        if edges:
+            edges = [np.concatenate(x) for x in zip(*edges)]
+            group = (edges[0].view(np.uint64) % np.uint64(groups)).astype(np.int64)
+            order = np.argsort(group, kind="stable")
+            for g, at in _each_group(group[order]):
+                yield told(True, g, _packed(*(x[order[at]] for x in edges)))
+
+    found = bucketed.repartitionById(buckets, "bucket").mapInArrow(run, "across boolean, group int, packed binary")
+    return written(found, "repeats-sorted")
 
 
 def repeat_spans(texts: DataFrame) -> DataFrame:
     """`d`, `t`, `u` and the `spans` of bytes (`at`, `to`) to remove, for documents that have any; see `_keyed`."""
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     expected, bits, repeated = _repeated_map(texts)
-    buckets = groups = max(partitions, -(-expected // BUCKET))
+    buckets, groups = (max(partitions, -(-expected // size)) for size in (BUCKET, 8 * BUCKET))
     gather = _gathered_contexts(texts, bits, repeated)
     splitters = _splitters(texts, gather, expected, buckets)
-    found = _sorted_repeats(_bucketed(texts, gather, splitters, buckets), buckets, groups)
-    edges = found.where("ha is not null")
-    window = F.struct(*_DOC, "at")
-    first = edges.groupBy("ha", "hb").agg(F.min(window).alias("first"), F.count("*").alias("n")).where("n > 1")
-    across = edges.join(first, ["ha", "hb"]).where(window > F.col("first")).select(*_DOC, "at")
+    found = _sorted_repeats(_bucketed(texts, gather, splitters, buckets), splitters, buckets, groups)
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            d, t, u, at = (np.asarray(batch[k], dtype=np.int64) for k in (*_DOC, "at"))
-            some = list(_packed_spans([d, t, u, at, at + WINDOW], groups))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([g for g, _ in some], pa.int32()), pa.array([x for _, x in some], pa.binary())], ["group", "spans"]
-            )
+    def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A window at a boundary that is behind the first of its kind is a span."""
+        edges = [_unpacked(x, "nnnnnn") for batch in batches for x in batch["packed"].to_pylist()]
+        if not edges:
+            return
+        one, two, d, t, u, at = (np.concatenate(x) for x in zip(*edges))
+        later = _least_by((one, two), (d, t, u, at))
+        for g, packed in _packed_spans([d[later], t[later], u[later], at[later], at[later] + WINDOW], groups):
+            yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([packed], pa.binary())], ["group", "packed"])
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans = [_unpacked(x, _SPAN) for batch in batches for x in batch["spans"].to_pylist()]
+        spans = [_unpacked(x, _SPAN) for batch in batches for x in batch["packed"].to_pylist()]
         if not spans:
             return
         d, t, u, begins, ends = (np.concatenate(x) for x in zip(*spans))
@@ -605,9 +641,9 @@ def repeat_spans(texts: DataFrame) -> DataFrame:
         for a in range(0, whole.num_rows, 1000):
             yield whole.slice(a, 1000)
 
-    parts = found.where("group is not null").select("group", "spans")
-    parts = parts.unionAll(across.mapInArrow(packed, "group int, spans binary"))
-    together = parts.repartitionById(groups, "group").select("spans")
+    edges = found.where("across").repartitionById(groups, "group").select("packed")
+    parts = found.where("not across").select("group", "packed").unionAll(edges.mapInArrow(resolved, "group int, packed binary"))
+    together = parts.repartitionById(groups, "group").select("packed")
     return together.mapInArrow(merged, "d long, t long, u long, spans array<struct<at: long, to: long>>")
 
 
