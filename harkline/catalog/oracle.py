@@ -269,6 +269,9 @@ FROM called, range(1, 4) t(a) WHERE a = 1 OR {STATUS} = 'fail'""",
   CAST(retry_attempt AS BIGINT) AS retry_attempt FROM merged""",
     "stream_recent_rate": """SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, count(*) AS lines,
   round(count(*) / 3600, 6) AS recent_per_sec FROM events GROUP BY 1""",
+    "stream_resume": f"WITH {LOG}, {STATE} SELECT utt, done, retry FROM state",
+    "stream_closed_rate": """SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, count(*) AS lines FROM events
+WHERE epoch(date_trunc('hour', ts)) + 3600 + 86400 <= (SELECT epoch(max(ts)) FROM events) GROUP BY 1""",
     "stream_annotate": "",
     "parse_metrics": f"WITH {METRICS} SELECT *, CAST(0 AS BIGINT) AS bad_lines FROM metrics",
     "queue_shares": f"""WITH {METRICS}, q AS (SELECT snapshot_id, coalesce(running, 0) AS r, coalesce(waiting, 0) AS w, coalesce(swapped, 0) AS s FROM metrics)

@@ -19,7 +19,6 @@ from harkline.plans.runs import manifest_attempt
 from harkline.session import local_path, scratch_path, written
 from harkline.sources import manifest, payloads, results, shards
 from harkline.streaming import intake, logs
-from harkline.streaming.batches import partial_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -578,30 +577,51 @@ def _drain(started):
 
 @query
 def stream_progress(spark, sf):
-    table, state = scratch_path(spark, "progress"), scratch_path(spark, "state")
-    _drain(logs.stream_progress(spark, _stream_log(spark, sf), table, state, interval=None))
-    out = logs.progress_view(spark, table)
+    state = scratch_path(spark, "state")
+    _drain(logs.stream_progress(spark, _stream_log(spark, sf), state, interval=None))
+    out = logs.progress_view(spark, state)
     return out.select("total_lines", "unique_keys", "successful", "failed", "null_key_lines", "last_key")
 
 
 @query
 def stream_merge(spark, sf):
-    table, state = scratch_path(spark, "merge"), scratch_path(spark, "state")
-    _drain(logs.stream_merge(spark, _stream_log(spark, sf), table, state, interval=None))
-    return logs.merged_view(spark, table).select("utt", "status", "caption", "retry_attempt")
+    state = scratch_path(spark, "state")
+    _drain(logs.stream_merge(spark, _stream_log(spark, sf), state, interval=None))
+    return logs.merged_view(spark, state).select("utt", "status", "caption", "retry_attempt")
 
 
 @query
-def stream_recent_rate(spark, sf):
-    path, table, state = scratch_path(spark, "timed"), scratch_path(spark, "rate"), scratch_path(spark, "state")
+def stream_resume(spark, sf):
+    """Resume state kept by a stream of the log."""
+    state = scratch_path(spark, "state")
+    _drain(logs.stream_resume(spark, _stream_log(spark, sf), state))
+    return logs.resume_view(spark, state)
+
+
+def _timed_lines(spark, sf):
+    path = scratch_path(spark, "timed")
     _log(spark, sf).select("utt", "status", F.col("ts").cast("timestamp").alias("ts")).write.parquet(path)
-    lines = spark.readStream.schema("utt string, status string, ts timestamp").parquet(path)
-    _drain(logs.stream_recent_rate(spark, lines, table, state, window="1 hour", interval=None))
-    return logs.rate_view(spark, table).select(
+    return spark.readStream.schema("utt string, status string, ts timestamp").parquet(path)
+
+
+@query
+def stream_recent_rate(spark, sf):
+    state = scratch_path(spark, "state")
+    _drain(logs.stream_recent_rate(spark, _timed_lines(spark, sf), state, window="1 hour", interval=None))
+    return logs.rate_view(spark, state).select(
         (F.unix_micros("window_start") / 1e6).cast("bigint").alias("window_start"), "lines", _r("recent_per_sec").alias("recent_per_sec")
     )
 
 
+@query
+def stream_closed_rate(spark, sf):
+    """Windows that the watermark has passed, a day behind the newest line."""
+    table, state = scratch_path(spark, "closed"), scratch_path(spark, "state")
+    _drain(logs.stream_closed_rate(spark, _timed_lines(spark, sf), table, state, window="1 hour", delay="1 day", interval=None))
+    closed = spark.read.parquet(table)
+    return closed.select((F.unix_micros("window_start") / 1e6).cast("bigint").alias("window_start"), "lines")
+
+
 @query
 def stream_annotate(spark, sf):
     root = local_path(fx.payload_files(spark, sf))

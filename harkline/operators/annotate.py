@@ -161,6 +161,7 @@ def annotate_retry(
     task_items: int = TASK_ITEMS,
     place: bool = True,
     slice_items: int = SLICE_ITEMS,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Run passes until nothing is pending (at most `max_retries`); return the log.
 
@@ -169,13 +170,15 @@ def annotate_retry(
     `slice_items` items, one after the other: a lost executor repeats its tasks' calls
     only, a lost driver those of the slice it was in, and goes on from the log. Run ids
     start with the time, so that paths sort as the passes ran. `place=False` leaves the
-    placing of the items to `attempt`.
+    placing of the items to `attempt`. `state`, if it is known already, is the resume
+    state of the log (see `resume_state`); the log is then not read for the first pass.
     """
     spark = items.sparkSession
     began = int(time.time() * 1000)
     seen = log_path
     for number in range(max_retries):
-        state = resume_state(read_results(spark, seen, _RESUME), key)
+        if state is None or number:
+            state = resume_state(read_results(spark, seen, _RESUME), key)
         # written once: the log is read and joined a single time per pass, and the
         # pass keeps its items while its own records arrive
         todo = written(pending(items, state, key, max_retries), "pending")

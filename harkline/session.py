@@ -68,10 +68,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_app_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on any file system; nothing happens if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to the scratch folder."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_app_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, _app_folder(spark))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -1,15 +1,7 @@
-"""Micro-batches of log lines and tables kept as one partial result per batch.
-
-A stream of log lines has no event time to expire keyed state by, so nothing is kept
-in a state store: each micro-batch writes its own partial rows, and a view combines
-them. A batch costs what its own lines cost; a repeated batch replaces its folder.
-"""
+"""Micro-batches of arriving lines with a position in the batch."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,9 +10,14 @@ MAX_FILES = 1000
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
-    """Lines of files as they arrive, with what is needed to order them."""
+    """Lines of files as they arrive, with what is needed to order them.
+
+    A batch takes `max_files` files, `MAX_FILES` at most.
+    """
+    if max_files > MAX_FILES:
+        raise ValueError(f"a batch of positions takes at most {MAX_FILES} files, not {max_files}")
     return (
-        spark.readStream.option("maxFilesPerTrigger", min(max_files, MAX_FILES))
+        spark.readStream.option("maxFilesPerTrigger", max_files)
         .option("recursiveFileLookup", "true")
         .text(path)
         .select(
@@ -42,38 +39,3 @@ def batch_positions(batch: DataFrame) -> DataFrame:
     return lines.join(F.broadcast(ranks), "source_file").select(
         "value", "source_file", (F.shiftleft(F.col("_rank").cast("bigint"), 40) + F.col("_line")).alias("pos")
     )
-
-
-def write_partial(partial: DataFrame, table: str, batch_id: int) -> None:
-    partial.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-        f"{table}/batch-{batch_id:012d}"
-    )
-
-
-def _folders(spark: SparkSession, table: str, kind: str) -> dict[int, str]:
-    """Complete folders of a kind by number."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/{kind}-*/_SUCCESS")
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [str(s.getPath().getParent().toString()) for s in system.globStatus(path) or []]
-    return {int(re.search(r"-(\d+)$", n).group(1)): n for n in names}
-
-
-def partial_table(spark: SparkSession, table: str) -> DataFrame:
-    """Partial rows of all batches: the newest compacted folder and the batches after it."""
-    bases, batches = _folders(spark, table, "base"), _folders(spark, table, "batch")
-    newest = max(bases, default=-1)
-    paths = [bases[newest]] if bases else []
-    paths += [p for n, p in sorted(batches.items()) if n > newest]
-    if not paths:
-        raise FileNotFoundError(f"no batch written to {table}")
-    return spark.read.parquet(*paths)
-
-
-def compact(spark: SparkSession, table: str, combine: Callable[[DataFrame], DataFrame]) -> None:
-    """Fold all batches so far into one folder, so that views do not read ever more of them.
-
-    `combine` maps partial rows to fewer partial rows of the same columns.
-    """
-    newest = max(_folders(spark, table, "batch"), default=-1)
-    if newest >= 0:
-        combine(partial_table(spark, table)).write.mode("overwrite").parquet(f"{table}/base-{newest:012d}")

@@ -8,8 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 from harkline.operators.annotate import annotate_retry
 from harkline.operators.resume import MAX_RETRIES
 from harkline.plans.runs import Attempt
+from harkline.sources.files import existing
 from harkline.sources.manifest import parse_manifest
 from harkline.streaming.batches import batch_positions, stream_lines
+from harkline.streaming.logs import resume_view, stream_resume
 
 
 def stream_annotate(
@@ -25,13 +27,20 @@ def stream_annotate(
 ) -> StreamingQuery:
     """Annotate the entries of every new manifest file.
 
-    Results are appended, and each pass starts from the log: a batch that runs again
-    after a failure sends only what it had not written.
+    Results are appended. The resume state of the log is kept as a stream's state beside
+    `checkpoint`: a batch takes in the log files written since the last one and looks its
+    entries up there, so it does not read the log before it. A batch that runs again after
+    a failure finds what it had written in the same way and sends only the rest.
     """
+    state = f"{checkpoint.rstrip('/')}-resume"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if existing(session, log_path):
+            stream_resume(session, log_path, state).awaitTermination()
         items = parse_manifest(batch_positions(batch)).select("utt", "src", "pos")
-        annotate_retry(items, log_path, f"{run_id}-{batch_id:08d}", attempt, "utt", max_retries)
+        known = resume_view(session, state)
+        annotate_retry(items, log_path, f"{run_id}-{batch_id:08d}", attempt, "utt", max_retries, state=known)
 
     writer = (
         stream_lines(spark, manifest_path, max_files)

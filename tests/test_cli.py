@@ -6,14 +6,12 @@ import sys
 import pytest
 
 from harkline import cli
-from harkline.session import clear_scratch, local_path, scratch_path, scratch_root
+from harkline.operators.annotate import annotate
+from harkline.session import clear_scratch, local_path, scratch_path, scratch_root, ship_package
 from harkline.sources.files import read_lines
 from tests.test_sources import flac, put
 
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-
-
 @pytest.fixture
 def shell(spark, monkeypatch, capsys):
     monkeypatch.setattr(cli, "build_session", lambda: spark)
@@ -94,18 +92,25 @@ def test_no_machine_local_scratch_on_a_cluster():
         scratch_root(_Elsewhere)
 
 
-def test_tasks_find_the_package_from_another_folder(folder):
-    """The package is sent along: a session started elsewhere runs its operators."""
+def test_the_package_is_sent_along_whole(folder):
+    """What a session ships is enough to import the package from another folder, without this one."""
+
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: default), "set": staticmethod(lambda name, value: None)})
+        sparkContext = type("Context", (), {"addPyFile": staticmethod(lambda path: sent.append(path))})  # noqa: N815
+
+    sent = []
+    ship_package(Session)
     code = (
-        f"import sys; sys.path.insert(0, {ROOT!r})\n"
-        "from harkline.session import build_session\n"
-        "from harkline.operators.annotate import annotate\n"
-        "spark = build_session(master='local-cluster[1,1,1024]', **{'spark.ui.enabled': 'false', 'spark.driver.host': '127.0.0.1'})\n"
-        "sys.path.pop(0)\n"
-        "df = spark.createDataFrame([('a',)], 'request string')\n"
-        "print('GOT', annotate(df, lambda: str.upper).head().response)\n"
-        "spark.stop()\n"
+        f"import sys; sys.path.insert(0, {sent[0]!r})\n"
+        "import harkline.operators.annotate as found, harkline.streaming.logs, harkline.plans.runs\n"
+        "print('GOT', found.__file__)\n"
     )
-    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"SPARK_LOCAL_IP": "127.0.0.1", "SPARK_SCALA_VERSION": "2.13"}
-    done = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True, timeout=180)
-    assert "GOT A" in done.stdout, done.stderr[-2000:]
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, env=env, capture_output=True, text=True, timeout=120)
+    assert f"GOT {sent[0]}" in done.stdout, done.stderr[-2000:]
+
+
+def test_operators_run_in_a_local_session(spark):
+    df = spark.createDataFrame([("a",)], "request string")
+    assert annotate(df, lambda: str.upper).head().response == "A"

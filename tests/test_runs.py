@@ -9,11 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from harkline.operators import annotate as ann
-from harkline.operators import merge, progress
+from harkline.operators import merge, progress, resume
 from harkline.plans import reports, runs
 from harkline.sources.files import read_lines
 from harkline.sources.results import latest_own_run, log_span, read_results
-from harkline.streaming import batches, intake, logs
+from harkline.streaming import batches, intake, logs, state
 from tests.test_sources import flac, put
 
 
@@ -149,43 +149,137 @@ def write_batches(folder, lines, parts):
         os.utime(f"{folder}/in/{n:03d}.jsonl", (1000 + n, 1000 + n))
 
 
-def test_streams_equal_batch(spark, folder, monkeypatch):
-    monkeypatch.setattr(batches, "MAX_FILES", 2)
-    write_batches(folder, LINES, 9)
+def streams(spark, folder, **options):
+    """Drain the three streams of a log once."""
+    for start, name in ((logs.stream_merge, "c1"), (logs.stream_progress, "c2"), (logs.stream_resume, "c3")):
+        start(spark, f"{folder}/in", f"{folder}/{name}", interval=None, max_files=2, **options).awaitTermination()
+
+
+def assert_streams_equal_batch(spark, folder):
     batch = read_results(spark, f"{folder}/in")
-    merged = sorted(map(tuple, merge.merge_results(batch).select("utt", "status", "caption").collect()))
-    stats = progress.progress_stats(batch).first().asDict()
-
-    def merged_now():
-        return sorted(map(tuple, logs.merged_view(spark, f"{folder}/merge").select("utt", "status", "caption").collect()))
-
-    logs.stream_merge(spark, f"{folder}/in", f"{folder}/merge", f"{folder}/c1", interval=None).awaitTermination()
-    logs.stream_progress(spark, f"{folder}/in", f"{folder}/prog", f"{folder}/c2", interval=None).awaitTermination()
-    assert len([d for d in os.listdir(f"{folder}/merge") if d.startswith("batch")]) == 5
-    assert merged_now() == merged
-    assert logs.progress_view(spark, f"{folder}/prog").first().asDict() == stats
-    batches.compact(spark, f"{folder}/merge", logs.combine_merged)
-    batches.compact(spark, f"{folder}/prog", logs.combine_progress)
-    assert merged_now() == merged
-    assert logs.progress_view(spark, f"{folder}/prog").first().asDict() == stats
-    # more lines after the compaction; a second start continues where the first ended
+    columns = ["utt", "status", "caption", "raw", "retry_attempt"]
+    for prefer in (True, False):
+        view = logs.merged_view(spark, f"{folder}/c1", prefer_success=prefer)
+        merged = merge.merge_results(batch, prefer_success=prefer)
+        assert sorted(map(tuple, view.select(columns).collect()), key=str) == sorted(map(tuple, merged.select(columns).collect()), key=str)
+    assert logs.progress_view(spark, f"{folder}/c2").first().asDict() == progress.progress_stats(batch).first().asDict()
+    states = [sorted(map(tuple, s.collect()), key=str) for s in (logs.resume_view(spark, f"{folder}/c3"), resume.resume_state(batch))]
+    assert states[0] == states[1]
+
+
+def test_streams_equal_batch(spark, folder):
+    write_batches(folder, LINES, 9)
+    streams(spark, folder)
+    assert_streams_equal_batch(spark, folder)
+    # a second start continues where the first ended
     late = [line.replace('"fail"', '"ok"') for line in LINES[:50]]
     put(f"{folder}/in/100.jsonl", "\n".join(late))
     os.utime(f"{folder}/in/100.jsonl", (2000, 2000))
-    logs.stream_merge(spark, f"{folder}/in", f"{folder}/merge", f"{folder}/c1", interval=None).awaitTermination()
-    logs.stream_progress(spark, f"{folder}/in", f"{folder}/prog", f"{folder}/c2", interval=None).awaitTermination()
-    batch = read_results(spark, f"{folder}/in")
-    assert merged_now() == sorted(map(tuple, merge.merge_results(batch).select("utt", "status", "caption").collect()))
-    assert logs.progress_view(spark, f"{folder}/prog").first().asDict() == progress.progress_stats(batch).first().asDict()
+    streams(spark, folder)
+    assert_streams_equal_batch(spark, folder)
+    assert not any(name.startswith(("batch-", "base-")) for _, names, _ in os.walk(folder) for name in names)
+
 
+def test_streams_without_a_batch(spark, folder):
+    """Before the first batch, and over a log of bad lines only."""
+    assert logs.merged_view(spark, f"{folder}/none").count() == 0 and logs.resume_view(spark, f"{folder}/none").count() == 0
+    assert logs.progress_view(spark, f"{folder}/none").first().total_lines == 0
+    put(f"{folder}/in/a.jsonl", "torn {\n\n")
+    streams(spark, folder)
+    assert_streams_equal_batch(spark, folder)
+
+
+def test_streams_killed_between_batches(spark, folder):
+    """The consumer of the third batch dies, twice; a later start gives what one read of the log gives."""
+    write_batches(folder, LINES, 9)
+    seen = []
+
+    def deadly(rows, batch_id):
+        seen.append(batch_id)
+        if batch_id == 2 and seen.count(2) < 3:
+            raise RuntimeError("killed")
 
-def test_repeated_batch_replaces_its_rows(spark, folder):
-    df = spark.createDataFrame([("a", "ok")], "utt string, status string")
     for _ in range(2):
-        batches.write_partial(df, f"{folder}/t", 3)
-    assert batches.partial_table(spark, f"{folder}/t").count() == 1
-    with pytest.raises(FileNotFoundError):
-        batches.partial_table(spark, f"{folder}/none")
+        with pytest.raises(Exception, match="killed"):
+            logs.stream_progress(spark, f"{folder}/in", f"{folder}/c2", interval=None, output=deadly, max_files=2).awaitTermination()
+    so_far = logs.progress_view(spark, f"{folder}/c2").first().total_lines
+    first_four = read_results(spark, [f"{folder}/in/{n:03d}.jsonl" for n in range(4)]).count()
+    assert so_far == first_four  # the batch that died has changed nothing
+    logs.stream_progress(spark, f"{folder}/in", f"{folder}/c2", interval=None, output=deadly, max_files=2).awaitTermination()
+    assert seen.count(2) == 3 and seen.count(1) == 1
+    with pytest.raises(Exception, match="killed"):
+        seen.clear()
+        logs.stream_merge(spark, f"{folder}/in", f"{folder}/c1", interval=None, output=deadly, max_files=2).awaitTermination()
+    seen += [2, 2]
+    logs.stream_merge(spark, f"{folder}/in", f"{folder}/c1", interval=None, output=deadly, max_files=2).awaitTermination()
+    logs.stream_resume(spark, f"{folder}/in", f"{folder}/c3").awaitTermination()
+    assert_streams_equal_batch(spark, folder)
+
+
+def test_merge_output_is_an_upsert(spark, folder):
+    """A batch hands on the rows of its own keys, as they are after it."""
+    given = {}
+    put(f"{folder}/in/1.jsonl", '{"utt": "a", "status": "fail"}\n{"utt": "b", "status": "ok", "caption": "b1"}\n')
+
+    def output(rows, batch_id):
+        given[batch_id] = {r.utt: (r.status, r.caption) for r in logs.chosen_records(rows).collect()}
+
+    def drain():
+        logs.stream_merge(spark, f"{folder}/in", f"{folder}/c", interval=None, output=output).awaitTermination()
+
+    drain()
+    put(f"{folder}/in/2.jsonl", '{"utt": "a", "status": "ok", "caption": "a2"}\n{"utt": "c", "status": "fail"}\n')
+    drain()
+    told = [x for x in given.values() if x]
+    assert told == [{"a": ("fail", None), "b": ("ok", "b1")}, {"a": ("ok", "a2"), "c": ("fail", None)}]
+
+
+def test_files_that_arrive_out_of_order(spark, folder):
+    """The later file comes first, with an older time; order is by name as in one read."""
+    for n, name in enumerate(("9.jsonl", "1.jsonl")):
+        lines = [{"utt": u, "status": s, "caption": name} for u, s in (("a", "ok"), ("b", "fail" if n else "ok"), (None, "ok"))]
+        put(f"{folder}/in/{name}", "\n".join(map(json.dumps, lines)))
+        for start, at in ((logs.stream_merge, "c1"), (logs.stream_progress, "c2")):
+            start(spark, f"{folder}/in", f"{folder}/{at}", interval=None).awaitTermination()
+    batch = read_results(spark, f"{folder}/in")
+    assert logs.progress_view(spark, f"{folder}/c2").first().asDict() == progress.progress_stats(batch).first().asDict()
+    view = {r.utt: r.caption for r in logs.merged_view(spark, f"{folder}/c1").collect()}
+    assert view == {r.utt: r.caption for r in merge.merge_results(batch).collect()} == {"a": "1.jsonl", "b": "9.jsonl"}
+
+
+def test_places_in_a_file_of_many_splits(spark, folder):
+    """Splits of one file, several in a task, give places in the order of the lines."""
+    lines = [f"{n:05d} {'x' * (n % 40)}" for n in range(3000)]
+    put(f"{folder}/in/a.txt", "\n".join(lines))
+    put(f"{folder}/in/b.txt", "\n".join(lines[:100]))
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    rows = state.in_file_order(session.read.text(f"{folder}/in").select(
+        "value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_start")
+    ).coalesce(2))
+    got = rows.select("value", "pos.source_file", "pos.place").collect()
+    for name, want in (("a.txt", lines), ("b.txt", lines[:100])):
+        of = sorted((r.place, r.value) for r in got if r.source_file.endswith(name))
+        assert [v for _, v in of] == want and len({p for p, _ in of}) == len(want)
+
+
+def test_resume_stream_folds_hot_keys(spark, folder, monkeypatch):
+    """One key has most lines, with failures that carry no number; a task sends its folded rows in parts."""
+    monkeypatch.setattr(logs, "_FOLDED", 2)
+    for n in range(4):
+        lines = [{"utt": "hot" if i % 3 else f"k{i % 7}", "status": "ok" if (i + n) % 50 == 3 else "fail" if i % 11 else "skipped"} for i in range(200)]
+        for i, line in enumerate(lines):
+            if (i + n) % 13 == 0:
+                line["retry_attempt"] = i % 4
+        put(f"{folder}/in/{n}.jsonl", "\n".join(map(json.dumps, lines)))
+    logs.stream_resume(spark, f"{folder}/in", f"{folder}/c", max_files=3).awaitTermination()
+    want = resume.resume_state(read_results(spark, f"{folder}/in"))
+    assert sorted(map(tuple, logs.resume_view(spark, f"{folder}/c").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_too_many_files_for_positions(spark, folder):
+    with pytest.raises(ValueError, match="at most 1000"):
+        batches.stream_lines(spark, folder, 1001)
 
 
 def test_stream_annotate_continues(spark, media):
@@ -204,29 +298,69 @@ def test_stream_annotate_continues(spark, media):
     assert read_results(spark, f"{folder}/log").where("status = 'ok'").count() == len(names)
 
 
+def test_stream_annotate_reads_no_earlier_log(spark, media, monkeypatch):
+    """A batch reads what its own passes wrote; the log before it is known from the kept state."""
+    folder, names = media
+    calls, source, log = f"{folder}/calls", f"{folder}/arriving", f"{folder}/log"
+    # a foreign log file, with failures that carry no number
+    put(f"{log}/run_id=0/old.txt", "".join(json.dumps({"utt": n, "status": "fail"}) + "\n" for n in [names[0]] * 3 + names[1:3] * 2))
+    attempt = runs.manifest_attempt(stub(calls, fail=[names[3]]), "m")
+    read = []
+    monkeypatch.setattr(ann, "read_results", lambda spark, path, columns=None: read.append(path) or read_results(spark, path, columns))
+    for part in (names[:10], names[3:20]):
+        put(f"{source}/{len(part)}.scp", "".join(f"{n} {folder}/audio/{n}.flac\n" for n in part))
+        intake.stream_annotate(spark, source, log, f"{folder}/ck", "s", attempt, interval=None).awaitTermination()
+    state_reads = [path for path in read if "run_id=" in path]
+    assert state_reads and {path for path in read if "run_id=" not in path} == {log}
+    assert called(calls) == {n: 3 if n == names[3] else 1 for n in names[1:20]}  # the first had used up its attempts
+    # reading `log` itself is only the value that a run returns, which a batch does not use
+    assert len([p for p in read if p == log]) == 2
+
+
+def timed(spark, folder, hours):
+    """One file of ten lines for each hour, in that order."""
+    os.makedirs(f"{folder}/in", exist_ok=True)
+    for hour in hours:
+        rows = [(i, f"2024-01-01 {hour:02d}:00:{i:02d}") for i in range(10)]
+        df = spark.createDataFrame(rows, "i int, t string").select("i", F.col("t").cast("timestamp").alias("ts"))
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        yield spark.readStream.schema("i int, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+
+
 def test_rate_view(spark, folder):
-    rows = [(i, f"2024-01-01 00:00:{s:02d}") for i, s in enumerate([0, 1, 2, 4, 5, 6, 20])]
+    rows = [(i, f"2024-01-01 00:00:{s:02d}") for i, s in enumerate([0, 1, 2, 4, 5, 6, 20])] + [(9, None)]
     df = spark.createDataFrame(rows, "i int, t string").select("i", F.col("t").cast("timestamp").alias("ts"))
     df.write.parquet(f"{folder}/in")
+    assert logs.rate_view(spark, f"{folder}/c").count() == 0
     lines = spark.readStream.schema("i int, ts timestamp").parquet(f"{folder}/in")
-    logs.stream_recent_rate(spark, lines, f"{folder}/t", f"{folder}/c", interval=None).awaitTermination()
-    view = logs.rate_view(spark, f"{folder}/t").orderBy("window_start").collect()
+    logs.stream_recent_rate(spark, lines, f"{folder}/c", interval=None).awaitTermination()
+    view = logs.rate_view(spark, f"{folder}/c").orderBy("window_start").collect()
     assert [(r.lines, r.recent_per_sec) for r in view] == [(4, 0.8), (2, 0.4), (1, 0.2)]
 
 
 def test_rate_view_counts_late_lines(spark, folder):
     """Several batches whose times go back: no line is lost."""
-    os.makedirs(f"{folder}/in")
-    for k, hour in enumerate((10, 0, 10, 0)):
-        rows = [(i, f"2024-01-01 {hour:02d}:00:{i:02d}") for i in range(10)]
-        df = spark.createDataFrame(rows, "i int, t string").select("i", F.col("t").cast("timestamp").alias("ts"))
-        df.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        lines = spark.readStream.schema("i int, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-        logs.stream_recent_rate(spark, lines, f"{folder}/t", f"{folder}/c", interval=None).awaitTermination()
-    view = logs.rate_view(spark, f"{folder}/t").collect()
+    for lines in timed(spark, folder, (10, 0, 10, 0)):
+        logs.stream_recent_rate(spark, lines, f"{folder}/c", interval=None).awaitTermination()
+    view = logs.rate_view(spark, f"{folder}/c").collect()
     assert sum(r.lines for r in view) == 40 and {r.lines for r in view} == {10}
 
 
+def test_closed_windows_and_late_lines(spark, folder):
+    """A window is written once, when the watermark has passed it; what comes later is told apart."""
+    counts = []
+    for lines in timed(spark, folder, (0, 10, 0, 11)):
+        logs.stream_closed_rate(spark, lines, f"{folder}/closed", f"{folder}/c1", window="1 hour", interval=None).awaitTermination()
+        logs.stream_recent_rate(spark, lines, f"{folder}/c2", window="1 hour", interval=None).awaitTermination()
+        closed = spark.read.parquet(f"{folder}/closed")
+        counts.append(sorted((str(r.window_start)[11:13], r.lines) for r in closed.collect()))
+    assert counts[-1] == [("00", 10)] or counts[-1] == [("00", 10), ("10", 10)]
+    (late,) = logs.late_lines(spark, f"{folder}/closed", f"{folder}/c2").collect()
+    assert (late.lines, late.on_time, late.late) == (20, 10, 10)
+    total = logs.rate_view(spark, f"{folder}/c2").agg(F.sum("lines")).first()[0]
+    assert total == 40
+
+
 def test_annotate_keeps_whole_numbers(spark):
     big = (1 << 53) + 1
     rows = [(big, "a", None), (None, "b", 5), (big + 2, "c", -big)]
