@@ -132,3 +132,30 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     value *= np.uint64(0xD6E8FEB86659FD93)
     value ^= value >> np.uint64(29)
     return value
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of bytes and of long numbers as one compressed text; the numbers byte by byte, so that zeros meet."""
+    parts = [a.tobytes() if a.dtype == np.uint8 else a.view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
+    raw = np.array([len(x) for x in parts], dtype=np.int64).tobytes() + b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes, kinds: str) -> list[np.ndarray]:
+    """The arrays again; `kinds` has a letter for each: b (bytes) or n (numbers)."""
+    raw = pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+    at, out = 8 * len(kinds), []
+    for size, kind in zip(np.frombuffer(raw, dtype=np.int64, count=len(kinds)), kinds):
+        part = np.frombuffer(raw, dtype=np.uint8, count=size, offset=at)
+        out.append(part if kind == "b" else np.ascontiguousarray(part.reshape(8, -1).T).view(np.int64).reshape(-1))
+        at += size
+    return out
+
+
+def each_group(group: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Groups of an ascending array, and where they stand."""
+    if len(group) == 0:
+        return
+    cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
+    for a, b in zip(cuts, cuts[1:]):
+        yield int(group[a]), slice(a, b)

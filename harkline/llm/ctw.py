@@ -9,10 +9,13 @@ the log10 probability of its bytes and an end mark; `bits_per_byte` is its code
 
 Training counts runs of `DEPTH` + 1 bytes over all training text, each in the task that
 reads it, then summed; runs of held-out text join them with a count of zero. All their
-contexts are nodes, as rows of tables: a level's counts, estimates and weighted
-probabilities come from the level below by `groupBy`, the mixed probabilities go back down
-by joins, and each run ends with one log probability. The tree grows with the corpus; no
-node is dropped. What training has not seen has counts of zero and probability 1/2 a bit.
+contexts are nodes; the tree grows with the corpus and no node is dropped. It is worked out
+in pieces: the runs of a piece share the `CUT` nearest bytes of context, so the levels from
+the leaves to the cut are one task's arrays, made of one piece (2^24 runs at most, however
+large the corpus). The nodes at the cut then meet by their nearest byte, and the top of the tree,
+two levels, is a table of fixed size. On the way back down each piece makes its levels again,
+which costs less than to keep them, and ends with a log probability for each run. What
+training has not seen has counts of zero and probability 1/2 a bit.
 
 Log probabilities of the most frequent runs, up to `SLOTS` of them, travel to the tasks as
 a fast path. All other runs of a document meet theirs in a join, once per text.
@@ -30,6 +33,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harkline.llm.common import joined_bytes, lower_ascii, map_arrow, pieces, word_bounds, word_hashes
+from harkline.llm.common import each_group, joined_bytes, lower_ascii, map_arrow, pack, pieces, unpack, word_bounds, word_hashes
 from harkline.session import written
 
 #: Bytes of context, and words whose counts travel to the tasks.
@@ -50,8 +54,9 @@ SLOTS = 1 << 21
 FOLDS = 7
 HELD_OUT = 2
 
-#: Bit prefixes whose trees are worked out together.
-PREFIXES_AT_A_TIME = 32
+#: Nearest bytes of context that the runs of a piece share, and runs of the pieces that are worked on together.
+CUT = 3
+PIECE_RUNS = 1 << 19
 
 #: Marks begin and end of a text; no byte of UTF-8.
 EDGE = 0xFF
@@ -167,29 +172,6 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
 # --- tree
 
 
-class Tree:
-    """Contexts that fit in memory, as states of an automaton that reads context bytes from the nearest on.
-
-    State v + size means: the context stopped at node v. `step[state, byte]` is the next state.
-    """
-
-    def __init__(self, contexts: list[tuple[int, int]]):
-        """`contexts`, fewer than 2^15: (depth, bytes with the nearest one lowest), every shorter form before the longer."""
-        self.size = len(contexts) + 1
-        self.depth = np.zeros(self.size, dtype=np.int64)
-        self.parent = np.zeros(self.size, dtype=np.int64)
-        self.inner = np.zeros(self.size, dtype=bool)
-        stops = np.arange(self.size, dtype=np.uint16) + np.uint16(self.size)
-        self.step = np.concatenate((stops, stops))[:, None].repeat(256, axis=1)
-        node = {(0, 0): 0}
-        for at, (depth, code) in enumerate(contexts, 1):
-            far = code >> (8 * (depth - 1))
-            parent = node[depth - 1, code & ((1 << (8 * (depth - 1))) - 1)]
-            node[depth, code] = at
-            self.depth[at], self.parent[at], self.inner[parent] = depth, parent, True
-            self.step[parent, far] = at
-
-
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Natural log of the gamma function for x > 0: recurrence to x + 8, then Stirling's series."""
     shift = np.ones_like(x)
@@ -205,123 +187,180 @@ def _kt_log(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - np.log(np.pi)
 
 
-def _one_where_stopped(tree: Tree, own_zeros: np.ndarray, own_ones: np.ndarray) -> np.ndarray:
-    """Probability of a one after each bit prefix (column) where the context stops at each node (row).
+class Level(NamedTuple):
+    """Nodes of one depth: `code` is the context, nearest byte lowest, and then the bit prefix led by a one."""
 
-    `own_zeros`, `own_ones`: counts of contexts that stop at the node.
-    """
-    zeros, ones = own_zeros.copy(), own_ones.copy()
-    below = _kt_log(own_zeros, own_ones)  # log of the product over the children, first the node's own leaf
-    weight = np.ones_like(zeros)  # of the node's own estimate, after training
-    levels = [np.flatnonzero(tree.depth == d) for d in range(int(tree.depth.max()) + 1)]
-    for at in reversed(levels):
-        estimate = _kt_log(zeros[at], ones[at])
-        inner = tree.inner[at][:, None]
-        odds = np.clip(below[at] - estimate, -700, 700)
-        weight[at] = np.where(inner, 1 / (1 + np.exp(odds)), 1.0)
-        weighted = np.where(inner, np.logaddexp(estimate, below[at]) - np.log(2), estimate)
-        if tree.depth[at[0]]:
-            up = tree.parent[at]
-            np.add.at(zeros, up, zeros[at])
-            np.add.at(ones, up, ones[at])
-            np.add.at(below, up, weighted)
-    mixed, left = np.zeros_like(zeros), np.ones_like(zeros)  # mixed so far, and weight not yet given
-    for at in levels:
-        if tree.depth[at[0]]:
-            mixed[at], left[at] = mixed[tree.parent[at]], left[tree.parent[at]]
-        mixed[at] += left[at] * weight[at] * (ones[at] + 0.5) / (zeros[at] + ones[at] + 1)
-        left[at] *= 1 - weight[at]
-    return mixed + left * (own_ones + 0.5) / (own_zeros + own_ones + 1)
-
-
-def byte_log_probabilities(tree: Tree, stopped: np.ndarray) -> np.ndarray:
-    """log10 probability of each byte after a context that stops at each node.
-
-    `stopped`: counts of the bytes after contexts that stop at the node. Bit prefixes do not
-    touch each other, so a few are worked on at a time.
-    """
-    result = np.zeros((len(stopped), 256))
-    for bits in range(8):
-        halves = stopped.reshape(len(stopped), 2 << bits, -1).sum(axis=2).astype(float)
-        width = 128 >> bits  # bytes of a half
-        for first in range(0, 1 << bits, PREFIXES_AT_A_TIME):
-            last = min(first + PREFIXES_AT_A_TIME, 1 << bits)
-            one = _one_where_stopped(tree, halves[:, 2 * first:2 * last:2], halves[:, 2 * first + 1:2 * last:2])
-            both = np.stack((np.log10(1 - one), np.log10(one)), axis=2).reshape(len(stopped), -1)
-            result[:, 2 * first * width:2 * last * width] += np.repeat(both, width, axis=1)
-    return result
-
-
-def _log_gamma(x: Column) -> Column:
-    """`log_gamma` of a column."""
-    shift = x
-    for k in range(1, 8):
-        shift = shift * (x + k)
-    y = x + 8
-    square = y * y
-    # nested, from the last term of the series
-    series = F.lit(1 / 1188)
-    for term in (-1 / 1680, 1 / 1260, -1 / 360, 1 / 12):
-        series = series / square + term
-    return (y - 0.5) * F.log(y) - y + 0.5 * float(np.log(2 * np.pi)) + series / y - F.log(shift)
-
-
-def _estimated(level: DataFrame) -> DataFrame:
-    """A level with `estimate`, the log of the Krichevsky-Trofimov probability of its counts."""
-    zeros, ones = F.col("zeros").cast("double"), F.col("ones").cast("double")
-    log = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1) - float(np.log(np.pi))
-    return level.withColumn("estimate", log)
-
-
-def _bits(runs: DataFrame) -> DataFrame:
-    """The eight decisions of each run: `code`, the context and then the bit prefix led by a one, and `one`."""
-    decided = runs.withColumn("bit", F.explode(F.array(*[F.lit(i) for i in range(8)])))
-    return decided.select(
-        *runs.columns,
-        F.expr("(key - (key & 255)) + shiftright((key & 255) | 256, 8 - bit)").alias("code"),
-        F.expr("shiftright(key, 7 - bit) & 1").alias("one"),
-    )
+    code: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    weighted: np.ndarray  # log of the weighted probability
+    weight: np.ndarray  # of the node's own estimate, after training
+    member: np.ndarray  # its node, for each thing it was made of
 
+    def own(self) -> np.ndarray:
+        """Probability of a one by the node's own counts."""
+        return (self.ones + 0.5) / (self.zeros + self.ones + 1)
 
-def run_log_probabilities(runs: DataFrame) -> DataFrame:
-    """`key` and `log`, the log10 probability of each run's byte after its context, from `key` and `n`.
 
-    A node is one row for each bit prefix it has counts of: at most 256 children each, so no
-    key of a join or a group has more rows than that.
-    """
-    level = _bits(runs).groupBy("code").agg(
-        F.sum(F.when(F.col("one") == 0, F.col("n")).otherwise(0)).alias("zeros"),
-        F.sum(F.when(F.col("one") == 1, F.col("n")).otherwise(0)).alias("ones"),
-    )
-    level = _estimated(level).select("code", "zeros", "ones", F.col("estimate").alias("weighted"), F.lit(1.0).alias("weight"))
-    levels = [written(level, "lm-level")]
-    for depth in range(DEPTH - 1, -1, -1):
-        # the farthest byte of the context goes
-        up = F.col("code").bitwiseAND(F.lit((1 << (8 * depth + 8)) - 1))
-        level = levels[-1].groupBy(up.alias("code")).agg(
-            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below")
-        )
-        ahead = F.col("below") - F.col("estimate")
-        weighted = F.greatest("estimate", "below") + F.log1p(F.exp(-F.abs(ahead))) - float(np.log(2))
-        level = _estimated(level).select(
-            "code", "zeros", "ones", weighted.alias("weighted"), (1 / (1 + F.exp(ahead))).alias("weight")
-        )
-        levels.append(written(level, "lm-level"))
-    mixed = None
-    for depth, level in enumerate(reversed(levels)):
-        own = level.select("code", "weight", ((F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)).alias("own"))
-        if mixed is None:
-            own = own.withColumn("mixed", F.lit(0.0)).withColumn("left", F.lit(1.0))
-        else:
-            # `mixed` so far, and weight not yet given
-            above = mixed.withColumnRenamed("code", "up")
-            own = own.withColumn("up", F.col("code").bitwiseAND(F.lit((1 << (8 * depth)) - 1))).join(above, "up")
-        mixed = own.select(
-            "code", (F.col("mixed") + F.col("left") * F.col("weight") * F.col("own")).alias("mixed"),
-            (F.col("left") * (1 - F.col("weight"))).alias("left"),
-        )
-    chance = F.when(F.col("one") == 1, F.col("mixed")).otherwise(1 - F.col("mixed"))
-    return _bits(runs.select("key")).join(mixed, "code").groupBy("key").agg(F.sum(F.log10(chance)).alias("log"))
+def _leaves(keys: np.ndarray, counts: np.ndarray) -> tuple[Level, np.ndarray]:
+    """The deepest level and, for each of the eight decisions of each run, whether it is a one."""
+    bits = np.arange(8)
+    byte = keys & 255
+    code = (keys - byte)[:, None] + ((byte | 256)[:, None] >> (8 - bits))
+    one = ((keys[:, None] >> (7 - bits)) & 1).astype(bool)
+    found, member = np.unique(code.reshape(-1), return_inverse=True)
+    member = member.reshape(-1)
+    times = np.repeat(counts, 8).astype(float)
+    ones = np.bincount(member, times * one.reshape(-1), minlength=len(found))
+    zeros = np.bincount(member, times, minlength=len(found)) - ones
+    return Level(found, zeros, ones, _kt_log(zeros, ones), np.ones(len(found)), member), one
+
+
+def _above(below: Level, depth: int) -> Level:
+    """The level of `depth` over the one below it: the farthest byte of the context goes."""
+    found, member = np.unique(below.code & ((1 << (8 * depth + 8)) - 1), return_inverse=True)
+    member = member.reshape(-1)
+    zeros, ones, product = (np.bincount(member, x, minlength=len(found)) for x in (below.zeros, below.ones, below.weighted))
+    estimate = _kt_log(zeros, ones)
+    weight = 1 / (1 + np.exp(np.clip(product - estimate, -700, 700)))
+    return Level(found, zeros, ones, np.logaddexp(estimate, product) - np.log(2), weight, member)
+
+
+def _mixed_down(level: Level, mixed: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mixed probability of a one so far, and weight not yet given, from those above each node."""
+    return mixed + left * level.weight * level.own(), left * (1 - level.weight)
+
+
+def _levels(level: Level, first: int, last: int) -> list[Level]:
+    """`level` and those above it, of depths `first` down to `last`."""
+    out = [level]
+    for depth in range(first, last - 1, -1):
+        out.append(_above(out[-1], depth))
+    return out
+
+
+def _packed_nodes(level: Level) -> bytes:
+    return pack(level.code, *(x.view(np.int64) for x in level[1:5]))
+
+
+def _nodes(parts: list[bytes]) -> Level:
+    """Nodes of several packed parts, which have none in common, by code."""
+    code, *values = (np.concatenate(x) for x in zip(*(unpack(p, "nnnnn") for p in parts)))
+    by = np.argsort(code)
+    return Level(code[by], *(v.view(np.float64)[by] for v in values), np.zeros(0, dtype=np.int64))
+
+
+def _part_of(cut: np.ndarray, parts: int) -> np.ndarray:
+    """The task of a piece, by its nearest bytes."""
+    mixed = cut.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+
+
+def run_log_probabilities(runs: DataFrame) -> DataFrame:
+    """`key`, `total` and `log`, the log10 probability of each run's byte after its context, from `key`, `n`, `total`."""
+    cut_mask = (1 << (8 * CUT)) - 1
+    partitions = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(partitions, -(-runs.count() // PIECE_RUNS))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, n, total = (np.asarray(batch[k], dtype=np.int64) for k in ("key", "n", "total"))
+            part = _part_of((keys >> 8) & cut_mask, parts)
+            order = np.argsort(part, kind="stable")
+            for p, at in each_group(part[order]):
+                some = order[at]
+                packed = pack(keys[some], n[some], total[some])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p], pa.int32()), pa.array([packed], pa.binary()), pa.nulls(1, pa.binary())], ["part", "runs", "known"]
+                )
+
+    def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Runs of whole pieces, about `PIECE_RUNS` at a time, and what is known of their nodes at the cut."""
+        gathered, known = [], []
+        for batch in batches:
+            gathered += [unpack(x, "nnn") for x in batch["runs"].to_pylist() if x is not None]
+            known += [unpack(x, "nnn") for x in batch["known"].to_pylist() if x is not None]
+        if not gathered:
+            return
+        keys, n, total = (np.concatenate(x) for x in zip(*gathered))
+        known = [np.concatenate(x) for x in zip(*known)] if known else None
+        piece = (keys >> 8) & cut_mask
+        order = np.argsort(piece, kind="stable")
+        ends = np.flatnonzero(np.append(piece[order][1:] != piece[order][:-1], True)) + 1
+        begin = 0
+        while begin < len(order):
+            # the last end within the bound, or the next one
+            end = int(ends[max(np.searchsorted(ends, begin + PIECE_RUNS, side="right") - 1, np.searchsorted(ends, begin, side="right"))])
+            some = order[begin:end]
+            yield keys[some], n[some], total[some], known
+            begin = end
+
+    def rising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n, _, _ in pieces_of(batches):
+            top = _levels(_leaves(keys, n)[0], DEPTH - 1, CUT)[-1]
+            nearest = (top.code >> 8) & 255
+            order = np.argsort(nearest, kind="stable")
+            for near, at in each_group(nearest[order]):
+                some = top._replace(**{f: getattr(top, f)[order[at]] for f in top._fields[:5]})
+                yield pa.RecordBatch.from_arrays([pa.array([near], pa.int32()), pa.array([_packed_nodes(some)], pa.binary())], ["near", "nodes"])
+
+    def by_nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Level]]:
+        groups: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for near, nodes in zip(batch["near"].to_pylist(), batch["nodes"].to_pylist()):
+                groups.setdefault(near, []).append(nodes)
+        for near, nodes in groups.items():
+            yield near, _nodes(nodes)
+
+    def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for near, nodes in by_nearest(batches):
+            top = _levels(nodes, CUT - 1, 1)[-1]
+            yield pa.RecordBatch.from_arrays([pa.array([near], pa.int32()), pa.array([_packed_nodes(top)], pa.binary())], ["near", "nodes"])
+
+    packed = "part int, runs binary, known binary"
+    sent = written(runs.select("key", "n", "total").mapInArrow(dealt, packed), "lm-dealt")
+    rows = "near int, nodes binary"
+    nodes = written(sent.repartitionById(parts, "part").mapInArrow(rising, rows), "lm-nodes")
+    # 256 contexts of one byte with 255 bit prefixes each, at most
+    upper = nodes.repartition("near").mapInArrow(narrowed, rows).toArrow()["nodes"].to_pylist()
+    if not upper:
+        return runs.select("key", "total", F.lit(0.0).alias("log")).where("false")
+    first = _nodes(upper)
+    root = _above(first, 0)
+    mixed, left = _mixed_down(root, np.zeros(len(root.code)), np.ones(len(root.code)))
+    mixed, left = _mixed_down(first, mixed[root.member], left[root.member])
+    top = runs.sparkSession.sparkContext.broadcast((first.code, mixed, left))
+
+    def to_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, mixed, left = top.value
+        for _, nodes in by_nearest(batches):
+            _, two, one = _levels(nodes, CUT - 1, 1)
+            at = np.searchsorted(code, one.code)
+            both = _mixed_down(two, mixed[at][one.member], left[at][one.member])
+            part = _part_of(nodes.code >> 8, parts)
+            order = np.argsort(part, kind="stable")
+            for p, of in each_group(part[order]):
+                some = order[of]
+                packed = pack(nodes.code[some], *(x[two.member[some]].view(np.int64) for x in both))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p], pa.int32()), pa.nulls(1, pa.binary()), pa.array([packed], pa.binary())], ["part", "runs", "known"]
+                )
+
+    def falling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, n, total, (code, mixed, left) in pieces_of(batches):
+            by = np.argsort(code)
+            leaves, one = _leaves(keys, n)
+            *_, cut = levels = _levels(leaves, DEPTH - 1, CUT)
+            at = by[np.searchsorted(code[by], cut.code)]
+            both = _mixed_down(cut, mixed[at].view(np.float64), left[at].view(np.float64))
+            for above, level in zip(levels[:0:-1], levels[-2::-1]):
+                both = _mixed_down(level, both[0][above.member], both[1][above.member])
+            chance = both[0][leaves.member].reshape(-1, 8)
+            log = np.log10(np.where(one, chance, 1 - chance)).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total), pa.array(log)], ["key", "total", "log"])
+
+    known = nodes.repartition("near").mapInArrow(to_cut, packed)
+    return sent.unionAll(known).repartitionById(parts, "part").mapInArrow(falling, "key long, total long, log double")
 
 
 class Slots:
@@ -397,7 +436,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     total, distinct = total + ends, distinct + (ends > 0)
     space = float(total + distinct + 1)
     runs = counts.where(F.col("kind") == _RUN)
-    logs = written(run_log_probabilities(runs.select("key", "n")).join(runs.select("key", "total"), "key"), "lm-logs")
+    logs = written(run_log_probabilities(runs), "lm-logs")
     frequent = words.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
     order = np.argsort(frequent["key"].to_numpy())
     keys, seen = frequent["key"].to_numpy()[order], frequent["n"].to_numpy()[order]

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harkline.llm.common import joined_bytes, map_arrow, pieces
+from harkline.llm.common import each_group, joined_bytes, map_arrow, pack, pieces, unpack
 from harkline.session import written
 
 WINDOW = 100
@@ -89,31 +89,6 @@ def _row_digests(rows: np.ndarray, *lengths: np.ndarray) -> tuple[np.ndarray, np
     return out[0], out[1]
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of bytes and of long numbers as one compressed text; the numbers byte by byte, so that zeros meet."""
-    parts = [a.tobytes() if a.dtype == np.uint8 else a.view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
-    raw = np.array([len(x) for x in parts], dtype=np.int64).tobytes() + b"".join(parts)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
-
-
-def _unpacked(packed: bytes, kinds: str) -> list[np.ndarray]:
-    """The arrays again; `kinds` has a letter for each: b (bytes) or n (numbers)."""
-    raw = pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
-    at, out = 8 * len(kinds), []
-    for size, kind in zip(np.frombuffer(raw, dtype=np.int64, count=len(kinds)), kinds):
-        part = np.frombuffer(raw, dtype=np.uint8, count=size, offset=at)
-        out.append(part if kind == "b" else np.ascontiguousarray(part.reshape(8, -1).T).view(np.int64).reshape(-1))
-        at += size
-    return out
-
-
-def _each_group(group: np.ndarray) -> Iterator[tuple[int, slice]]:
-    """Groups of an ascending array, and where they stand."""
-    cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
-    for a, b in zip(cuts, cuts[1:]):
-        yield int(group[a]), slice(a, b)
-
-
 # --- anchors
 
 
@@ -403,9 +378,9 @@ def _packed_spans(spans: list[np.ndarray], groups: int) -> Iterator[tuple[int, b
     docs = docs[owner]
     group = (_mixed((d[docs] ^ t[docs]).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
     order = np.argsort(group, kind="stable")
-    for g, at in _each_group(group[order]):
+    for g, at in each_group(group[order]):
         some = order[at]
-        yield g, _packed(*(k[docs[some]] for k in (d, t, u)), begins[some], ends[some])
+        yield g, pack(*(k[docs[some]] for k in (d, t, u)), begins[some], ends[some])
 
 
 def _bucketed(texts: DataFrame, gather: Callable, splitters: np.ndarray, buckets: int) -> DataFrame:
@@ -418,10 +393,10 @@ def _bucketed(texts: DataFrame, gather: Callable, splitters: np.ndarray, buckets
             keys = _keys(right, left)
             bucket = np.searchsorted(known.value, keys, side="right")
             order = np.lexsort((right.view(">u8")[:, 1], right.view(">u8")[:, 0], bucket))  # alike next to each other
-            for b, at in _each_group(bucket[order]):
+            for b, at in each_group(bucket[order]):
                 some = order[at]
                 lengths = n_right[some], n_left[some]
-                packed = _packed(_flat(right[some], lengths[0]), _flat(left[some], lengths[1]), *lengths, *(k[some] for k in doc))
+                packed = pack(_flat(right[some], lengths[0]), _flat(left[some], lengths[1]), *lengths, *(k[some] for k in doc))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b], pa.int32()), pa.array([packed], pa.binary()), pa.nulls(1, pa.binary())],
                     ["bucket", "contexts", "spans"],
@@ -569,9 +544,9 @@ def _sorted_repeats(bucketed: DataFrame, splitters: np.ndarray, buckets: int, gr
         for batch in batches:
             for b, packed in zip(batch["bucket"].to_pylist(), batch["contexts"].to_pylist()):
                 if packed is not None:
-                    contexts.append(_unpacked(packed, _CONTEXT))
+                    contexts.append(unpack(packed, _CONTEXT))
                     bucket = b
-            spans += [_unpacked(x, _SPAN) for x in batch["spans"].to_pylist() if x is not None]
+            spans += [unpack(x, _SPAN) for x in batch["spans"].to_pylist() if x is not None]
         boundary = []
         if contexts:
             flat_right, flat_left, n_right, n_left, d, t, u, at = (np.concatenate(x) for x in zip(*contexts))
@@ -596,8 +571,8 @@ def _sorted_repeats(bucketed: DataFrame, splitters: np.ndarray, buckets: int, gr
             edges = [np.concatenate(x) for x in zip(*edges)]
             group = (edges[0].view(np.uint64) % np.uint64(groups)).astype(np.int64)
             order = np.argsort(group, kind="stable")
-            for g, at in _each_group(group[order]):
-                yield told(True, g, _packed(*(x[order[at]] for x in edges)))
+            for g, at in each_group(group[order]):
+                yield told(True, g, pack(*(x[order[at]] for x in edges)))
 
     found = bucketed.repartitionById(buckets, "bucket").mapInArrow(run, "across boolean, group int, packed binary")
     return written(found, "repeats-sorted")
@@ -614,7 +589,7 @@ def repeat_spans(texts: DataFrame) -> DataFrame:
 
     def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A window at a boundary that is behind the first of its kind is a span."""
-        edges = [_unpacked(x, "nnnnnn") for batch in batches for x in batch["packed"].to_pylist()]
+        edges = [unpack(x, "nnnnnn") for batch in batches for x in batch["packed"].to_pylist()]
         if not edges:
             return
         one, two, d, t, u, at = (np.concatenate(x) for x in zip(*edges))
@@ -623,7 +598,7 @@ def repeat_spans(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([packed], pa.binary())], ["group", "packed"])
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans = [_unpacked(x, _SPAN) for batch in batches for x in batch["packed"].to_pylist()]
+        spans = [unpack(x, _SPAN) for batch in batches for x in batch["packed"].to_pylist()]
         if not spans:
             return
         d, t, u, begins, ends = (np.concatenate(x) for x in zip(*spans))

@@ -79,6 +79,14 @@ def test_more_contexts_than_a_fixed_table_holds(spark, monkeypatch, slots):
     check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows)
 
 
+def test_many_pieces(spark, monkeypatch):
+    """Pieces of few runs, and one piece that holds a third of them."""
+    monkeypatch.setattr(ctw, "PIECE_RUNS", 60)
+    draw = random.Random(11)
+    rows = [(i, "".join(draw.choices("abcdé ", k=300)) + "".join(f"the{draw.choice('abcdef')}{draw.randrange(10)}" for _ in range(40))) for i in range(20)]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows)
+
+
 @pytest.mark.parametrize("slots", [1 << 21, 64])
 def test_defined_cases(docs, monkeypatch, slots):
     monkeypatch.setattr(ctw, "SLOTS", slots)

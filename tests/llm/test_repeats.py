@@ -52,7 +52,6 @@ def drawn_rows(seed, count):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_against_a_dictionary(spark, monkeypatch, seed):
-    monkeypatch.setattr(repeats, "CHUNK", [1 << 18, 700, 1500][seed - 1])
     monkeypatch.setattr(repeats, "_CONTEXTS", [1 << 17, 500, 90][seed - 1])
     monkeypatch.setattr(repeats, "BUCKET", [150_000, 40, 300][seed - 1])
     monkeypatch.setattr(repeats, "MOST_BITS", [29, 29, 0][seed - 1])
@@ -121,3 +120,27 @@ def test_equal_windows_have_their_anchor_at_one_offset():
         (k,) = np.flatnonzero((start <= at) & (final >= at))
         offsets.add(int(place[k] - at))
     assert len(offsets) == 1
+
+
+def test_anchors_in_chunks(monkeypatch):
+    """Every window has one anchor, wherever chunks begin; texts shorter than a window have none."""
+    draw = np.random.Generator(np.random.PCG64(8))
+    lengths = np.array([0, 99, 100, 2500, 7, 101, 0, 900, 50, 3000])
+    data = draw.integers(97, 101, lengths.sum(), dtype=np.uint8)
+    begins = np.cumsum(lengths) - lengths
+    starts = [b + k for b, n in zip(begins, lengths) for k in range(n - 99)]
+
+    def anchors_of_windows():
+        out = {}
+        for digest, place, start, final in repeats._chunks(data, lengths):
+            for g, p, a, b in zip(digest, place, start, final):
+                for s in range(a, b + 1):
+                    assert s not in out and s <= p <= s + 100 - repeats.GRAM
+                    out[s] = int(p), int(g)
+        return out
+
+    whole = anchors_of_windows()
+    assert sorted(whole) == starts
+    for chunk in (64, 100, 333, 2600):
+        monkeypatch.setattr(repeats, "CHUNK", chunk)
+        assert anchors_of_windows() == whole

@@ -310,64 +310,6 @@ def test_mixed_documents(spark, docs, empty):
 # --- language model
 
 
-def test_context_tree_by_definition():
-    """Probability of each next byte is the ratio of weighted probabilities with and without it."""
-    depth = 2
-    train, ask = b"abracadabra abra cad", b"abrx c"
-    contexts = sorted({(d, int.from_bytes(bytes(train[i - d:i]), "big")) for i in range(2, len(train)) for d in (1, 2)})
-    kept = [(d, c) for d, c in contexts]
-
-    def add(counts, history, byte):
-        for bit in range(8):
-            prefix = (1 << bit) | (byte >> (8 - bit))
-            for d in range(depth + 1):
-                node = counts.setdefault((prefix, d, history[len(history) - d:]), [0, 0])
-                node[byte >> (7 - bit) & 1] += 1
-
-    def kt(zeros, ones):
-        return math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.lgamma(zeros + ones + 1) - math.log(math.pi)
-
-    def weighted(counts, prefix, d, context):
-        own = kt(*counts[prefix, d, context])
-        if d == depth:
-            return own
-        below = sum(weighted(counts, prefix, d + 1, c) for (p, e, c) in counts if p == prefix and e == d + 1 and c[1:] == context)
-        return np.logaddexp(own, below) - math.log(2)
-
-    counts = {}
-    for i in range(2, len(train)):
-        add(counts, train[i - 2:i], train[i])
-    tree = ctw.Tree(kept)
-    stopped = np.zeros((tree.size, 256))
-
-    def node(history):
-        state = 0
-        for back in range(1, depth + 1):
-            state = int(tree.step[state, history[-back]])
-        return state - tree.size if state >= tree.size else state
-
-    for i in range(2, len(train)):
-        stopped[node(train[i - 2:i]), train[i]] += 1
-    logs = ctw.byte_log_probabilities(tree, stopped)
-    assert np.allclose((10**logs).sum(axis=1), 1)
-    for i in range(2, len(ask)):
-        history, byte = ask[i - 2:i], ask[i]
-        if (2, int.from_bytes(history, "big")) not in kept:
-            continue
-        want = 0.0
-        for bit in range(8):
-            prefix = (1 << bit) | (byte >> (8 - bit))
-            if (prefix, 0, b"") not in counts:
-                want += math.log10(0.5)
-                continue
-            before = weighted(counts, prefix, 0, b"")
-            more = {k: list(v) for k, v in counts.items()}
-            for d in range(depth + 1):
-                more.setdefault((prefix, d, history[len(history) - d:]), [0, 0])[byte >> (7 - bit) & 1] += 1
-            want += (weighted(more, prefix, 0, b"") - before) / math.log(10)
-        assert math.isclose(logs[node(history), byte], want, rel_tol=1e-9)
-
-
 def test_log_gamma():
     x = np.array([0.5, 1, 1.5, 2, 7.3, 100.0, 1e6, 1e12])
     assert np.allclose(ctw.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-11, atol=1e-11)
