@@ -149,6 +149,8 @@ FROM events WHERE event_id % 12 >= 3""",
 FROM ix JOIN documents USING (doc_id)""",
     "lookup_items": f"""WITH {INDEX} SELECT idx, bin_index, start, size, sr, ch, md5(text) AS digest
 FROM ix JOIN documents USING (doc_id) WHERE idx IN (SELECT doc_id FROM labels)""",
+    "stored_items": f"WITH {INDEX} SELECT idx, bin_index, start, size, sr, ch FROM ix WHERE idx IN (SELECT doc_id FROM labels)",
+    "stored_range": f"WITH {INDEX} SELECT idx, bin_index, start, size, sr, ch FROM ix WHERE idx BETWEEN 100 AND 699",
     "write_results": f"""WITH {LOG} SELECT utt, status, caption, error, processing_time, CAST(retry_attempt AS BIGINT) AS retry_attempt,
   audio_duration, audio_duration_error, '{{"total_tokens":' || pos || '}}' AS usage, pos % 4 AS chunk_id FROM log""",
     "write_captions_tsv": f"""WITH {LOG} SELECT utt, trim(replace(caption, chr(10), ' ')) AS caption

@@ -160,6 +160,24 @@ def lookup_items(spark, sf):
     )
 
 
+def _stored(spark, sf):
+    stored = scratch_path(spark, "stored-index")
+    shards.store_shard_index(spark, fx.shard_folder(spark, sf), stored)
+    return stored
+
+
+@query
+def stored_items(spark, sf):
+    """The same positions as `lookup_items`, from the files of a stored index that hold them."""
+    ids = fx.table(spark, sf, "labels").select(F.col("doc_id").alias("idx"))
+    return shards.stored_items(spark, _stored(spark, sf), ids)
+
+
+@query
+def stored_range(spark, sf):
+    return shards.stored_range(spark, _stored(spark, sf), 100, 700)
+
+
 # --- sinks
 
 

@@ -14,11 +14,13 @@ from harkline.operators.planning import chunk_ranges, chunk_summary
 from harkline.operators.resume import MAX_RETRIES
 from harkline.operators.telemetry import parse_gpu, parse_metrics, queue_shares, telemetry_alerts
 from harkline.plans import reports, runs
+from harkline.plans.runs import manifest_attempt
 from harkline.session import build_session, clear_scratch
 from harkline.sources.files import read_lines
 from harkline.sources.manifest import SUBSETS, list_media, write_chunks, write_manifest
 from harkline.sources.payloads import audio_probe, probe_summary
 from harkline.sources.results import bad_records, latest_own_run, latest_run
+from harkline.streaming.intake import stream_annotate
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -64,6 +66,11 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--rtf-share", type=float, default=0.0)
     sub.add_argument("--index", help="folder that keeps the numbered index for all ranges")
     model_options(sub, 400)
+    sub = command("annotate-arriving", "annotate manifests as they arrive in a folder")
+    sub.add_argument("folder")
+    sub.add_argument("--state", required=True, help="folder of the stream's checkpoint")
+    sub.add_argument("--once", action="store_true", help="take what is there and end")
+    model_options(sub, 400)
     sub = command("merge", "best record per key of result logs")
     sub.add_argument("logs", nargs="+")
     sub.add_argument("--out", required=True)
@@ -76,6 +83,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--total", type=int)
     sub.add_argument("--key", default="utt", choices=["utt", "idx"])
     sub.add_argument("--watch", type=float, help="seconds between reports")
+    sub.add_argument("--state", help="folder that keeps the state of one log folder: only files new since the last report are read")
     sub = command("estimate", "GPU-hour forecasts from a finished run")
     sub.add_argument("logs", nargs="+")
     sub.add_argument("--names", nargs="+")
@@ -109,7 +117,11 @@ def _show(df: DataFrame, save: str | None = None, name: str = "report") -> None:
 def _progress(spark: SparkSession, args: argparse.Namespace) -> None:
     before = None
     while True:
-        frames = reports.progress_of(spark, args.logs, args.manifest, args.total, args.key)
+        if args.state:
+            (log,) = args.logs
+            frames = reports.progress_since(spark, log, args.state, args.manifest, args.total, args.key)
+        else:
+            frames = reports.progress_of(spark, args.logs, args.manifest, args.total, args.key)
         for frame in frames.values():
             _show(frame)
         if not args.watch:
@@ -159,6 +171,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
                 stored_index=args.index, rtf_share=args.rtf_share, **options,
             )
         _show(log.groupBy("status").agg(F.count("*").alias("lines")))
+    elif args.command == "annotate-arriving":
+        attempt = manifest_attempt(
+            http_client(args.base_url, args.timeout), args.model, args.threads, temperature=args.temperature, max_tokens=args.max_tokens
+        )
+        stream_annotate(
+            spark, args.folder, args.log, args.state, args.run_id, attempt, args.max_retries, None if args.once else "30 seconds"
+        ).awaitTermination()
     elif args.command == "merge":
         _show(reports.merge_logs(spark, args.logs, args.out, args.tsv, args.key, not args.last))
     elif args.command == "progress":

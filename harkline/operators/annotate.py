@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import time
 import urllib.request
 from collections.abc import Callable, Iterator
@@ -49,14 +50,19 @@ def http_client(base_url: str, timeout: float = 180.0) -> ClientFactory:
     return factory
 
 
-def _attempt(client: Client, request: str | None, problem: str | None) -> tuple[str | None, str | None, float]:
+def _attempt(client: Client, request: str | None, problem: str | None) -> tuple:
+    """Response, error, seconds and the time when the call ended."""
     began = time.monotonic()
+
+    def ended() -> tuple[float, datetime.datetime]:
+        return time.monotonic() - began, datetime.datetime.now(datetime.timezone.utc)
+
     if problem is not None or request is None:
-        return None, problem or "no request", 0.0
+        return None, problem or "no request", 0.0, ended()[1]
     try:
-        return client(request), None, time.monotonic() - began
+        return client(request), None, *ended()
     except Exception as failure:
-        return None, str(failure) or type(failure).__name__, time.monotonic() - began
+        return None, str(failure) or type(failure).__name__, *ended()
 
 
 def annotate(
@@ -66,19 +72,20 @@ def annotate(
     error: str = "request_error",
     threads: int = 16,
 ) -> DataFrame:
-    """Call the model once for each row: - request, + response, call_error, processing_time.
+    """Call the model once for each row: - request, + response, call_error, processing_time, ts (end of the call).
 
     A row whose `error` column is set is not sent. At most `threads` calls of a task
     are under way and as many wait, across batches; a failed call fails its row only.
     Write the result once and read it back: evaluating it again calls again.
     """
-    kept = [f for f in requests.schema.fields if f.name not in (request, error)]
+    kept = [f for f in requests.schema.fields if f.name not in (request, error, "ts")]
     schema = T.StructType(
         kept
         + [
             T.StructField("response", T.StringType()),
             T.StructField("call_error", T.StringType()),
             T.StructField("processing_time", T.DoubleType()),
+            T.StructField("ts", T.TimestampType()),
         ]
     )
     names = [f.name for f in kept]
@@ -95,7 +102,7 @@ def annotate(
             done.extend((*under_way.pop(f), *f.result()) for f in finished)
 
         def frame() -> pa.RecordBatch:
-            types = [*kinds, pa.string(), pa.string(), pa.float64()]
+            types = [*kinds, pa.string(), pa.string(), pa.float64(), pa.timestamp("us", tz="UTC")]
             arrays = [pa.array([row[i] for row in done], kind) for i, kind in enumerate(types)]
             done.clear()
             return pa.RecordBatch.from_arrays(arrays, schema.names)
@@ -127,7 +134,7 @@ def result_record(annotated: DataFrame, key: str = "utt") -> DataFrame:
         F.col("call_error"), F.when(answer["content"].isNull(), F.lit("no content in response"))
     )
     ok = F.col("error").isNull()
-    only_ok = ["audio_duration", "audio_duration_error", "sample_rate", "mime_type", "compressed_size"]
+    only_ok = ["audio_duration", "audio_duration_error", "sample_rate", "mime_type", "compressed_size", "sample_weight"]
     others = [c for c in annotated.columns if c not in (key, "response", "call_error", "processing_time", "retry_attempt", *only_ok)]
 
     def when_ok(value: Column, name: str) -> Column:

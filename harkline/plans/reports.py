@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harkline.operators.merge import counted_stats, merge_counted
@@ -14,6 +14,7 @@ from harkline.session import written
 from harkline.sources.files import read_lines
 from harkline.sources.manifest import manifest_profile
 from harkline.sources.results import log_span, read_results, write_merged
+from harkline.streaming.logs import progress_view, stream_progress
 
 
 def merge_logs(
@@ -35,6 +36,12 @@ def merge_logs(
     return counted_stats(counted, key)
 
 
+def _expected(spark: SparkSession, manifest: str | None, total: int | None) -> int | Column | None:
+    if total is None and manifest:
+        return manifest_profile(read_lines(spark, manifest)).select("progress_total").scalar()
+    return total
+
+
 def progress_of(
     spark: SparkSession, log_paths: str | Iterable[str], manifest: str | None = None, total: int | None = None, key: str = "utt"
 ) -> dict[str, DataFrame]:
@@ -44,16 +51,26 @@ def progress_of(
     """
     columns = [key, "status", "error", "processing_time", "audio_duration", "retry_attempt"]
     log = written(read_results(spark, log_paths, columns).select(*columns, "pos"), "log")
-    expected = total
-    if expected is None and manifest:
-        expected = manifest_profile(read_lines(spark, manifest)).select("progress_total").scalar()
     return {
-        "summary": progress_report(progress_stats(log, key), expected, log_span(spark, log_paths).scalar()),
+        "summary": progress_report(progress_stats(log, key), _expected(spark, manifest, total), log_span(spark, log_paths).scalar()),
         "retries": retry_distribution(log),
         "errors": top_errors(log),
     }
 
 
+def progress_since(
+    spark: SparkSession, log_path: str, state: str, manifest: str | None = None, total: int | None = None, key: str = "utt"
+) -> dict[str, DataFrame]:
+    """The summary of a run whose counters are kept in `state`: only files that came since are read.
+
+    Files of the log are read once; a file that grows afterwards is not read again (those
+    that runs of this package write never do).
+    """
+    stream_progress(spark, log_path, state, key, interval=None).awaitTermination()
+    stats = progress_view(spark, state, key)
+    return {"summary": progress_report(stats, _expected(spark, manifest, total), log_span(spark, log_path).scalar())}
+
+
 def forecast_of(
     spark: SparkSession,
     log_paths: str | Iterable[str],

@@ -16,7 +16,7 @@ from harkline.operators.throughput import sample_weighted
 from harkline.session import written
 from harkline.sources.manifest import read_manifest
 from harkline.sources.payloads import content_duration, load_payload
-from harkline.sources.shards import read_shard_index, shard_files, slice_shards
+from harkline.sources.shards import read_shard_index, shard_files, slice_shards, store_shard_index, stored_range
 
 Attempt = Callable[[DataFrame], DataFrame]
 
@@ -59,7 +59,10 @@ def shard_attempt(
             # decide by key first: only sampled payloads are looked into
             drawn = sample_weighted(sliced.withColumn("audio_duration", F.lit(1.0)), rtf_share, "idx")
             sliced = drawn.withColumn("audio_duration", content_duration(F.when(F.col("sampled"), content)))
-        kept = ["idx", "retry_attempt", "compressed_size", *[c for c in ("audio_duration", "chunk_id") if c in sliced.columns]]
+            # a sampled item without duration stands for itself only
+            sliced = sliced.withColumn("sample_weight", F.when(F.col("audio_duration").isNotNull(), F.col("sample_weight")).otherwise(1.0))
+        kept = ["idx", "retry_attempt", "compressed_size"]
+        kept += [c for c in ("audio_duration", "sample_weight", "chunk_id") if c in sliced.columns]
         request = build_request(data_url(content, F.col("mime_type")), model, temperature, max_tokens)
         requests = sliced.withColumn("mime_type", mime_by_magic(content)).select(
             *kept,
@@ -111,7 +114,11 @@ def run_shards(
 
     Runs over several ranges share the numbered index in `stored_index`.
     """
-    index = range_slice(read_shard_index(spark, path, stored_index), start, end)
+    if stored_index:
+        store_shard_index(spark, path, stored_index)
+        index = stored_range(spark, stored_index, start, end)
+    else:
+        index = range_slice(read_shard_index(spark, path), start, end)
     attempt = shard_attempt(shard_files(spark, path), client, model, **options)
     # slicing places the rows itself
     return annotate_retry(

@@ -26,6 +26,8 @@ RECORD = {
     "sample_rate": "bigint",
     "mime_type": "string",
     "compressed_size": "bigint",
+    "sample_weight": "double",
+    "ts": "timestamp",
 }
 
 

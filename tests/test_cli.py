@@ -114,3 +114,28 @@ def test_the_package_is_sent_along_whole(folder):
 def test_operators_run_in_a_local_session(spark):
     df = spark.createDataFrame([("a",)], "request string")
     assert annotate(df, lambda: str.upper).head().response == "A"
+
+
+def test_progress_with_kept_state(shell, folder):
+    """The second report reads the new file only: the first one may even be gone."""
+    put(f"{folder}/log/1.jsonl", '{"utt": "a", "status": "ok", "processing_time": 1}\n{"utt": "b", "status": "fail"}\n')
+    report = shell("progress", f"{folder}/log", "--state", f"{folder}/state", "--total", 4)
+    assert "total_lines | 2 " in " ".join(report.split())
+    os.remove(f"{folder}/log/1.jsonl")
+    put(f"{folder}/log/2.jsonl", '{"utt": "b", "status": "ok", "processing_time": 3}\n')
+    report = " ".join(shell("progress", f"{folder}/log", "--state", f"{folder}/state", "--total", 4).split())
+    assert "total_lines | 3 " in report and "successful | 2 " in report
+
+
+def test_annotate_arriving(shell, spark, folder):
+    """Without a model every call fails, three times; the second start has nothing left to do."""
+    put(f"{folder}/a.flac", flac(16000, 1, 32000))
+    put(f"{folder}/in/1.scp", f"u1 {folder}/a.flac\nu2 {folder}/gone.flac\n")
+    for _ in range(2):
+        shell(
+            "annotate-arriving", f"{folder}/in", "--state", f"{folder}/state", "--log", f"{folder}/log", "--once",
+            "--base-url", "http://127.0.0.1:9/v1", "--model", "m", "--timeout", 2,
+        )
+    records = [json.loads(r.value) for r in read_lines(spark, f"{folder}/log").collect()]
+    assert sorted((r["utt"], r["status"], r["retry_attempt"]) for r in records) == [(u, "fail", n) for u in ("u1", "u2") for n in (1, 2, 3)]
+    assert all(r["ts"] for r in records)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harkline.operators import annotate as ann
-from harkline.operators import merge, progress, resume
+from harkline.operators import merge, progress, resume, throughput
 from harkline.plans import reports, runs
 from harkline.sources.files import read_lines
 from harkline.sources.results import latest_own_run, log_span, read_results
@@ -142,6 +142,28 @@ def test_calls_overlap_within_a_task(spark):
 LINES = ['{"utt": "u%d", "status": "%s", "caption": "c%d", "error": "e", "processing_time": 1.0, "retry_attempt": 1}' % (i % 37, ["fail", "fail", "ok"][(i * 7) % 3], i) for i in range(900)]
 
 
+def test_records_carry_time_and_weight(spark, folder):
+    """Throughput and real-time factor of a finished run come from its own log."""
+    blobs = [flac(16000, 1, 32000) + f"|s{i}|".encode() for i in range(30)]
+    put(f"{folder}/arkive_000.bin", b"".join(blobs))
+    rows = [(0, sum(map(len, blobs[:i])), len(b)) for i, b in enumerate(blobs)]
+    spark.createDataFrame(rows, "bin_index int, start_byte_offset bigint, file_size_bytes int").write.parquet(f"{folder}/metadata.parquet")
+    os.makedirs(f"{folder}/calls")
+    log = runs.run_shards(
+        spark, folder, f"{folder}/log", "r", stub(f"{folder}/calls", fail=["s3"]), "m", rtf_share=0.5, stored_index=f"{folder}/numbered"
+    )
+    got = log.collect()
+    assert all(abs(r.ts.timestamp() - time.time()) < 600 for r in got)
+    drawn = [r for r in got if r.audio_duration is not None]
+    assert 0 < len(drawn) < 30 and {r.sample_weight for r in drawn} == {2.0}
+    assert {r.sample_weight for r in got if r.status == "ok" and r.audio_duration is None} == {1.0}
+    stats = throughput.throughput_stats(log, weight="sample_weight").first()
+    assert stats.processed == 29 and stats.elapsed_seconds == (max(r.ts for r in got) - min(r.ts for r in got)).total_seconds()
+    assert abs(stats.audio_hours - 2.0 * 2.0 * len(drawn) / 3600) < 1e-9
+    weighted = throughput.run_metrics(log, "sample_weight").first()
+    assert weighted.rtf_latency_weighted == 2 * weighted.rtf_latency
+
+
 def write_batches(folder, lines, parts):
     size = len(lines) // parts
     for n in range(parts):

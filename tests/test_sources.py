@@ -5,6 +5,7 @@ import json
 import os
 import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,3 +237,94 @@ def test_stored_index(spark, shard_folder):
     plan = planning.range_slice(again, 10, 20)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(idx,10)" in plan and "LessThan(idx,20)" in plan
     assert sorted(r.idx for r in planning.range_slice(again, 10, 20).collect()) == list(range(10, 20))
+
+
+def test_index_is_built_again_when_the_shards_have_grown(spark, shard_folder):
+    folder, _, rows = shard_folder
+    stored = f"{folder}/numbered"
+    assert shards.read_shard_index(spark, folder, stored).count() == len(rows)
+    more = spark.createDataFrame([(11, 5000, 10, 8000)], "bin_index int, start_byte_offset bigint, file_size_bytes int, sample_rate int")
+    more.write.mode("append").parquet(f"{folder}/metadata.parquet")
+    grown = shards.read_shard_index(spark, folder, stored).orderBy("idx").collect()
+    assert len(grown) == len(rows) + 1 and [r.idx for r in grown] == list(range(len(grown)))
+    assert [tuple(r) for r in grown] == [tuple(r) for r in shards.read_shard_index(spark, folder).orderBy("idx").collect()]
+    # a build that was broken off before its last step is made again
+    os.remove(f"{stored}/_source/_SUCCESS")
+    made = {name: os.stat(f"{stored}/{name}").st_mtime_ns for name in os.listdir(stored) if name.endswith(".parquet")}
+    assert shards.read_shard_index(spark, folder, stored).count() == len(rows) + 1
+    assert not set(made) & set(os.listdir(stored))
+
+
+def files_read(df):
+    return len(df.inputFiles())
+
+
+def test_stored_parts_read_few_files(spark, folder):
+    rows = [(i // 500, (i % 500) * 10, 10) for i in range(20_000)]
+    frame = spark.createDataFrame(rows, "bin_index int, start_byte_offset bigint, file_size_bytes int")
+    frame.write.parquet(f"{folder}/metadata.parquet")
+    stored = f"{folder}/numbered"
+    session = spark.newSession()
+    for name, value in (("spark.sql.shuffle.partitions", "16"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+        session.conf.set(name, value)
+    shards.store_shard_index(session, folder, stored)
+    whole = spark.read.parquet(stored)
+    assert files_read(whole) == 16
+    ids = spark.createDataFrame([(3,), (3,), (4,), (19_999,), (20_000,), (-1,), (None,)], "idx bigint")
+    some = shards.stored_items(spark, stored, ids)
+    assert sorted(r.idx for r in some.collect()) == [3, 4, 19_999] and files_read(some) <= 3
+    part = shards.stored_range(spark, stored, 5_000, 5_100)
+    assert sorted(r.idx for r in part.collect()) == list(range(5_000, 5_100)) and files_read(part) <= 2
+    assert shards.stored_range(spark, stored, 19_990).count() == 10 and shards.stored_range(spark, stored, 30_000).count() == 0
+    assert shards.stored_range(spark, stored, 5, 5).count() == 0 and shards.stored_items(spark, stored, ids.where("idx < 0")).count() == 0
+
+
+class _Counted:
+    """A shard in memory that notes its reads and can't read across `broken`."""
+
+    def __init__(self, data, reads, broken=None):
+        self.data, self.reads, self.broken, self.at = data, reads, broken, 0
+
+    def seek(self, at):
+        self.at = at
+
+    def read(self, size):
+        if self.broken is not None and self.at <= self.broken < self.at + size:
+            raise OSError("broken block")
+        self.reads.append((self.at, size))
+        return self.data[self.at:self.at + size]
+
+    def close(self):
+        pass
+
+
+def slices_of(rows, data, broken=None):
+    reads = []
+    batch = pa.RecordBatch.from_pylist(
+        [{"path": p, "bin_index": b, "start": s, "size": n} for p, b, s, n in rows],
+        pa.schema([("path", pa.string()), ("bin_index", pa.int64()), ("start", pa.int64()), ("size", pa.int64())]),
+    )
+    out = [r for b in shards._slices(iter([batch]), lambda path: _Counted(data[path], reads, broken)) for r in b.to_pylist()]
+    return [(r["content"], r["error"]) for r in out], reads
+
+
+def test_neighbouring_ranges_in_one_read(monkeypatch):
+    monkeypatch.setattr(shards, "READ_GAP", 50)
+    monkeypatch.setattr(shards, "READ_BYTES", 2000)
+    data = {"a": os.urandom(10_000), "b": os.urandom(500)}
+    rows = [("a", 0, i * 100, 80) for i in range(100)] + [("b", 1, 0, 100), ("b", 1, 50, 100), ("b", 1, 480, 100), ("b", 1, 900, 5)]
+    got, reads = slices_of(rows, data)
+    assert got == [(data[p][s:s + n], None) for p, _, s, n in rows]
+    assert len(reads) == 5 + 3 and all(size <= 2000 for _, size in reads)
+    # gaps that are too wide, a range above the bound, order that goes back
+    rows = [("a", 0, 0, 10), ("a", 0, 61, 10), ("a", 0, 100, 9000), ("a", 0, 50, 10)]
+    got, reads = slices_of(rows, data)
+    assert got == [(data[p][s:s + n], None) for p, _, s, n in rows] and len(reads) == 4
+
+
+def test_a_bad_range_fails_its_own_row(monkeypatch):
+    data = {"a": bytes(1000)}
+    rows = [("a", 0, 0, 10), ("a", 0, None, 10), ("a", 0, 20, 10), ("a", 0, 30, 10), (None, 7, 0, 5), ("a", 0, 40, -1), ("a", 0, 50, 10)]
+    got, _ = slices_of(rows, data, broken=35)
+    assert [e for _, e in got] == [None, "bad range None+10", None, "broken block", "no shard 7", "bad range 40+-1", None]
+    assert [c for c, _ in got][2] == bytes(10) and len(got) == len(rows)
