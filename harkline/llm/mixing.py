@@ -1,7 +1,9 @@
 """Mixing sources to target weights, with DataFrame operations only.
 
 Each source's words are packed, document after document, into blocks of `BLOCK_WORDS`
-words. A source takes as many blocks as its target asks for. All taken blocks together are
+words; those of a source with a small target into shorter ones, down to a word, so that no
+source vanishes and all meet their targets within a hundredth or a word. A source takes as
+many blocks as its target asks for. All taken blocks together are
 the slots of the mix: a pseudorandom permutation deals them to output shards of
 `SHARD_SLOTS` slots, so that each shard's source counts are a multinomial draw given the
 totals. Slot i of a source maps to a block by a pseudorandom permutation of the source's
@@ -36,14 +38,17 @@ SHARE = 1.5
 MOST = 2.0
 
 BLOCK_WORDS = 64
+#: Blocks that a source takes at least, if it has the words.
+LEAST_BLOCKS = 64
 SHARD_SLOTS = 1 << 14
 ROUNDS = 24
 SEED = 11
 
 #: Documents of a group, and groups of a group of groups, on average.
 GROUP = 1 << 12
-#: Slots made from one row at a time.
+#: Slots made from one row at a time, and such rows made from one row.
 CHUNK = 1 << 12
+CHUNKS = 1 << 12
 CHUNKS_A_TASK = 16
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -150,26 +155,38 @@ def place(docs: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def block_words(target: Column) -> Column:
+    """Words in a block of a source."""
+    return F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.floor(target / LEAST_BLOCKS))).cast("long")
+
+
 def slots(targets: DataFrame) -> DataFrame:
     """Every slot of the mix: `shard`, `slot`, and the `no`, `block` and `turn` it takes."""
-    blocks = F.ceil(F.col("source_size") / F.lit(BLOCK_WORDS)).cast("long")
-    taken = F.least(F.round(F.col("target") / F.lit(BLOCK_WORDS)).cast("long"), blocks * int(MOST))
+    length = block_words(F.col("target"))
+    blocks = F.ceil(F.col("source_size") / length).cast("long")
+    taken = F.least(F.round(F.col("target") / length).cast("long"), blocks * int(MOST))
     counted = targets.select("no", blocks.alias("blocks"), taken.alias("slots")).where("slots > 0")
     counted = counted.select(
         "*",
         (F.sum("slots").over(Window.orderBy("no")) - F.col("slots")).alias("first"),
         F.sum("slots").over(Window.partitionBy(F.lit(0))).alias("all"),
     )
-    chunks = counted.withColumn(
-        "from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(CHUNK).cast("long")))
-    )
-    # chunks of equal size spread by number, so no source is one task; a few rows stand for
-    # many slots, so adaptive execution must not join the partitions
-    tasks = targets.agg(F.sum(F.col("target"))).head()[0] or 0
-    tasks = max(1, math.ceil(tasks / BLOCK_WORDS / CHUNK / CHUNKS_A_TASK))
+    # chunks of equal size spread by number, so no source is one task and no row holds more
+    # than CHUNKS of them; a few rows stand for many slots, so adaptive execution must not
+    # join the partitions
+    total = counted.agg(F.sum("slots")).head()[0] or 0
+    tasks = max(1, math.ceil(total / CHUNK / CHUNKS_A_TASK))
+    wide = CHUNK * CHUNKS
+
+    def numbers(first: Column, last: Column, step: int) -> Column:
+        return F.explode(F.sequence(first, last, F.lit(step).cast("long")))
+
+    groups = counted.withColumn("group", numbers(F.lit(0).cast("long"), F.col("slots") - 1, wide))
+    in_group = F.least(F.col("group") + wide, F.col("slots")) - 1
+    chunks = groups.withColumn("from", numbers(F.col("group"), in_group, CHUNK))
     single = (
         chunks.repartition(tasks, "no", "from")
-        .withColumn("i", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + CHUNK, F.col("slots")) - 1)))
+        .withColumn("i", numbers(F.col("from"), F.least(F.col("from") + CHUNK, F.col("slots")) - 1, 1))
     )
     dealt = permuted(F.col("first") + F.col("i"), F.col("all"), F.lit("shard"))
     turn = _div(F.col("i"), F.col("blocks"))
@@ -186,11 +203,13 @@ def slots(targets: DataFrame) -> DataFrame:
 
 def pieces_of(placed: DataFrame) -> DataFrame:
     """Each document's part in each block: `row`, `size`, `no`, `block`, `from` (0-based word), `n` words."""
-    first = _div(F.col("start"), BLOCK_WORDS)
-    last = _div(F.col("start") + F.col("size") - 1, BLOCK_WORDS)
-    spread = placed.where("size > 0").select("row", "no", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
-    begin = F.greatest(F.col("block") * BLOCK_WORDS - F.col("start"), F.lit(0).cast("long"))
-    end = F.least((F.col("block") + 1) * BLOCK_WORDS - F.col("start"), F.col("size"))
+    length = F.col("length")
+    first = _div(F.col("start"), length)
+    last = _div(F.col("start") + F.col("size") - 1, length)
+    sized_blocks = placed.where("size > 0").withColumn("length", block_words(F.col("target")))
+    spread = sized_blocks.select("row", "no", "start", "size", "length", F.explode(F.sequence(first, last)).alias("block"))
+    begin = F.greatest(F.col("block") * length - F.col("start"), F.lit(0).cast("long"))
+    end = F.least((F.col("block") + 1) * length - F.col("start"), F.col("size"))
     return spread.select("row", "size", "no", "block", begin.alias("from"), (end - begin).alias("n"))
 
 

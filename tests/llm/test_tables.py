@@ -263,10 +263,38 @@ def test_mix(spark, docs, empty):
             taken[near[0]] += r.taken
         for s in size:
             assert abs(taken[s] - target[s]) <= 4 * mixing.BLOCK_WORDS, s
+            assert target[s] < 1 or taken[s] > 0
         assert sorted(map(tuple, mixing.mix_report(frame).collect()), key=str) == sorted(map(tuple, got), key=str)
     assert mixing.mix_report(empty).count() == 0
 
 
+def test_mix_of_many_small_sources(spark):
+    """A thousand sources of 1 to 40 words and a large one: none vanishes, all meet their targets."""
+    rows = [(i, " ".join(["w"] * (1 + i % 40)), f"s{i:04d}") for i in range(1000)] + [(1000, "word " * 50_000, "t")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.mix_report(frame).collect()
+    target = plain_targets(collections.Counter({s: len(t.split()) for _, t, s in rows}))
+    by_source = {s: (r.taken, r.target) for r in got for i, _, s in rows if i == r.doc_id}
+    for s, (taken, wanted) in by_source.items():
+        assert math.isclose(wanted, target[s], abs_tol=1e-6) and abs(taken - wanted) <= max(1, wanted / 50), s
+    assert abs(sum(t for t, _ in by_source.values()) - sum(target.values())) <= 0.01 * sum(target.values())
+    mixed = mixing.mixed_documents(frame.withColumn("n_chars", F.length("text")))
+    words = collections.Counter()
+    for r in mixed.collect():
+        words[r.source] += len(r.text.split())
+    assert set(words) == {s for s, (taken, _) in by_source.items() if taken}
+    assert all(words[s] == taken for s, (taken, _) in by_source.items() if s != "t")
+
+
+def test_slots_of_a_large_source_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 8)
+    monkeypatch.setattr(mixing, "CHUNKS", 4)
+    targets = spark.createDataFrame([("a", 0, 64 * 301, 64 * 450.0), ("b", 1, 3, 6.0)], "source string, no long, source_size long, target double")
+    rows = mixing.slots(targets).collect()
+    assert sorted(r.shard * mixing.SHARD_SLOTS + r.slot for r in rows) == list(range(456))
+    assert sorted((r.turn, r.block) for r in rows if r.no == 1) == [(t, b) for t in (0, 1) for b in range(3)]
+
+
 def test_permutations(spark):
     for n in (1, 2, 3, 7, 64, 1000):
         got = [r[0] for r in spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit("k"))).collect()]
