@@ -143,7 +143,8 @@ class PieceEncoder:
 
     Pieces are found and told apart (by a 64-bit hash) for all texts of a batch at once; only
     pieces not seen lately are encoded. Long pieces and texts with white space beyond ASCII
-    are not taken apart.
+    are not taken apart. The library finds its added tokens in a whole text before all
+    else: a text that holds the string of one goes to it whole.
     """
 
     def __init__(self, path: str):
@@ -151,7 +152,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self._added = [t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values() if t.content]
         self._model = self._tokenizer.model
         self._byte_letters = byte_letters()
         self._head = regex.compile(r" ?\p{L}+")
@@ -207,6 +208,16 @@ class PieceEncoder:
             self._slots = np.insert(self._slots, at[new], slots[new])
         return slots
 
+    def _places_of_added(self, data: bytes) -> list[int]:
+        """Where strings of added tokens begin."""
+        places = []
+        for content in self._added:
+            at = data.find(content)
+            while at >= 0:
+                places.append(at)
+                at = data.find(content, at + 1)
+        return places
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each text (null: none)."""
         data, lengths = joined_bytes(column)
@@ -220,11 +231,15 @@ class PieceEncoder:
         wide = np.unique(np.searchsorted(ends_at, _wide_spaces(data), side="right"))
         for row in wide:
             cut[starts_at[row] + 1:ends_at[row]] = False
+        raw = data.tobytes()
+        whole = np.zeros(len(data) + 1, dtype=bool)
+        for row in np.unique(np.searchsorted(ends_at, self._places_of_added(raw), side="right")):
+            cut[starts_at[row] + 1:ends_at[row]] = False
+            whole[starts_at[row]] = True
         starts = np.flatnonzero(cut[:-1])
         ends = np.concatenate((starts[1:], [len(data)])) if len(starts) else starts
-        raw = data.tobytes()
-        long = np.flatnonzero(ends - starts > LONGEST_PIECE)
-        short = np.flatnonzero(ends - starts <= LONGEST_PIECE)
+        apart = (ends - starts > LONGEST_PIECE) | whole[starts]
+        long, short = np.flatnonzero(apart), np.flatnonzero(~apart)
         keys, first, inverse = np.unique(
             word_hashes(data, starts[short], ends[short]), return_index=True, return_inverse=True
         )
@@ -301,7 +316,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
     """
     source = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
-    placed = source.repartitionByRange(order[0]).sortWithinPartitions(*order)
+    # ranges of both: many rows without id or of one id are no single task
+    placed = source.repartitionByRange(*order).sortWithinPartitions(*order)
     key = source.schema["doc_id"].dataType
     schema = T.StructType(
         [

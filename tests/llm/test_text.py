@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import struct
+import tempfile
 import zlib
 
 import numpy as np
@@ -102,7 +103,6 @@ def test_frequent_ids_are_short():
 def test_piece_encoder():
     encoder = tokens.PieceEncoder(queries.TOKENIZER)
     plain = Tokenizer.from_file(queries.TOKENIZER)
-    plain.encode_special_tokens = True
     r = random.Random(5)
     parts = ["a", "b", " ", "  ", "\n", "'s", "re", "é", "日本", "1", "!!", " the", "\x1c", " ", " ", "🙂", "<|endoftext|>", "q" * 70]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(3000)]
@@ -112,10 +112,32 @@ def test_piece_encoder():
         assert ids[end - count:end].tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_are_the_library_s_own():
+    """At the start, at the end, in a word, repeated, over the border of two texts."""
+    token = "<|endoftext|>"
+    texts = [
+        token, f"{token} a", f"a b {token}", f"wo{token}rd", f"a  {token}  b", token * 3, f"{token}\n{token} x", f"é{token}\u00a0{token}",
+        token[:6], token[6:], "plain words", f"<|endoftext{token}", "q" * 500 + token + " end", "",
+    ]
+    plain = Tokenizer.from_file(queries.TOKENIZER)
+    ids, counts = tokens.PieceEncoder(queries.TOKENIZER).encode(pa.array(texts))
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert plain.token_to_id(token) in want[3]
+
+
+def test_many_rows_without_id_are_many_tasks(spark):
+    rows = [(None, f"text {i % 40} of many") for i in range(400)] + [(7, f"again {i % 30}") for i in range(200)]
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    frame = session.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    files = tokens.write_token_files(frame, tempfile.mkdtemp(prefix="tokens-"), queries.TOKENIZER, 2).collect()
+    assert len({r.part for r in files}) > 1 and sum(r.documents for r in files) == 600
+
+
 def test_token_files(spark, docs, empty, monkeypatch):
     monkeypatch.setattr(tokens, "FILE_IDS", 2000)
     plain = Tokenizer.from_file(queries.TOKENIZER)
-    plain.encode_special_tokens = True
     got = tokens.token_file_report(spark, docs, queries.TOKENIZER, 2).orderBy("start").collect()
     order = sorted(ROWS, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or ""))
     start, want = 0, []
