@@ -100,13 +100,21 @@ def _url_sql() -> str:
     fits = [f"(h = '{r.host}' OR ends_with(h, '.{r.host}')) AND starts_with(p, '{r.path}')" for r in ordered]
     rule = "CASE " + " ".join(f"WHEN {f} THEN '{r.host}{r.path}'" for f, r in zip(fits, ordered)) + " END"
     action = "CASE " + " ".join(f"WHEN {f} THEN '{r.action}'" for f, r in zip(fits, ordered)) + " END"
-    link = "'(?is)<link[^>]*rel=.?canonical[^>]*href=.?([^\"''\\s>]+)'"
-    refresh = "'(?is)<meta[^>]*http-equiv=.?refresh[^>]*url=.?([^\"''\\s>]+)'"
+    # whole links only: relative ones, `base` and character references are in the tests
+    markup = "regexp_replace(coalesce(html, ''), '(?is)<!--.*?(-->|\\z)|<(script|style)\\b.*?(</(script|style)\\s*>|\\z)', ' ', 'g')"
+
+    def linked(tag, mark, target):
+        tags = f"regexp_extract_all({markup}, '(?is)<{tag}[^>]*>')"
+        first = f"[x FOR x IN {tags} IF regexp_matches(x, '{mark}')][1]"
+        return f"regexp_replace(regexp_extract(coalesce({first}, ''), '{target}', 1), '#.*', '')"
+
+    link = linked("link", "(?is)\\srel\\s*=[^=]*\\bcanonical\\b", "(?is)\\shref\\s*=\\s*.?([^\"''\\s>]+)")
+    refresh = linked("meta", "(?is)\\shttp-equiv\\s*=.?refresh", "(?is)\\burl\\s*=\\s*([^\"''\\s>]+)")
     return f"""
 WITH RECURSIVE edge AS (
   SELECT url AS a, {plain("url")} AS b FROM pages
-  UNION SELECT url, regexp_extract(html, {link}, 1) FROM pages
-  UNION SELECT url, regexp_extract(html, {refresh}, 1) FROM pages
+  UNION SELECT url, {link} FROM pages
+  UNION SELECT url, {refresh} FROM pages
 ), known AS (SELECT a, b FROM edge WHERE instr(a, '://') > 0 AND instr(b, '://') > 0),
 both_ways AS (SELECT a, b FROM known UNION SELECT b, a FROM known),
 reach AS (

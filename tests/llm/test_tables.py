@@ -396,6 +396,45 @@ def test_aliases(spark):
     assert urls.judge(none, rules).count() == 0 and urls.judge(spark.createDataFrame(pages, none.schema), []).count() == len(pages)
 
 
+BLOCKED = "https://bad.net/es/x"
+
+
+LINKS = [
+    (f'<!-- <link rel="canonical" href="{BLOCKED}"> -->', "allow"),
+    (f'<!-- never closed <link rel="canonical" href="{BLOCKED}">', "allow"),
+    (f'<script>var x = \'<link rel="canonical" href="{BLOCKED}">\'</script>', "allow"),
+    (f'<style>/* <link rel=canonical href={BLOCKED}> */</style>', "allow"),
+    (f"<!-- a --><link rel='alternate canonical' href='{BLOCKED}'>", "block"),
+    (f'<link href="{BLOCKED}" rel="Canonical shortlink"/>', "block"),
+    (f'<link rel="notcanonical" href="{BLOCKED}"><link rel="canonical-ish" href="{BLOCKED}">', "allow"),
+    (f'<link rel="stylesheet" href="/s.css"><link rel=canonical href={BLOCKED}>', "block"),
+    (f'<link rel="canonical" href=" {BLOCKED}#part ">', "block"),
+    ('<link rel="canonical" href="?a=1&amp;b=2">', "block"),
+    ('<link rel="canonical" href="../fr/./q/../q">', "block"),
+    ('<link rel="canonical" href="../../../../fr/q">', "block"),
+    ('<link rel="canonical" href="//bad.net/es/x">', "block"),
+    ('<link rel="canonical" href="mailto:a@bad.net/es/x">', "allow"),
+    ('<link rel="canonical" href="">', "allow"),
+    ('<base href="https://bad.net/es/"><link rel="canonical" href="x">', "block"),
+    ('<base href="/fr/deep/"><link rel="canonical" href="../q">', "block"),
+    ("<meta http-equiv=refresh content='5; URL=\"https://bad.net/es/x\"'>", "block"),
+    ('<meta http-equiv="refresh" content="3;url= ../fr/q ">', "block"),
+    ("<link rel=canonical", "allow"),
+]
+
+
+def test_links_of_a_page(spark):
+    """Each case on a site of its own, with two more pages that are aliases of a blocked one."""
+    pages = []
+    for i, (markup, _) in enumerate(LINKS):
+        site = f"https://some{i}.org"
+        pages += [(i, f"{site}/en/p.htm?x#y", markup), (1000 + i, f"{site}/fr/q", f'<link rel="canonical" href="{BLOCKED}{i}">')]
+        pages += [(2000 + i, f"{site}/en/p.htm?a=1&b=2", f"<link rel='canonical' href='{BLOCKED}{i}'>")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.judge(frame, [urls.Rule("block", "net", "/es/")]).collect()}
+    assert [(m, got[i]) for i, (m, _) in enumerate(LINKS)] == LINKS
+
+
 # --- top-k
 
 
