@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import http.client
+import select
+import threading
 import time
+import urllib.error
+import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
@@ -33,17 +38,52 @@ _STRETCH = 1024
 
 
 def http_client(base_url: str, timeout: float = 180.0) -> ClientFactory:
-    """Factory of a client for a chat-completions server; it never retries by itself."""
+    """Factory of a client for a chat-completions server; it never sends a request twice.
+
+    Each thread of a task keeps its connection from call to call. One that the server has
+    closed meanwhile is opened anew before anything is sent on it.
+    """
+    parts = urllib.parse.urlsplit(base_url)
+    path = f"{parts.path.rstrip('/')}/chat/completions"
+    headers = {"Content-Type": "application/json"}
+
+    def by_proxy(request: str) -> str:
+        message = urllib.request.Request(f"{base_url.rstrip('/')}/chat/completions", data=request.encode("utf-8"), headers=headers)
+        with urllib.request.urlopen(message, timeout=timeout) as answer:
+            return answer.read().decode("utf-8")
 
     def factory() -> Client:
+        if urllib.request.getproxies().get(parts.scheme) and not urllib.request.proxy_bypass(parts.hostname):
+            return by_proxy
+        kept = threading.local()
+
+        def connection() -> http.client.HTTPConnection:
+            held = getattr(kept, "connection", None)
+            # something to read before a request was sent: the other side has closed it
+            if held is not None and held.sock is not None and not select.select([held.sock], [], [], 0)[0]:
+                return held
+            drop()
+            kind = http.client.HTTPSConnection if parts.scheme == "https" else http.client.HTTPConnection
+            kept.connection = kind(parts.hostname, parts.port, timeout=timeout)
+            return kept.connection
+
+        def drop() -> None:
+            if getattr(kept, "connection", None) is not None:
+                kept.connection.close()
+            kept.connection = None
+
         def call(request: str) -> str:
-            message = urllib.request.Request(
-                f"{base_url.rstrip('/')}/chat/completions",
-                data=request.encode("utf-8"),
-                headers={"Content-Type": "application/json"},
-            )
-            with urllib.request.urlopen(message, timeout=timeout) as answer:
-                return answer.read().decode("utf-8")
+            try:
+                link = connection()
+                link.request("POST", path, request.encode("utf-8"), headers)
+                answer = link.getresponse()
+                body = answer.read()
+            except BaseException:
+                drop()
+                raise
+            if answer.status >= 300:
+                raise urllib.error.HTTPError(base_url, answer.status, answer.reason, answer.headers, None)
+            return body.decode("utf-8")
 
         return call
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import stat
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harkline.functions.text import is_command, strip, two_fields, utt_from_path
-from harkline.session import local_path, written
+from harkline.session import local_path, scratch_path, written
 from harkline.sources.files import read_lines
 
 # Default subset folders and file suffixes of a listing.
@@ -101,24 +102,28 @@ def _children(folder: str) -> Iterator[tuple[str, bool, int, float]]:
             yield entry.path, folder_like, 0 if stat.S_ISDIR(info.st_mode) else info.st_size, info.st_mtime
 
 
-def _expand(batches: Iterator[pd.DataFrame], suffixes: tuple[str, ...], deep: bool) -> Iterator[pd.DataFrame]:
-    """Replace folder rows by their children (all files below them if `deep`)."""
+#: Folders that are opened for one row of a round; those found beyond go to the next round.
+OPENED = 32
+
+
+def _expand(batches: Iterator[pd.DataFrame], suffixes: tuple[str, ...], opened: int) -> Iterator[pd.DataFrame]:
+    """Files with one of the suffixes below folder rows, and the folders that are still to open."""
     columns = ["subset", "path", "is_dir", "length", "mtime"]
     out: list[tuple] = []
     for batch in batches:
         for row in batch.itertuples(index=False):
-            if not row.is_dir:
-                out.append(tuple(row))
-            todo = [row.path] if row.is_dir else []
-            while todo:
-                for path, folder, length, mtime in _children(todo.pop()):
-                    if folder and deep:
+            todo, left = deque([row.path]), opened
+            while todo and left:
+                left -= 1
+                for path, folder, length, mtime in _children(todo.popleft()):
+                    if folder:
                         todo.append(path)
-                    elif folder or path.endswith(suffixes):
-                        out.append((row.subset, path, folder, length, mtime))
+                    elif path.endswith(suffixes):
+                        out.append((row.subset, path, False, length, mtime))
                     if len(out) >= 5000:
                         yield pd.DataFrame(out, columns=columns)
                         out = []
+            out += [(row.subset, path, True, 0, 0.0) for path in todo]
     yield pd.DataFrame(out, columns=columns)
 
 
@@ -127,26 +132,30 @@ def list_media(
     root: str,
     subsets: list[str] | None = None,
     suffixes: list[str] | None = None,
-    spread_levels: int = 2,
+    opened: int = OPENED,
 ) -> DataFrame:
     """Media files below the subset folders: (subset, utt, src, length, mtime).
 
-    The tree is opened level by level and folders are spread over the tasks after
-    each, so neither the driver nor one task holds the listing. Missing subsets give
-    no rows; the suffix test is case-sensitive; hidden names count.
+    The tree is opened in rounds until no folder is left: each spreads the folders that the
+    one before left over all tasks, opens up to `opened` for each and writes what it finds,
+    so neither the driver nor one task holds the listing or a large subtree. Missing subsets give no
+    rows; the suffix test is case-sensitive; hidden names count; linked folders are not
+    opened.
     """
     ends = tuple(suffixes or SUFFIXES)
     base = local_path(root).rstrip("/")
     names = list(subsets or SUBSETS)
     seeds = {"subset": names, "path": [f"{base}/{n}" for n in names]}
-    rows = spark.createDataFrame(pa.table(seeds)).selectExpr(
-        "subset", "path", "true AS is_dir", "0L AS length", "0D AS mtime"
-    )
-    for _ in range(spread_levels):
-        rows = rows.mapInPandas(lambda it: _expand(it, ends, False), _LISTING).repartition(
-            spark.sparkContext.defaultParallelism, "path"
-        )
-    files = rows.mapInPandas(lambda it: _expand(it, ends, True), _LISTING)
+    folders = spark.createDataFrame(pa.table(seeds)).selectExpr("subset", "path", "true AS is_dir", "0L AS length", "0D AS mtime")
+    rounds: list[str] = []
+    while True:
+        rounds.append(scratch_path(spark, "listing"))
+        spread = folders.repartition(spark.sparkContext.defaultParallelism, "path")
+        spread.mapInPandas(lambda it: _expand(it, ends, opened), _LISTING).write.parquet(rounds[-1])
+        folders = spark.read.schema(_LISTING).parquet(rounds[-1]).where("is_dir")
+        if folders.isEmpty():
+            break
+    files = spark.read.schema(_LISTING).parquet(*rounds).where("not is_dir")
     return files.select(
         "subset",
         utt_from_path(F.col("path")).alias("utt"),

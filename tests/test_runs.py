@@ -2,6 +2,7 @@
 
 import json
 import os
+import socket
 import time
 import uuid
 
@@ -164,6 +165,51 @@ def test_records_carry_time_and_weight(spark, folder):
     assert weighted.rtf_latency_weighted == 2 * weighted.rtf_latency
 
 
+def test_http_client_keeps_its_connection(monkeypatch):
+    """One connection for a thread; a new one after an error or after the server closed it; no request twice."""
+    made = []
+
+    class Answer:
+        status, reason, headers = 200, "OK", {}
+        read = staticmethod(lambda: b'{"choices": []}')
+
+    class Connection:
+        def __init__(self, host, port, timeout):
+            self.ours, self.theirs = socket.socketpair()
+            self.sock, self.sent = self.ours, []
+            assert (host, port, timeout) == ("model", 8901, 5)
+            made.append(self)
+
+        def request(self, method, path, body, headers):
+            self.sent.append((method, path, body))
+            if body == b"lost":
+                raise ConnectionResetError("gone")
+
+        def getresponse(self):
+            answer = Answer()
+            answer.status = 503 if self.sent[-1][2] == b"busy" else 200
+            return answer
+
+        def close(self):
+            self.sock = None
+
+    monkeypatch.setattr(ann.http.client, "HTTPConnection", Connection)
+    monkeypatch.setattr(ann.urllib.request, "getproxies", dict)
+    call = ann.http_client("http://model:8901/v1/", 5)()
+    assert [call(x) for x in "ab"] == ['{"choices": []}'] * 2 and len(made) == 1
+    with pytest.raises(Exception, match="503"):
+        call("busy")
+    call("c")
+    assert len(made) == 1 and made[0].sent[0] == ("POST", "/v1/chat/completions", b"a")
+    with pytest.raises(ConnectionResetError):
+        call("lost")
+    call("d")
+    assert len(made) == 2
+    made[1].theirs.close()
+    call("e")
+    assert len(made) == 3 and [[b for _, _, b in c.sent] for c in made] == [[b"a", b"b", b"busy", b"c", b"lost"], [b"d"], [b"e"]]
+
+
 def write_batches(folder, lines, parts):
     size = len(lines) // parts
     for n in range(parts):

@@ -213,6 +213,12 @@ def test_list_media(spark, folder):
     back = manifest.read_manifest(spark, f"{folder}/out/subset=dev-clean").collect()
     assert sorted(r.src[len(folder) + 1 :] for r in back) == wanted[:4]
     assert manifest.list_media(spark, f"{folder}/none").count() == 0
+    # a deep and narrow tree: each round opens what the one before found
+    deep = "/".join(f"d{i}" for i in range(12))
+    put(f"{folder}/deep/dev-other/{deep}/end.flac", b"1")
+    put(f"{folder}/deep/dev-other/{deep[:11]}/side.wav", b"1")
+    for opened in (1, 5, 100):
+        assert sorted(r.utt for r in manifest.list_media(spark, f"{folder}/deep", opened=opened).collect()) == ["end", "side"]
 
 
 def test_null_ranges_fail_their_own_row(spark, shard_folder):
