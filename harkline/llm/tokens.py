@@ -316,8 +316,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
     """
     source = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
-    # ranges of both: many rows without id or of one id are no single task
-    placed = source.repartitionByRange(*order).sortWithinPartitions(*order)
+    # many rows without id or of one id are no single task; the sample of a range partitioning
+    # goes to the driver, so of a text only its beginning, which has the same order
+    beginning = F.substring("text", 1, 64).asc_nulls_first()
+    placed = source.repartitionByRange(order[0], beginning).sortWithinPartitions(*order)
     key = source.schema["doc_id"].dataType
     schema = T.StructType(
         [
