@@ -124,15 +124,18 @@ def test_keep_one_each(docs, empty):
 # --- I-Match
 
 
-def test_imatch(docs, empty):
+@pytest.mark.parametrize("distinct", [False, True])
+def test_imatch(docs, empty, distinct):
+    """The registered query takes distinct texts for its lexicon."""
     for rows, frame in ((ROWS, docs), (small_documents(), None)):
         frame = frame if frame is not None else table(docs.sparkSession, SMALL, "documents")
         rows = sorted(
             ((i, t or "") for i, t, *_ in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()), reverse=True
         )
         terms = [{xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(r"[^\W_]+", t.lower())} for _, t in rows]
-        seen = collections.Counter(c for s in terms for c in s)
-        low, high = max(2, len(rows) / 1024), max(2, len(rows) / 4)
+        counted = list({t: found for (_, t), found in zip(rows, terms)}.values()) if distinct else terms
+        seen = collections.Counter(c for s in counted for c in s)
+        low, high = max(2, len(counted) / 1024), max(2, len(counted) / (2 if distinct else 4))
         band = {c for c, n in seen.items() if low <= n <= high}
         masks = [m & ((1 << 64) - 1) for m in imatch._subset_masks()]
 
@@ -164,9 +167,9 @@ def test_imatch(docs, empty):
             edit = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
             a, b, c = prints(t), prints(edit), prints(after)
             want.append((i, len(t), hashlib.sha256(edit.encode()).hexdigest(), a, b, round(like(a, b), 9), round(like(a, c), 9)))
-        got = [(*tuple(r)[:5], round(r[5], 9), round(r[6], 9)) for r in imatch.fingerprint_report(frame).collect()]
+        got = [(*tuple(r)[:5], round(r[5], 9), round(r[6], 9)) for r in imatch.fingerprint_report(frame, distinct=distinct).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
-    assert imatch.fingerprint_report(empty).count() == 0
+    assert imatch.fingerprint_report(empty, distinct=distinct).count() == 0
 
 
 def test_imatch_over_many_blocks(docs, monkeypatch):
@@ -179,6 +182,59 @@ def test_imatch_over_many_blocks(docs, monkeypatch):
 # --- quality
 
 
+def plain_quality(rows, labels):
+    """Model, weights, threshold and draw from single documents; features are those of the operator."""
+    found = {}
+    for text in {t or "" for _, t in rows}:
+        found[text] = quality.features(pa.array([text]))[0].reshape(-1, quality.VIEWS)
+    good = {}
+    for i, q in labels:
+        if i is not None and q is not None:
+            good[i] = min(good.get(i, 1), int(q == 1))
+    target, raw = np.zeros((2, quality.VIEWS * quality.BUCKETS))
+    for i, t in rows:
+        np.add.at(raw, found[t or ""].reshape(-1), 1)
+        if good.get(i) == 1:
+            np.add.at(target, found[t or ""].reshape(-1), 1)
+    model = np.zeros(len(raw))
+    for view in range(quality.VIEWS):
+        at = slice(view * quality.BUCKETS, (view + 1) * quality.BUCKETS)
+        share = target[at].sum() / max(raw[at].sum(), 1)
+        model[at] = np.log((target[at] + quality.PRIOR) / (raw[at] * share + quality.PRIOR))
+    model = model.astype(np.float32)
+    weights = [float(model[found[t or ""]].sum(axis=1, dtype=np.float64).sum()) for _, t in rows]
+
+    def key(doc_id, weight):
+        h = 42 if doc_id is None else xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", quality.SEED), h)
+        h = xxhash.xxh64_intdigest(struct.pack("<d", round(weight, 6) + 0.0), h)
+        return weight / quality.TEMPERATURE - math.log(-math.log(((h >> 11) + 0.5) / (1 << 53)))
+
+    keys = [key(i, w) for (i, _), w in zip(rows, weights)]
+    width = 2 * quality.FAR / quality.BINS
+    bins = [(math.floor((min(max(w, -quality.FAR), quality.FAR) + quality.FAR) / width), good[i]) for (i, _), w in zip(rows, weights) if i in good]
+    bad_of, good_of = ([b for b, g in bins if g == k] for k in (0, 1))
+    edges = sorted({b for b, _ in bins} | {b + 1 for b, _ in bins})
+    gain = {e: sum(b < e for b in bad_of) / len(bad_of) - sum(b < e for b in good_of) / len(good_of) for e in edges}
+    best = [e for e in edges if gain[e] >= max(gain.values()) - 1e-12]
+    # the gain stays the same up to the next document's bin
+    last = min([b for b, _ in bins if b >= best[-1]], default=quality.BINS + 1)
+    threshold = (best[0] + last) / 2 * width - quality.FAR
+    stays = sum(w >= threshold for w in weights)
+    least = sorted(keys, reverse=True)[stays - 1]
+    return [(i, round(w, 4), round(k, 3), k >= least) for (i, _), w, k in zip(rows, weights, keys)]
+
+
+def test_quality_against_single_documents(spark):
+    docs, labels = (table(spark, SMALL, name) for name in ("documents", "labels"))
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()] + [(None, "some words here"), (0, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = plain_quality(rows, [tuple(r) for r in labels.select("doc_id", "quality").collect()])
+    got = [(r.doc_id, round(r.log_weight, 4), round(r.draw_key, 3), r.kept) for r in quality.quality_report(frame, labels).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert 0 < sum(k for *_, k in got) < len(rows)
+
+
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     labels = table(spark, sf, "labels")
