@@ -272,6 +272,11 @@ FROM called, range(1, 4) t(a) WHERE a = 1 OR {STATUS} = 'fail'""",
     "stream_recent_rate": """SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, count(*) AS lines,
   round(count(*) / 3600, 6) AS recent_per_sec FROM events GROUP BY 1""",
     "stream_resume": f"WITH {LOG}, {STATE} SELECT utt, done, retry FROM state",
+    "stream_metrics": f"""WITH {METRICS}, q AS (SELECT snapshot_id, coalesce(running, 0) + coalesce(waiting, 0) AS n FROM metrics
+  WHERE coalesce(running, waiting, swapped, gpu_cache_pct, gen_throughput, prompt_throughput) IS NOT NULL)
+SELECT 'queue' AS source, snapshot_id AS snapshot, CASE WHEN n < 100 THEN 'queue_low' ELSE 'queue_high' END AS alert, n AS value FROM q WHERE n < 100 OR n > 2000""",
+    "stream_gpu_alerts": f"""WITH {GPUS}, a AS (SELECT 'gpu_util_low' AS alert, util AS value FROM g WHERE util < 50
+UNION ALL SELECT 'gpu_temp_high', temp FROM g WHERE temp > 80) SELECT alert, value, count(*) AS times FROM a GROUP BY ALL""",
     "stream_closed_rate": """SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, count(*) AS lines FROM events
 WHERE epoch(date_trunc('hour', ts)) + 3600 + 86400 <= (SELECT epoch(max(ts)) FROM events) GROUP BY 1""",
     "stream_annotate": "",

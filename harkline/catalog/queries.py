@@ -19,6 +19,7 @@ from harkline.plans.runs import manifest_attempt
 from harkline.session import local_path, scratch_path, written
 from harkline.sources import manifest, payloads, results, shards
 from harkline.streaming import intake, logs
+from harkline.streaming import telemetry as arriving
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -683,3 +684,21 @@ def parse_gpu(spark, sf):
 @query
 def telemetry_alerts(spark, sf):
     return telemetry.telemetry_alerts(_metrics(spark, sf), _gpus(spark, sf))
+
+
+@query
+def stream_metrics(spark, sf):
+    """Queue alerts of all snapshots, from metrics that a stream keeps."""
+    path, state = scratch_path(spark, "metric-lines"), scratch_path(spark, "state")
+    fx.fixture(spark, sf, fx.METRIC_LINES).select(F.lit("s").alias("server"), "snapshot_id", "line", "pos").write.parquet(path)
+    lines = spark.readStream.schema("server string, snapshot_id bigint, line string, pos bigint").parquet(path)
+    _drain(arriving.stream_metrics(lines, state, interval=None))
+    return arriving.alerts_view(spark, state, closed=False).drop("server")
+
+
+@query
+def stream_gpu_alerts(spark, sf):
+    lines = fx.fixture(spark, sf, fx.GPU_LINES).select("pos", F.col("line").alias("value"))
+    source, table, state = fx.write_lines(lines, "pos", "gpu-lines"), scratch_path(spark, "alerts"), scratch_path(spark, "state")
+    _drain(arriving.stream_gpu_alerts(spark, source, table, state, interval=None))
+    return spark.read.parquet(table).groupBy("alert", "value").agg(F.count("*").alias("times"))

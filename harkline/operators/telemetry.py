@@ -84,8 +84,9 @@ def _alert(condition: Column, kind: str, value: Column) -> Column:
     return F.when(condition, F.struct(F.lit(kind).alias("alert"), value.cast("bigint").alias("value")))
 
 
-def _exploded(df: DataFrame, source: str, ident: str, *alerts: Column) -> DataFrame:
+def _exploded(df: DataFrame, keep: list[str], source: str, ident: str, *alerts: Column) -> DataFrame:
     return df.select(
+        *keep,
         F.lit(source).alias("source"),
         F.col(ident).cast("bigint").alias("snapshot"),
         F.inline(F.array_compact(F.array(*alerts))),
@@ -97,8 +98,9 @@ def telemetry_alerts(
     gpus: DataFrame | None = None,
     snapshot: str = "snapshot_id",
     gpu_snapshot: str = "pos",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Alert rows (source, snapshot, alert, value) from parsed telemetry.
+    """Alert rows (source, snapshot, alert, value) from parsed telemetry, with the columns `keep` before them.
 
     Swapped requests do not count as queued; a snapshot without any metric gives none.
     """
@@ -109,6 +111,7 @@ def telemetry_alerts(
         parts.append(
             _exploded(
                 metrics.where(seen),
+                keep or [],
                 "queue",
                 snapshot,
                 _alert(queued < QUEUE_LOW, "queue_low", queued),
@@ -119,6 +122,7 @@ def telemetry_alerts(
         parts.append(
             _exploded(
                 gpus,
+                keep or [],
                 "gpu",
                 gpu_snapshot,
                 _alert(F.col("util") < GPU_UTIL_LOW, "gpu_util_low", F.col("util")),
