@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harkline.operators.annotate import http_client
+from harkline.operators.journal import Journal
 from harkline.operators.planning import chunk_ranges, chunk_summary
 from harkline.operators.resume import MAX_RETRIES
 from harkline.operators.telemetry import parse_gpu, parse_metrics, queue_shares, telemetry_alerts
@@ -176,7 +177,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             http_client(args.base_url, args.timeout), args.model, args.threads, temperature=args.temperature, max_tokens=args.max_tokens
         )
         stream_annotate(
-            spark, args.folder, args.log, args.state, args.run_id, attempt, args.max_retries, None if args.once else "30 seconds"
+            spark, args.folder, args.log, args.state, args.run_id, attempt, args.max_retries, None if args.once else "30 seconds",
+            journal=Journal.of(args.log),
         ).awaitTermination()
     elif args.command == "merge":
         _show(reports.merge_logs(spark, args.logs, args.out, args.tsv, args.key, not args.last))

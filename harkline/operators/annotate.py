@@ -14,13 +14,15 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harkline.functions.payload import parse_response
+from harkline.operators.journal import Journal, take_over
 from harkline.operators.resume import MAX_RETRIES, pending, resume_state
-from harkline.session import written
+from harkline.session import delete_folder, written
 from harkline.sources.results import read_results, write_results
 
 #: request JSON in, response JSON out; built once per task
@@ -111,12 +113,15 @@ def annotate(
     request: str = "request",
     error: str = "request_error",
     threads: int = 16,
+    journal: Journal | None = None,
 ) -> DataFrame:
     """Call the model once for each row: - request, + response, call_error, processing_time, ts (end of the call).
 
     A row whose `error` column is set is not sent. At most `threads` calls of a task
     are under way and as many wait, across batches; a failed call fails its row only.
-    Write the result once and read it back: evaluating it again calls again.
+    Write the result once and read it back: evaluating it again calls again. With `journal`
+    (a folder of this evaluation's own) a task keeps its answers as they come, and takes them
+    from there when it runs again.
     """
     kept = [f for f in requests.schema.fields if f.name not in (request, error, "ts")]
     schema = T.StructType(
@@ -130,23 +135,35 @@ def annotate(
     )
     names = [f.name for f in kept]
     has_error = error in requests.columns
+    most, wait_at_most = (journal.rows, journal.seconds) if journal else (256, float("inf"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = client_factory()
         under_way: dict = {}
         done: list[tuple] = []
+        again: list[tuple] = []
         kinds: list[pa.DataType] = []
+        book = journal.task(TaskContext.get().partitionId()) if journal else None
+        earlier = book.answers(names) if book else {}
+        saved = time.monotonic()
 
         def collect() -> None:
             finished, _ = wait(under_way, return_when=FIRST_COMPLETED)
             done.extend((*under_way.pop(f), *f.result()) for f in finished)
 
-        def frame() -> pa.RecordBatch:
+        def frame(rows: list[tuple]) -> pa.RecordBatch:
             types = [*kinds, pa.string(), pa.string(), pa.float64(), pa.timestamp("us", tz="UTC")]
-            arrays = [pa.array([row[i] for row in done], kind) for i, kind in enumerate(types)]
-            done.clear()
+            arrays = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(types)]
+            rows.clear()
             return pa.RecordBatch.from_arrays(arrays, schema.names)
 
+        def answered() -> pa.RecordBatch:
+            nonlocal saved
+            batch, saved = frame(done), time.monotonic()
+            if book:
+                book.append(batch)
+            return batch
+
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for batch in batches:
                 # Python values of the Arrow columns: a nullable whole number stays one
@@ -154,15 +171,24 @@ def annotate(
                 problems = batch[error].to_pylist() if has_error else [None] * batch.num_rows
                 rows = zip(*(batch[n].to_pylist() for n in names)) if names else [()] * batch.num_rows
                 for row, text, problem in zip(rows, batch[request].to_pylist(), problems):
+                    if earlier and earlier.get(repr(row)):
+                        again.append(earlier[repr(row)].pop())
+                        if len(again) >= 256:
+                            yield frame(again)
+                        continue
                     while len(under_way) >= 2 * threads:
                         collect()
                     under_way[pool.submit(_attempt, client, text, problem)] = row
-                    if len(done) >= 256:
-                        yield frame()
+                    if len(done) >= most or (done and time.monotonic() - saved >= wait_at_most):
+                        yield answered()
             while under_way:
                 collect()
+                if done and time.monotonic() - saved >= wait_at_most:
+                    yield answered()
+        if again:
+            yield frame(again)
         if done:
-            yield frame()
+            yield answered()
 
     return requests.mapInArrow(run, schema)
 
@@ -209,6 +235,7 @@ def annotate_retry(
     place: bool = True,
     slice_items: int = SLICE_ITEMS,
     state: DataFrame | None = None,
+    journal: Journal | None = None,
 ) -> DataFrame:
     """Run passes until nothing is pending (at most `max_retries`); return the log.
 
@@ -219,6 +246,10 @@ def annotate_retry(
     start with the time, so that paths sort as the passes ran. `place=False` leaves the
     placing of the items to `attempt`. `state`, if it is known already, is the resume
     state of the log (see `resume_state`); the log is then not read for the first pass.
+
+    With `journal`, `attempt` gets a journal as its second argument, for `annotate`: what a
+    lost task or driver repeats is then no task or slice, but the answers since the last
+    file of each task. Answers that earlier runs left there become records of the first pass.
     """
     spark = items.sparkSession
     began = int(time.time() * 1000)
@@ -232,16 +263,30 @@ def annotate_retry(
         left = todo.count()
         if not left:
             break
-        name = f"{began:013d}-{number:02d}-{run_id}"
+        name, wanted = f"{began:013d}-{number:02d}-{run_id}", todo
+        if journal is not None and not number:
+            def keep(answers: DataFrame) -> None:
+                write_results(result_record(answers, key), log_path, name, chunk if chunk in answers.columns else None)
+
+            todo = take_over(todo, state, journal, key, keep)
+            left = todo.count()
         slices = -(-left // slice_items)
         for at in range(slices):
             part, size = todo, left
             if slices > 1:
                 part, size = todo.where(_slice_of(todo, key, slices) == at), -(-left // slices)
-            write_results(attempt(spread(part, size, task_items, chunk) if place else part), log_path, name, chunk)
+            part = spread(part, size, task_items, chunk) if place else part
+            if journal is None:
+                write_results(attempt(part), log_path, name, chunk)
+            else:
+                own = journal.below(name, at)
+                write_results(attempt(part, own), log_path, name, chunk)
+                delete_folder(spark, own.folder)
+        if journal is not None:
+            delete_folder(spark, journal.below(name).folder)
         # every record carries its attempt number, so what a pass wrote tells the new
         # state of its items without the log before it
-        items, seen = todo.drop("retry_attempt"), f"{log_path}/run_id={name}"
+        items, seen = wanted.drop("retry_attempt"), f"{log_path}/run_id={name}"
     return read_results(spark, log_path)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from harkline.functions.payload import build_request, data_url, mime_by_extension, mime_by_magic
 from harkline.operators.annotate import ClientFactory, annotate, annotate_retry, result_record
+from harkline.operators.journal import Journal
 from harkline.operators.ordering import line_index
 from harkline.operators.planning import assign_chunks, range_slice
 from harkline.operators.resume import MAX_RETRIES
@@ -18,7 +19,8 @@ from harkline.sources.manifest import read_manifest
 from harkline.sources.payloads import content_duration, load_payload
 from harkline.sources.shards import read_shard_index, shard_files, slice_shards, store_shard_index, stored_range
 
-Attempt = Callable[[DataFrame], DataFrame]
+#: Pending items, and a journal for `annotate` or none, to records.
+Attempt = Callable[..., DataFrame]
 
 
 def manifest_attempt(
@@ -26,7 +28,7 @@ def manifest_attempt(
 ) -> Attempt:
     """Pending manifest rows to result records."""
 
-    def attempt(todo: DataFrame) -> DataFrame:
+    def attempt(todo: DataFrame, journal: Journal | None = None) -> DataFrame:
         loaded = load_payload(todo, probe=probe)
         url = data_url(F.col("content"), mime_by_extension(F.col("src")))
         request = F.when(F.col("load_error").isNull(), build_request(url, model, temperature, max_tokens))
@@ -35,6 +37,7 @@ def manifest_attempt(
             loaded.select(*kept, request.alias("request"), F.col("load_error").alias("request_error")),
             client,
             threads=threads,
+            journal=journal,
         )
         return result_record(called)
 
@@ -52,7 +55,7 @@ def shard_attempt(
 ) -> Attempt:
     """Pending index rows to result records; a share of the items gets a duration."""
 
-    def attempt(todo: DataFrame) -> DataFrame:
+    def attempt(todo: DataFrame, journal: Journal | None = None) -> DataFrame:
         sliced = slice_shards(todo, files)
         content = F.col("content")
         if rtf_share > 0:
@@ -71,7 +74,7 @@ def shard_attempt(
             F.when(F.col("error").isNull(), request).alias("request"),
             F.col("error").alias("request_error"),
         )
-        return result_record(annotate(requests, client, threads=threads), "idx")
+        return result_record(annotate(requests, client, threads=threads, journal=journal), "idx")
 
     return attempt
 
@@ -94,7 +97,7 @@ def run_manifest(
 ) -> DataFrame:
     """Annotate what the log does not hold yet; returns the log."""
     items = manifest_plan(spark, paths, chunks).select("utt", "src", "idx", "chunk_id")
-    return annotate_retry(items, log_path, run_id, manifest_attempt(client, model, **options), "utt", max_retries, "chunk_id")
+    return annotate_retry(items, log_path, run_id, manifest_attempt(client, model, **options), "utt", max_retries, "chunk_id", journal=Journal.of(log_path))
 
 
 def run_shards(
@@ -122,5 +125,5 @@ def run_shards(
     attempt = shard_attempt(shard_files(spark, path), client, model, **options)
     # slicing places the rows itself
     return annotate_retry(
-        index, log_path, run_id, attempt, "idx", max_retries, place=False
+        index, log_path, run_id, attempt, "idx", max_retries, place=False, journal=Journal.of(log_path)
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from harkline.operators.annotate import annotate_retry
+from harkline.operators.journal import Journal
 from harkline.operators.resume import MAX_RETRIES
 from harkline.plans.runs import Attempt
 from harkline.sources.files import existing
@@ -24,13 +25,15 @@ def stream_annotate(
     max_retries: int = MAX_RETRIES,
     interval: str | None = "30 seconds",
     max_files: int = 16,
+    journal: Journal | None = None,
 ) -> StreamingQuery:
     """Annotate the entries of every new manifest file.
 
     Results are appended. The resume state of the log is kept as a stream's state beside
     `checkpoint`: a batch takes in the log files written since the last one and looks its
     entries up there, so it does not read the log before it. A batch that runs again after
-    a failure finds what it had written in the same way and sends only the rest.
+    a failure finds what it had written in the same way and sends only the rest; with
+    `journal` also what its tasks had answered (see `annotate_retry`).
     """
     state = f"{checkpoint.rstrip('/')}-resume"
 
@@ -40,7 +43,7 @@ def stream_annotate(
             stream_resume(session, log_path, state).awaitTermination()
         items = parse_manifest(batch_positions(batch)).select("utt", "src", "pos")
         known = resume_view(session, state)
-        annotate_retry(items, log_path, f"{run_id}-{batch_id:08d}", attempt, "utt", max_retries, state=known)
+        annotate_retry(items, log_path, f"{run_id}-{batch_id:08d}", attempt, "utt", max_retries, state=known, journal=journal)
 
     writer = (
         stream_lines(spark, manifest_path, max_files)
