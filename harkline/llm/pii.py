@@ -4,12 +4,21 @@ Patterns propose spans, validators (Luhn for cards, mod 97 for IBANs, number ran
 addresses) confirm or drop them, and words near a span raise or lower its score.
 
 Base kinds (`email`, `ip`, `card`, `phone`) are kept whatever their score. The added kinds
-are kept from a score of `MIN_SCORE` on:
-
-* `iban`: confirmed by the mod-97 check, so it needs no context; ends at its country's length,
-  whatever capitals or digits follow;
-* `key`: an access key of the form `AKIA` and 16 capitals or digits;
-* `secret`: a value after a word such as `password`, in any case, and `=` or `:`, or a quoted long hex value.
+are kept from a score of `MIN_SCORE` on. Strong ones stand without context and fall where
+words such as `example` are near and none of their own:
+
+* `iban`: confirmed by the mod-97 check; ends at its country's length, whatever capitals or
+  digits follow;
+* `key`: access keys and tokens known by their form (`AKIA...`, `ghp_...`, `sk-...`, `xoxb-...`,
+  three-part web tokens), and private key blocks up to their last line, or their first line
+  where the last is missing;
+* `secret`: a value with a digit after a word such as `password` or `api-key`, in any case, and
+  `=` or `:`, in quotes of either kind or bare; a value after `Bearer`; a quoted long hex value.
+
+Weak ones are common forms of numbers that need a word of their own near, and that no other
+span may overlap: `national_id` (3-2-4 digits in the ranges that are given out), `passport`
+(one or two capitals and 6 to 8 digits), `account` (8 to 17 digits), `birth` (a date),
+`local_phone` (3-3-4 digits without `+`).
 
 Defined cases: a null text is an empty text and has no spans; positions count code points
 and ends are exclusive; whole texts are searched; repeated rows give repeated results.
@@ -17,6 +26,7 @@ and ends are exclusive; whole texts are searched; repeated rows give repeated re
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -31,7 +41,9 @@ from harkline.llm.common import map_arrow, pieces, texts_of
 
 #: The kinds in the order in which equal starts are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "key", "secret")
+STRONG_KINDS = ("iban", "key", "secret")
+WEAK_KINDS = ("national_id", "passport", "birth", "local_phone", "account")
+ADDED_KINDS = STRONG_KINDS + WEAK_KINDS
 KINDS = BASE_KINDS + ADDED_KINDS
 
 #: The base patterns. E-mail addresses,
@@ -46,8 +58,31 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
 IBAN_GROUP = re.compile(r"\x20?[A-Z0-9]{4}")
 IBAN_TAIL = re.compile(r"\x20?[A-Z0-9]{1,3}(?![A-Za-z0-9])")
-KEY = re.compile(r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
-SECRET = re.compile(r"(?:(?i:password|passwd|secret|token|api_key))\x20?[=:]\x20?\"?([A-Za-z0-9+/_-]{8,})|\"([0-9a-f]{32,})\"")
+KEY = re.compile(
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,255}|github_pat_[A-Za-z0-9_]{22,255}"
+    r"|sk-(?=[A-Za-z0-9_-]{0,200}[0-9])[A-Za-z0-9_-]{20,200}|xox[abprs]-[A-Za-z0-9-]{10,200}"
+    r"|eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{4,}+\.[A-Za-z0-9_-]{8,}+)(?![A-Za-z0-9])"
+)
+#: What the text of a key holds, so that most texts are not searched.
+KEY_MARKS = ("AKIA", "ASIA", "gh", "sk-", "xox", "eyJ")
+BLOCK_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9]{1,20} ){0,3}PRIVATE KEY-----")
+BLOCK_END = re.compile(r"-----END ([A-Z0-9]{1,20} ){0,3}PRIVATE KEY-----")
+SECRET = re.compile(
+    r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\x20?[=:]\x20?"
+    r"(?:\"([^\"\s]{8,200})\"|'([^'\s]{8,200})'|([A-Za-z0-9+/_.~@!#$%^*-]{7,199}[A-Za-z0-9+/_=-]))"
+    r"|\b(?i:bearer)\x20([A-Za-z0-9._~+/-]{15,}+=*)"
+    r"|[\"']([0-9a-f]{32,}+)[\"']"
+)
+#: Patterns of the weak kinds.
+NATIONAL_ID = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+PASSPORT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{1,2}[0-9]{6,8}(?![A-Za-z0-9])")
+ACCOUNT = re.compile(r"(?<![A-Za-z0-9.+-])[0-9]{8,17}(?![A-Za-z0-9-])(?!\.[0-9])")
+BIRTH = re.compile(
+    r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])"
+    r"|(?:0?[1-9]|[12][0-9]|3[01])([./-])(?:0?[1-9]|[12][0-9]|3[01])\1(?:19|20)[0-9]{2})(?![0-9/-])"
+)
+LOCAL_PHONE = re.compile(r"(?<![0-9+.-])(?:\([2-9][0-9]{2}\)\x20?|[2-9][0-9]{2}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9-])")
+WEAK = (("national_id", NATIONAL_ID), ("passport", PASSPORT), ("birth", BIRTH), ("local_phone", LOCAL_PHONE), ("account", ACCOUNT))
 
 #: Characters of an IBAN by country.
 IBAN_LENGTH = {
@@ -66,7 +101,10 @@ _DIGIT = re.compile(r"[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]+")
 
 #: Score of a confirmed span without context, by kind.
-START_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "key": 0.9, "secret": 0.5}
+START_SCORE = {
+    "email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "key": 0.8, "secret": 0.6,
+    "national_id": 0.4, "passport": 0.35, "birth": 0.35, "local_phone": 0.4, "account": 0.35,
+}
 #: Words that raise a kind's score when they stand within CONTEXT code points of a span.
 RAISE = {
     "email": ("mail", "contact", "write"),
@@ -74,18 +112,47 @@ RAISE = {
     "card": ("card", "visa", "credit", "payment"),
     "phone": ("phone", "call", "tel", "fax", "mobile"),
     "iban": ("iban", "account", "bank", "transfer"),
-    "key": ("key", "access", "aws"),
-    "secret": ("password", "passwd", "secret", "token", "api", "key"),
+    "key": ("key", "access", "aws", "token", "bearer", "authorization"),
+    "secret": ("password", "passwd", "pwd", "secret", "token", "api", "key", "bearer"),
+    "national_id": ("ssn", "social", "taxpayer", "tin"),
+    "passport": ("passport",),
+    "birth": ("born", "birth", "birthday", "birthdate", "dob"),
+    "local_phone": ("phone", "telephone", "call", "tel", "fax", "mobile", "cell"),
+    "account": ("account", "acct", "iban", "routing", "konto", "bank"),
 }
-#: Words that lower every score.
-LOWER = ("example", "sample", "dummy", "version", "isbn", "order")
+#: Words that lower every score by much, and words that lower it by little where none of its own is near.
+DOUBT = ("example", "sample", "dummy", "fake", "placeholder")
+LOWER = ("version", "isbn", "order", "invoice", "serial")
 CONTEXT = 40
 STEP = 0.2
+DOUBT_STEP = 0.4
 MIN_SCORE = 0.5
 
 _WORD = re.compile(r"[a-z]+")
 
 
+class Stretches:
+    """Stretches of a text that are taken; the first ones may overlap."""
+
+    def __init__(self, spans: list[Span]):
+        self._starts, self._ends = [], []
+        for span in sorted(spans, key=lambda s: s.start):
+            if self._ends and span.start < self._ends[-1]:
+                self._ends[-1] = max(self._ends[-1], span.end)
+            else:
+                self._starts.append(span.start)
+                self._ends.append(span.end)
+
+    def add(self, start: int, end: int) -> bool:
+        """Take a stretch if nothing of it is taken."""
+        at = bisect.bisect_left(self._starts, end)
+        if at and self._ends[at - 1] > start:
+            return False
+        self._starts.insert(at, start)
+        self._ends.insert(at, end)
+        return True
+
+
 class Span(NamedTuple):
     kind: str
     start: int
@@ -185,37 +252,66 @@ def ibans(text: str) -> Iterator[tuple[int, int]]:
                 break
 
 
-def added_spans(text: str) -> list[tuple[str, int, int]]:
-    """Confirmed candidates of the added kinds."""
-    found = [("key", *m.span()) for m in KEY.finditer(text)] if "AKIA" in text else []
+def _key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Private key blocks; one without its last line before the next first line is that first line only."""
+    begin = BLOCK_BEGIN.search(text)
+    while begin:
+        after = BLOCK_BEGIN.search(text, begin.end())
+        last = BLOCK_END.search(text, begin.end(), after.start() if after else len(text))
+        yield begin.start(), (last or begin).end()
+        begin = after
+
+
+def strong_spans(text: str) -> list[tuple[str, int, int]]:
+    """Confirmed candidates of the kinds that stand without context."""
+    found = []
+    if any(mark in text for mark in KEY_MARKS):
+        found += [("key", *m.span()) for m in KEY.finditer(text)]
+    if "-----BEGIN" in text:
+        found += [("key", a, b) for a, b in _key_blocks(text)]
     if not _DIGIT.search(text):
         return found
     found += [("iban", a, b) for a, b in ibans(text)]
-    if "=" in text or ":" in text or '"' in text:
-        for m in SECRET.finditer(text):
-            group = 1 if m[1] else 2
-            if _DIGIT.search(m[group]):
-                found.append(("secret", *m.span(group)))
+    keys = {(a, b) for _, a, b in found}
+    for m in SECRET.finditer(text):
+        group = m.lastindex
+        if _DIGIT.search(m[group]) and m.span(group) not in keys:
+            found.append(("secret", *m.span(group)))
     return found
 
 
+def weak_spans(text: str) -> list[tuple[str, int, int]]:
+    """Candidates of the kinds that need context."""
+    if not _DIGIT.search(text):
+        return []
+    return [(kind, *m.span()) for kind, pattern in WEAK for m in pattern.finditer(text)]
+
+
 def score(text: str, kind: str, start: int, end: int) -> float:
-    """Start score of the kind, one step up or down for context words around the span."""
+    """Start score of the kind, a step up or down for context words around the span."""
     around = f"{text[max(0, start - CONTEXT):start]} {text[end:end + CONTEXT]}".lower()
     words = set(_WORD.findall(around))
     value = START_SCORE[kind]
-    value += STEP * any(w in words for w in RAISE[kind])
-    value -= STEP * any(w in words for w in LOWER)
+    if any(w in words for w in RAISE[kind]):
+        value += STEP
+    elif any(w in words for w in LOWER):
+        value -= STEP
+    value -= DOUBT_STEP * any(w in words for w in DOUBT)
     return round(min(1.0, max(0.0, value)), 2)
 
 
 def find(text: str) -> list[Span]:
     """All spans of a text by start, then kind as listed."""
     spans = [Span(k, a, b, score(text, k, a, b)) for k, a, b in base_spans(text)]
-    for kind, a, b in added_spans(text):
+    for kind, a, b in strong_spans(text):
         value = score(text, kind, a, b)
         if value >= MIN_SCORE:
             spans.append(Span(kind, a, b, value))
+    weak = [Span(k, a, b, score(text, k, a, b)) for k, a, b in weak_spans(text)]
+    weak = sorted((s for s in weak if s.score >= MIN_SCORE), key=lambda s: -s.score)
+    if weak:
+        taken = Stretches(spans)
+        spans += [s for s in weak if taken.add(s.start, s.end)]
     order = {k: i for i, k in enumerate(KINDS)}
     return sorted(spans, key=lambda s: (s.start, order[s.kind]))
 
