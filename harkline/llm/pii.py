@@ -120,9 +120,9 @@ RAISE = {
     "local_phone": ("phone", "telephone", "call", "tel", "fax", "mobile", "cell"),
     "account": ("account", "acct", "iban", "routing", "konto", "bank"),
 }
-#: Words that lower every score by much, and words that lower it by little where none of its own is near.
+#: Words that lower every score by much, and words that lower it by little where none of its own is nearer.
 DOUBT = ("example", "sample", "dummy", "fake", "placeholder")
-LOWER = ("version", "isbn", "order", "invoice", "serial")
+LOWER = ("version", "build", "isbn", "order", "invoice", "serial")
 CONTEXT = 40
 STEP = 0.2
 DOUBT_STEP = 0.4
@@ -288,15 +288,22 @@ def weak_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
-    """Start score of the kind, a step up or down for context words around the span."""
-    around = f"{text[max(0, start - CONTEXT):start]} {text[end:end + CONTEXT]}".lower()
-    words = set(_WORD.findall(around))
+    """Start score of the kind, a step up or down for context words around the span.
+
+    Of the kind's own words and those that lower by little the nearest decides.
+    """
+    before, after = text[max(0, start - CONTEXT):start].lower(), text[end:end + CONTEXT].lower()
+    near = {}
+    for word, away in [(m[0], len(before) - m.end()) for m in _WORD.finditer(before)] + [(m[0], m.start()) for m in _WORD.finditer(after)]:
+        near[word] = min(away, near.get(word, CONTEXT))
+    own = min((near[w] for w in RAISE[kind] if w in near), default=None)
+    other = min((near[w] for w in LOWER if w in near), default=None)
     value = START_SCORE[kind]
-    if any(w in words for w in RAISE[kind]):
+    if own is not None and (other is None or own <= other):
         value += STEP
-    elif any(w in words for w in LOWER):
+    elif other is not None:
         value -= STEP
-    value -= DOUBT_STEP * any(w in words for w in DOUBT)
+    value -= DOUBT_STEP * any(w in near for w in DOUBT)
     return round(min(1.0, max(0.0, value)), 2)
 
 
