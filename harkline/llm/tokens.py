@@ -56,6 +56,10 @@ _SPACES = np.frombuffer(SPACE, dtype=np.uint8)
 
 #: Ids below this are counted in a table, larger ones by sorting.
 COUNTED_IDS = 1 << 22
+#: Ids that are counted, and numbers that are coded, at once: numpy's steps take several times
+#: their size, and a worker keeps what it took. A multiple of four, as a control byte has four.
+COUNTED_AT_ONCE = 1 << 20
+CODED_AT_ONCE = 1 << 16
 
 _COUNTS = struct.Struct("<5Q")
 
@@ -68,6 +72,9 @@ _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uin
 
 def encode_ranks(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
+    if len(ranks) > CODED_AT_ONCE:
+        parts = [encode_ranks(ranks[at:at + CODED_AT_ONCE]) for at in range(0, len(ranks), CODED_AT_ONCE)]
+        return np.concatenate([c for c, _ in parts]), np.concatenate([d for _, d in parts])
     ranks = ranks.astype("<u4")
     lengths = 1 + (ranks > 0xFF) + (ranks > 0xFFFF).astype(np.int64) + (ranks > 0xFFFFFF)
     codes = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
@@ -79,16 +86,21 @@ def encode_ranks(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def decode_ranks(control: np.ndarray, data: np.ndarray, count: int) -> np.ndarray:
     """Numbers from control and data bytes, by table lookup."""
-    lengths = _LENGTHS[control].reshape(-1)[:count]
-    ends = np.cumsum(lengths, dtype=np.int64)
-    starts = ends - lengths
+    values = np.empty(count, dtype=np.uint32)
     padded = np.concatenate((data, np.zeros(3, dtype=np.uint8)))
-    values = padded[starts].astype(np.uint32)
-    for place in (1, 2, 3):
-        longer = np.flatnonzero(lengths > place)
-        if not len(longer):
-            break
-        values[longer] |= padded[starts[longer] + place].astype(np.uint32) << np.uint32(8 * place)
+    done = 0
+    for begin in range(0, count, CODED_AT_ONCE):
+        some = values[begin:begin + CODED_AT_ONCE]
+        lengths = _LENGTHS[control[begin // 4:(begin + CODED_AT_ONCE) // 4]].reshape(-1)[: len(some)]
+        ends = done + np.cumsum(lengths, dtype=np.int64)
+        starts = ends - lengths
+        some[:] = padded[starts]
+        for place in (1, 2, 3):
+            longer = np.flatnonzero(lengths > place)
+            if not len(longer):
+                break
+            some[longer] |= padded[starts[longer] + place].astype(np.uint32) << np.uint32(8 * place)
+        done = int(ends[-1])
     return values
 
 
@@ -97,7 +109,9 @@ def file_bytes(ids: np.ndarray, per_document: np.ndarray) -> bytes:
     if len(ids) and ids.max() >= COUNTED_IDS:
         known, places, counts = np.unique(ids, return_inverse=True, return_counts=True)
     else:
-        all_counts = np.bincount(ids)
+        all_counts = np.zeros(int(ids.max()) + 1 if len(ids) else 0, dtype=np.int64)
+        for at in range(0, len(ids), COUNTED_AT_ONCE):
+            all_counts += np.bincount(ids[at:at + COUNTED_AT_ONCE], minlength=len(all_counts))
         known, places = np.flatnonzero(all_counts), None
         counts = all_counts[known]
     order = np.argsort(-counts, kind="stable")  # ties by id
@@ -362,6 +376,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
                 ids, keys, lengths, total = [], [], [], 0
         if keys:
             yield close(kind)
+        pa.default_memory_pool().release_unused()  # the worker waits for its next task
 
     manifest = written(map_arrow(placed, run, schema), "token-files")
     # one row per file

@@ -6,6 +6,7 @@ import random
 import re
 import struct
 import tempfile
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -100,6 +101,22 @@ def test_frequent_ids_are_short():
     assert len(data) == 1000 and len(control) == 250
 
 
+def test_a_token_file_takes_little_beside_its_ids():
+    numbers = np.random.default_rng(5).integers(0, 50_000, 1 << 21).astype(np.uint32)
+    documents = np.array([len(numbers)], dtype=np.uint32)
+    tracemalloc.start()
+    content = tokens.file_bytes(numbers, documents)
+    made = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    ids, _ = tokens.read_bytes(content)
+    read = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert (ids == numbers).all()
+    # ranks, codes, the file; then codes, ranks, ids: a few times four bytes an id
+    assert made < 4 * numbers.nbytes and read < 4 * numbers.nbytes
+
+
 def test_piece_encoder():
     encoder = tokens.PieceEncoder(queries.TOKENIZER)
     plain = Tokenizer.from_file(queries.TOKENIZER)
