@@ -39,3 +39,16 @@ def test_joined_files(spark, folder):
     for name, content in (("a", b"123"), ("b", b""), ("c/d", b"4" * 100_000)):
         with open(f"{folder}/{name}", "rb") as file:
             assert file.read() == content
+
+
+def test_a_task_holds_few_contents(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def put(batches):
+        sizes = [batch.num_rows for batch in batches]
+        assert max(sizes) <= 100 and sum(sizes) == 3000
+        return sum(sizes)
+
+    fx._each_content(spark.range(0, 3000, 1, 1).selectExpr("string(id) AS name", "binary(string(id)) AS content"), put)
+    assert spark.conf.get(name) == before
