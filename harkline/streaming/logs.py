@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from harkline.operators.progress import progress_partials, progress_totals
 from harkline.sources.results import RECORD, parse_results
@@ -99,24 +97,30 @@ def merged_view(spark: SparkSession, checkpoint: str, key: str = "utt", prefer_s
 _RESUME = ["utt", "idx", "status", "retry_attempt"]
 #: Keys a task folds before it sends them on.
 _FOLDED = 100_000
+#: What orders the rows of a key that `_folded` gives.
+_PART = ["source_file", "_start", "_turn"]
 
 
 def _folded(rows: DataFrame, key: str, kind: str) -> DataFrame:
     """Lines of a task folded by key and split: ever ok, the counter that was set last, plain failures after it.
 
-    Lines of a split stand in their order, so a key with most of the lines is a row per split.
+    Lines of a split stand in their order, so a key with most of the lines is a row per split
+    and turn (the times a task sends on what it has).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folded: dict = {}
+        turn = 0
 
         def told() -> pa.RecordBatch:
-            columns = [list(x) for x in zip(*[(*k, *v) for k, v in folded.items()])]
+            nonlocal turn
+            columns = [list(x) for x in zip(*[(*k, turn, *v) for k, v in folded.items()])]
             folded.clear()
-            types = [keys.type, pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+            turn += 1
+            types = [keys.type, pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-        names = [key, "source_file", "_start", "ok", "counter", "plain"]
+        names = [key, *_PART, "ok", "counter", "plain"]
         for batch in batches:
             keys = batch[key]
             fields = [batch[n].to_pylist() for n in (key, "source_file", "_start", "status", "retry_attempt")]
@@ -135,44 +139,44 @@ def _folded(rows: DataFrame, key: str, kind: str) -> DataFrame:
         if folded:
             yield told()
 
-    return rows.mapInArrow(run, f"{key} {kind}, source_file string, _start long, ok boolean, counter long, plain long")
+    return rows.mapInArrow(run, f"{key} {kind}, source_file string, _start long, _turn long, ok boolean, counter long, plain long")
 
 
 def stream_resume(
     spark: SparkSession, log_path: str, checkpoint: str, key: str = "utt", interval: str | None = None, max_files: int = 1000
 ) -> StreamingQuery:
-    """Keep the resume state of each key of a growing log: `done` and `retry`.
+    """Keep what the resume state of each key of a growing log is made of: see `resume_view`.
 
-    Files are folded in the order of their names, batches as they arrive: the files of a
-    run follow those of the run before it.
+    Lines of a key that stand in one split of a file are a row of state, so a batch costs what
+    its own lines cost, and no Python runs for each key. Files count in the order of their
+    names, however they arrive: the files of a run follow those of the run before it.
     """
     kind = RECORD[key]
     lines = arriving_lines(stream_session(spark), log_path, max_files)
     rows = parse_results(lines, columns=_RESUME).select(key, "source_file", "_start", "status", "retry_attempt")
-
-    def fold(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        done, retry = state.get if state.exists else (False, 0)
-        # a row for each task and split of the batch
-        parts = pd.concat(frames).sort_values(["source_file", "_start"], kind="stable")
-        for ok, counter, plain in zip(parts["ok"], parts["counter"], parts["plain"]):
-            done = done or bool(ok)
-            retry = int(plain) + (retry if pd.isna(counter) else int(counter))
-        state.update((done, retry))
-        yield pd.DataFrame({key: [keys[0]], "done": [done], "retry": [retry]})
-
-    shape = "done boolean, retry long"
-    changes = _folded(rows, key, kind).groupBy(key).applyInPandasWithState(
-        fold, f"{key} {kind}, {shape}", shape, "update", GroupStateTimeout.NoTimeout
+    # a group is one row: a file is in one batch, a split in one task
+    changes = _folded(rows, key, kind).groupBy(key, *_PART).agg(
+        F.max("ok").alias("ok"), F.max("counter").alias("counter"), F.max("plain").alias("plain")
     )
     return start_stream(changes, checkpoint, interval)
 
 
 def resume_view(spark: SparkSession, checkpoint: str, key: str = "utt") -> DataFrame:
     """The rows that `resume_state` gives for the log read so far: key, `done`, `retry`."""
-    rows = state_rows(spark, checkpoint, ["_state"])
+    rows = state_rows(spark, checkpoint, ["ok", "counter", "plain"])
     if rows is None:
         return spark.createDataFrame([], f"{key} {RECORD[key]}, done boolean, retry long")
-    return rows.select(key, "_state.*")
+    part = F.struct(*_PART)
+    sets = F.when(F.col("counter").isNotNull(), part)
+    # the counter that was set last, and the plain failures of its row and of those after it
+    last = rows.withColumn("_last", F.max(sets).over(Window.partitionBy(key)))
+    counted = F.col("_last").isNull() | (part >= F.col("_last"))
+    return last.groupBy(key).agg(
+        F.max("ok").alias("done"),
+        (
+            F.coalesce(F.max_by("counter", sets), F.lit(0)) + F.coalesce(F.sum(F.when(counted, F.col("plain"))), F.lit(0))
+        ).cast("bigint").alias("retry"),
+    )
 
 
 # --- rates

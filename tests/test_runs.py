@@ -2,7 +2,9 @@
 
 import json
 import os
+import random
 import socket
+import tempfile
 import time
 import uuid
 
@@ -479,3 +481,28 @@ def test_latest_own_run(spark, media):
     assert row.run_id.endswith("-second") and row.path.endswith(row.run_id)
     assert latest_own_run(spark, f"{folder}/none").count() == 0
     assert log_span(spark, f"{folder}/log").first().seconds > 0
+
+
+def test_resume_of_files_that_arrive_late(spark, folder, monkeypatch):
+    """Many turns of a task, plain failures before and after a set counter, files out of order."""
+    monkeypatch.setattr(logs, "_FOLDED", 2)
+    draw = random.Random(3)
+    kinds = ['"status": "ok"', '"status": "fail"', '"status": "fail"', '"status": "fail", "retry_attempt": 2', '"status": "skipped"']
+    os.makedirs(f"{folder}/in")
+    for name in ("b", "d", "a", "c"):
+        with open(f"{folder}/in/{name}.jsonl", "w") as file:
+            for _ in range(40):
+                utt = draw.choice(['"utt": "hot", '] * 4 + ["", *(f'"utt": "u{i}", ' for i in range(12))])
+                file.write(f"{{{utt}{draw.choice(kinds)}}}\n")
+        logs.stream_resume(spark, f"{folder}/in", f"{folder}/c").awaitTermination()
+    want = resume.resume_state(read_results(spark, f"{folder}/in"))
+    got = [sorted(map(tuple, rows.collect()), key=str) for rows in (logs.resume_view(spark, f"{folder}/c"), want)]
+    assert got[0] == got[1] and len(got[0]) > 10
+
+
+def test_no_python_runs_for_each_key_of_the_resume_state(spark, folder):
+    with open(f"{folder}/a.jsonl", "w") as file:
+        file.write('{"utt": "a", "status": "ok"}\n')
+    started = logs.stream_resume(spark, folder, tempfile.mkdtemp(prefix="harkline-test-"))
+    started.awaitTermination()
+    assert "InPandas" not in started._jsq.explainInternal(False)
